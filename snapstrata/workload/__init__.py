@@ -1,6 +1,6 @@
 """The registered queries over the driver's test tables and their SQL equivalents."""
 
-from snapstrata.workload import refining
+from snapstrata.workload import modelling, profiling, refining, testing
 from snapstrata.workload.base import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "refining"]
+__all__ = ["QUERIES", "SQL", "modelling", "profiling", "refining", "testing"]
