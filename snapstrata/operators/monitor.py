@@ -59,6 +59,12 @@ def schema_drift(report: DataFrame, day: date) -> DataFrame:
     )
 
 
+def unparsable_values(report: DataFrame, day: date) -> DataFrame:
+    """Columns holding text that does not parse as the contract's type (``value_drift``)."""
+    bad = F.col("unparsable_rows")
+    return _verdict(report, "schema_drift", F.col("column_name"), F.lit(day), bad, 0, bad > 0)
+
+
 def missing_snapshots(snapshots: DataFrame, column: str, first: date, last: date) -> DataFrame:
     """Expected days without a snapshot.
 
@@ -108,7 +114,7 @@ def volume_against_median(
         .orderBy(F.unix_date("as_of_date"))
         .rangeBetween(-days, -1)
     )
-    with_median = volumes.withColumn("median", F.median("row_count").over(trailing))
+    with_median = volumes.withColumn("median", F.percentile("row_count", F.lit(0.5)).over(trailing))
     change = F.col("row_count") / F.col("median") - 1
     return _verdict(
         with_median,

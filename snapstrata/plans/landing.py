@@ -89,8 +89,9 @@ def land_file(
         ingested_at=audit.now_utc(),
     )
     snap = contract.snapshot
-    if merge_same_day and tables.exists(spark, lake.raw):
-        present = spark.read.parquet(lake.raw).where(F.col(snap) == F.lit(day))
+    if merge_same_day:
+        present = tables.read_or_empty(spark, lake.raw, raw.schema)
+        present = present.where(F.col(snap) == F.lit(day))
         # a forced repeat of a file replaces that file's own rows
         others = present.where(F.col("_file_hash") != file_hash).select(*raw.columns)
         staged = work_area(spark, "landing")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,28 +12,20 @@ from snapstrata.operators import merge
 from snapstrata.session import work_area
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table, or an empty one where the path does not exist.
 
     Every other failure is raised: an unreadable control table must not look
     like a new one.
     """
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as failure:
-        if failure.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as failure:
-        if failure.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    return spark.read.schema(schema).parquet(path)
 
 
 def leaf(by: Sequence[str], values: Sequence[object]) -> str:
@@ -90,11 +81,11 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def watermark(spark: SparkSession, path: str, column: str):
+def watermark(spark: SparkSession, path: str, column: str, kind: str = "date"):
     """Largest value already loaded, or None; read first so it prunes as a literal."""
     if not exists(spark, path):
         return None
-    return spark.read.parquet(path).agg(F.max(column)).first()[0]
+    return spark.read.schema(f"`{column}` {kind}").parquet(path).agg(F.max(column)).first()[0]
 
 
 def load_incrementally(
@@ -123,7 +114,10 @@ def load_incrementally(
     owned = [(d,) for d in days]
     if mode != "replace" and exists(spark, path):
         current = (
-            spark.read.parquet(path).where(F.col(snapshot).isin(*days)).select(*batch.columns)
+            spark.read.schema(batch.schema)
+            .parquet(path)
+            .where(F.col(snapshot).isin(*days))
+            .select(*batch.columns)
         )
         if mode == "delete_insert":
             merged = merge.delete_insert(current, batch, key)

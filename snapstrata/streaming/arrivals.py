@@ -90,10 +90,9 @@ def merge_arrivals(
         days = partition_values(batch, snapshot)
         if not days:
             return
-        rows = batch
-        if tables.exists(spark, target):
-            present = spark.read.parquet(target).where(F.col(snapshot).isin(*days))
-            rows = present.select(*batch.columns).unionByName(batch)
+        present = tables.read_or_empty(spark, target, batch.schema)
+        present = present.where(F.col(snapshot).isin(*days)).select(*batch.columns)
+        rows = present.unionByName(batch)
         kept, _ = deduplicate(rows, key, tiebreak)
         staged = work_area(spark, "arrivals")
         kept.write.parquet(staged)
