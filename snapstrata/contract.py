@@ -44,8 +44,7 @@ class SnapshotContract:
     """Everything the operators need to know about one dataset.
 
     ``tiebreak`` orders rows that share a business key (first row wins); entries
-    are (column, "asc" | "desc").  Set ``total_order`` only where these columns
-    tell any two rows apart: it saves a sort in the duplicate search.
+    are (column, "asc" | "desc").
     """
 
     name: str
@@ -63,7 +62,6 @@ class SnapshotContract:
     bands: LeadTimeBands
     derive: Callable[[], dict[str, Column]] = field(default=dict)
     snapshot: str = "as_of_date"
-    total_order: bool = False
     #: rank valid rows before invalid ones when picking the surviving row
     prefer_valid: bool = False
     #: keep a losing duplicate's own failed rules beside the duplicate reason

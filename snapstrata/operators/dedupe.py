@@ -1,11 +1,4 @@
-"""Pick one row per business key.
-
-A window over the business key would bring every copy of a key into one task,
-which fails when one key holds a large share of the rows.  Here the winner of a
-key is found by an aggregate (each map task sends at most one candidate per
-key), and rows are matched to their winner on key *and* ordering columns, a
-combination that is unique per row and therefore spreads evenly.
-"""
+"""Pick one row per business key, also where one key holds much of the table."""
 
 from __future__ import annotations
 
@@ -29,11 +22,22 @@ from snapstrata.contract import SnapshotContract
 
 KEPT = "_kept"
 
+#: a key with at most this many rows is ranked by a single task (sorting spills
+#: to disk); a table of N rows has fewer than N / HOT_ROWS keys above it
+HOT_ROWS = 5_000_000
+
+#: groups over which the losing rows of a hot key are spread
+LANES = 65_536
+
+
+def ordering(tiebreak: Sequence[tuple[str, str]]) -> list[Column]:
+    return [F.col(c).asc() if way == "asc" else F.col(c).desc() for c, way in tiebreak]
+
 
 def order_struct(df: DataFrame, tiebreak: Sequence[tuple[str, str]]) -> Column:
     """A struct whose smallest value belongs to the first row in ``tiebreak`` order.
 
-    Ascending columns put NULL first, descending ones put NULL last.
+    As in a window, ascending columns put NULL first and descending ones last.
     """
     parts: list[Column] = []
     for position, (name, direction) in enumerate(tiebreak):
@@ -60,24 +64,69 @@ def _reversed(name: str, kind: DataType) -> Column:
     raise TypeError(f"cannot order {name} ({kind.simpleString()}) descending")
 
 
+def keep_first(
+    df: DataFrame, key: Sequence[str], tiebreak: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """The first row of each key (NULL keys group together).
+
+    Filtering on the first row number lets Spark limit every group on the map
+    side, so each task ships at most one row per key whatever the skew.
+    """
+    by_key = Window.partitionBy("_hk", *key).orderBy(*ordering(tiebreak))
+    ranked = df.withColumn("_hk", F.xxhash64(*key)).withColumn(
+        "_place", F.row_number().over(by_key)
+    )
+    return ranked.where(F.col("_place") == 1).drop("_hk", "_place")
+
+
 def mark_winners(
     df: DataFrame,
     key: Sequence[str],
     tiebreak: Sequence[tuple[str, str]],
     *,
-    total_order: bool = False,
+    total_rows: int | None = None,
+    hot_rows: int = HOT_ROWS,
     flag: str = KEPT,
 ) -> DataFrame:
-    """Add ``flag``: true on exactly one row per key (NULL keys group together)."""
-    keyed = df.withColumn("_dk", F.struct(*key)).withColumn("_do", order_struct(df, tiebreak))
-    winners = keyed.groupBy("_dk").agg(F.min("_do").alias("_do")).withColumn("_won", F.lit(True))
-    matched = keyed.join(winners, ["_dk", "_do"], "left")
-    won = F.col("_won").isNotNull()
-    if not total_order:
-        # rows that tie on every ordering column all match: number them, keep the first
-        tied = Window.partitionBy("_dk", "_do").orderBy("_do")
-        won = won & (F.row_number().over(tied) == 1)
-    return matched.withColumn(flag, won).drop("_dk", "_do", "_won")
+    """Keep all rows and add ``flag``: true on exactly one row per key.
+
+    One window over the key would do, were it not for keys so frequent that
+    their rows must not meet in one task.  Such hot keys are found by counting
+    key hashes, their best rows by a map-side combined minimum, and both results
+    are small by construction (fewer than rows / ``hot_rows`` entries), so they
+    are broadcast.  A hot key's rows that are worse than its best are then
+    spread over many groups; the best one stays in group 0, where the window
+    decides for every key alike.  A miss in the search costs time, never
+    correctness: any row not spread simply takes part in group 0.
+
+    ``total_rows``, where the caller knows it, skips the search when the whole
+    input is too small to contain a hot key.
+    """
+    # the hash leads the sort order of the window: one long decides nearly every comparison
+    hashed = df.withColumn("_hk", F.xxhash64(*key))
+    lane = F.lit(0)
+    if total_rows is None or total_rows > hot_rows:
+        keyed = hashed.withColumn("_dk", F.struct(*key))
+        place = order_struct(df, tiebreak)
+        hot = (
+            keyed.groupBy("_hk")
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > hot_rows)
+            .select("_hk")
+        )
+        best = (
+            keyed.join(F.broadcast(hot), "_hk", "left_semi")
+            .groupBy("_hk", "_dk")
+            .agg(F.min(place).alias("_best"))
+        )
+        hashed = keyed.join(F.broadcast(best), ["_hk", "_dk"], "left")
+        worse = F.col("_best").isNotNull() & (place != F.col("_best"))
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c, _ in tiebreak]), F.lit(LANES)) + 1
+        lane = F.when(worse, spread).otherwise(0)
+    laned = hashed.withColumn("_lane", lane.cast("long"))
+    by_key = Window.partitionBy("_hk", "_lane", *key).orderBy(*ordering(tiebreak))
+    first = (F.row_number().over(by_key) == 1) & (F.col("_lane") == 0)
+    return laned.withColumn(flag, first).drop("_hk", "_lane", "_dk", "_best")
 
 
 def deduplicate(
@@ -85,19 +134,25 @@ def deduplicate(
     key: Sequence[str],
     tiebreak: Sequence[tuple[str, str]],
     *,
-    total_order: bool = False,
+    total_rows: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """(kept, dropped): every input row is in exactly one of the two."""
-    marked = mark_winners(df, key, tiebreak, total_order=total_order)
-    return marked.where(KEPT).drop(KEPT), marked.where(~F.col(KEPT)).drop(KEPT)
+    """(kept, dropped): every input row is in exactly one of the two.
+
+    ``tiebreak`` must tell the rows of a key apart for the two to fit together.
+    """
+    marked = mark_winners(df, key, tiebreak, total_rows=total_rows, hot_rows=hot_rows)
+    return keep_first(df, key, tiebreak), marked.where(~F.col(KEPT)).drop(KEPT)
 
 
-def mark_contract_winners(df: DataFrame, contract: SnapshotContract) -> DataFrame:
+def mark_contract_winners(
+    df: DataFrame, contract: SnapshotContract, total_rows: int | None = None
+) -> DataFrame:
     """``mark_winners`` by the contract; needs ``is_valid`` when it prefers valid rows."""
     tiebreak = tuple(contract.tiebreak)
     if contract.prefer_valid:
         tiebreak = (("is_valid", "desc"),) + tiebreak
-    return mark_winners(df, contract.business_key, tiebreak, total_order=contract.total_order)
+    return mark_winners(df, contract.business_key, tiebreak, total_rows=total_rows)
 
 
 def group_sizes(df: DataFrame, key: Sequence[str], name: str = "variants") -> DataFrame:

@@ -9,22 +9,25 @@ from snapstrata.contract import SnapshotContract
 from snapstrata.functions import expr as X
 
 
-def trim_columns(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    return df.withColumns({c: F.trim(F.col(c)) for c in columns})
-
-
-def standardize(df: DataFrame, contract: SnapshotContract) -> DataFrame:
-    """Trim, fix casing, derive columns, then mint both surrogate keys."""
+def clean(df: DataFrame, contract: SnapshotContract) -> DataFrame:
+    """Trim and fix casing."""
     cleaned = {c: F.trim(F.col(c)) for c in contract.trims}
     for name, style in contract.casing.items():
         cleaned[name] = X.recased(cleaned.get(name, F.col(name)), style)
-    out = df.withColumns(cleaned)
+    return df.withColumns(cleaned)
+
+
+def derive(df: DataFrame, contract: SnapshotContract) -> DataFrame:
+    """Add the contract's derived columns and both surrogate keys to cleaned rows."""
     derived = contract.derive()
-    if derived:
-        out = out.withColumns(derived)
+    out = df.withColumns(derived) if derived else df
     return out.withColumns(
         {
             contract.key_column: X.surrogate_key(contract.business_key, contract.null_token),
             contract.group_column: X.surrogate_key(contract.group_key, contract.null_token),
         }
     )
+
+
+def standardize(df: DataFrame, contract: SnapshotContract) -> DataFrame:
+    return derive(clean(df, contract), contract)

@@ -57,12 +57,14 @@ def gold_frames(
         "stg_flights_rejected": turned_away,
         "fct_flight_price_quote": fact,
         "dim_airline": star.dim_carrier(cube),
-        "dim_route": star.dim_route(star.route_lookup(staged), cube),
+        "dim_route": star.dim_route(cube),
         "dim_lead_time_bucket": star.dim_lead_time_band(spark, contract.bands),
         "mart_route_performance": marts.route_performance(cube),
         "mart_booking_leadtime_pricing": marts.lead_time_pricing(fact),
         "mart_airline_cabin_mix": marts.carrier_cabin_mix(cube),
-        "mart_data_quality_summary": marts.data_quality_summary(staged, turned_away),
+        "mart_data_quality_summary": marts.data_quality_summary(
+            marts.reason_table(staged, turned_away)
+        ),
     }
 
 
@@ -113,12 +115,14 @@ def refresh_gold(
     cube = spark.read.parquet(cube_path)
     gold = {
         "dim_airline": star.dim_carrier(cube),
-        "dim_route": star.dim_route(star.route_lookup(staged), cube),
+        "dim_route": star.dim_route(cube),
         "dim_lead_time_bucket": star.dim_lead_time_band(spark, contract.bands),
         "mart_route_performance": marts.route_performance(cube),
         "mart_booking_leadtime_pricing": marts.lead_time_pricing(fact),
         "mart_airline_cabin_mix": marts.carrier_cabin_mix(cube),
-        "mart_data_quality_summary": marts.data_quality_summary(staged, turned_away),
+        "mart_data_quality_summary": marts.data_quality_summary(
+            marts.reason_table(staged, turned_away)
+        ),
     }
     for name, frame in gold.items():
         tables.write_table(frame, f"{lake.gold}/{name}")

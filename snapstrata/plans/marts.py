@@ -129,29 +129,37 @@ def carrier_cabin_mix(cube: DataFrame) -> DataFrame:
     )
 
 
-def data_quality_summary(
-    accepted: DataFrame, rejected: DataFrame, *, keep_rejected_only: bool = True
-) -> DataFrame:
+def reason_table(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows per snapshot and reason from the two halves; accepted rows have no reason."""
+    n = F.count(F.lit(1)).alias("n")
+    passed = accepted.groupBy("as_of_date").agg(n)
+    reasons = rejected.groupBy("as_of_date", "rejection_reason").agg(n)
+    return reasons.unionByName(passed, allowMissingColumns=True)
+
+
+def data_quality_summary(counts: DataFrame, *, keep_rejected_only: bool = True) -> DataFrame:
     """Rejected rows per snapshot and reason, beside the accepted count.
 
-    A snapshot whose rows were all rejected stays in the result unless
-    ``keep_rejected_only`` is turned off.
+    Takes rows per (``as_of_date``, ``rejection_reason``) with ``n``, where
+    accepted rows have no reason; the window sees one row per reason.  A
+    snapshot without rejects shows one row with reason ``n/a``; one whose rows
+    were all rejected stays unless ``keep_rejected_only`` is turned off.
     """
-    reasons = rejected.groupBy("as_of_date", "rejection_reason").agg(
-        F.count(F.lit(1)).alias("for_reason")
-    )
-    totals = reasons.groupBy("as_of_date").agg(F.sum("for_reason").alias("turned_away"))
-    passed = accepted.groupBy("as_of_date").agg(F.count(F.lit(1)).alias("let_in"))
-    how = "full" if keep_rejected_only else "left"
-    joined = passed.join(totals, "as_of_date", how).join(reasons, "as_of_date", "left")
-    let_in = X.default_to("let_in", 0)
-    turned_away = X.default_to("turned_away", 0)
-    return joined.select(
+    day = Window.partitionBy("as_of_date")
+    reason = F.col("rejection_reason")
+    let_in = X.default_to(F.sum(F.when(reason.isNull(), F.col("n"))).over(day), 0)
+    turned_away = X.default_to(F.sum(F.when(reason.isNotNull(), F.col("n"))).over(day), 0)
+    rows = counts.withColumns({"let_in": let_in, "turned_away": turned_away})
+    shown = rows.where(reason.isNotNull() | (F.col("turned_away") == 0))
+    if not keep_rejected_only:
+        shown = shown.where(F.col("let_in") > 0)
+    both = F.col("let_in") + F.col("turned_away")
+    return shown.select(
         "as_of_date",
         X.default_to("rejection_reason", "n/a").alias("rejection_reason"),
-        X.default_to("for_reason", 0).alias("rejected_row_count_for_reason"),
-        let_in.alias("accepted_row_count"),
-        turned_away.alias("rejected_row_count_total"),
-        (let_in + turned_away).alias("bronze_row_count_reconciled"),
-        X.percent(turned_away, let_in + turned_away).alias("rejected_pct"),
+        F.when(reason.isNotNull(), F.col("n")).otherwise(0).alias("rejected_row_count_for_reason"),
+        F.col("let_in").alias("accepted_row_count"),
+        F.col("turned_away").alias("rejected_row_count_total"),
+        both.alias("bronze_row_count_reconciled"),
+        X.percent("turned_away", both).alias("rejected_pct"),
     )

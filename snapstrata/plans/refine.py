@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from snapstrata.contract import REJECTED, VALID, SnapshotContract
 from snapstrata.operators.dedupe import KEPT, mark_contract_winners
 from snapstrata.operators.reconcile import snapshot_metrics
-from snapstrata.operators.standardize import standardize
+from snapstrata.operators.standardize import clean, derive
 from snapstrata.operators.validate import OUTCOME, REASON_TEXT, judge, settle
 from snapstrata.sources import audit, tables
 
@@ -24,10 +24,20 @@ class ReconciliationError(RuntimeError):
     """Written rows do not add up to the raw rows."""
 
 
-def refine(raw: DataFrame, contract: SnapshotContract) -> DataFrame:
-    """Every raw row once, with ``outcome`` and ``rejection_reason``."""
-    judged = judge(standardize(raw, contract), contract.rules)
-    return settle(mark_contract_winners(judged, contract), contract, KEPT)
+def refine(raw: DataFrame, contract: SnapshotContract, total_rows: int | None = None) -> DataFrame:
+    """Every raw row once, with ``outcome`` and ``rejection_reason``.
+
+    Duplicates are searched on cleaned source columns, before anything is
+    derived, so the one shuffle carries source columns only; keys, derived
+    columns and verdicts are computed behind it.  A contract that prefers valid
+    rows needs the verdicts first.
+    """
+    cleaned = clean(raw, contract)
+    if contract.prefer_valid:
+        judged = judge(derive(cleaned, contract), contract.rules)
+        return settle(mark_contract_winners(judged, contract, total_rows), contract, KEPT)
+    marked = mark_contract_winners(cleaned, contract, total_rows)
+    return settle(judge(derive(marked, contract), contract.rules), contract, KEPT)
 
 
 def valid_rows(refined: DataFrame, contract: SnapshotContract) -> DataFrame:
@@ -80,12 +90,13 @@ def refine_snapshots(
         raw = raw.where(F.col(snap).isin(*[F.lit(s).cast("date") for s in snapshots]))
     raw_counts = raw.groupBy(snap).agg(F.count(F.lit(1)).alias("bronze_row_count"))
     # one row per snapshot date: bounded by the calendar, not by the data
-    owned = sorted(str(r[0]) for r in raw_counts.select(snap).collect())
+    sizes = {str(r[0]): r[1] for r in raw_counts.collect()}
+    owned = sorted(sizes)
     if not owned:
         raise EmptyInputError(f"no raw rows under {raw_path} for {snapshots or 'any snapshot'}")
 
     columns = [c for c in contract.output if c != snap]
-    refined = refine(raw, contract).select(*columns, REASON_TEXT, OUTCOME, snap)
+    refined = refine(raw, contract, sum(sizes.values())).select(*columns, REASON_TEXT, OUTCOME, snap)
     tables.write_partitions(
         refined,
         refined_path,

@@ -163,15 +163,30 @@ def dim_carrier(cube: DataFrame) -> DataFrame:
     )
 
 
-def dim_route(routes: DataFrame, cube: DataFrame) -> DataFrame:
-    """Every known route, with its competition where it has quotes."""
-    context = cube.groupBy("route_id").agg(
+def dim_route(cube: DataFrame, routes: DataFrame | None = None) -> DataFrame:
+    """Routes with their competition, from one fold of the rollup.
+
+    Pass ``routes`` (a ``route_lookup``) to list routes without quotes as well.
+    """
+    measures = [
         F.count_distinct("airline_name").alias("competing_airline_count"),
         (F.sum("nonstop") > 0).alias("has_nonstop_service"),
         F.min("duration_min").alias("fastest_duration_hours"),
         F.sum("quotes").alias("quote_count"),
+    ]
+    if routes is not None:
+        return routes.join(cube.groupBy("route_id").agg(*measures), "route_id", "left")
+    pair = X.unordered_pair("origin_city", "destination_city").alias("route_pair_name")
+    folded = cube.groupBy("route_id", *ROUTE_NAME).agg(*measures)
+    return folded.select(
+        "route_id",
+        *ROUTE_NAME,
+        pair,
+        "competing_airline_count",
+        "has_nonstop_service",
+        "fastest_duration_hours",
+        "quote_count",
     )
-    return routes.join(context, "route_id", "left")
 
 
 BAND_SCHEMA = StructType(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.contract import SnapshotContract
-from snapstrata.operators.dedupe import deduplicate
+from snapstrata.operators.dedupe import keep_first
 from snapstrata.operators.merge import partition_values
 from snapstrata.plans.build import take_in
 from snapstrata.plans.landing import Lake
@@ -93,9 +93,8 @@ def merge_arrivals(
         present = tables.read_or_empty(spark, target, batch.schema)
         present = present.where(F.col(snapshot).isin(*days)).select(*batch.columns)
         rows = present.unionByName(batch)
-        kept, _ = deduplicate(rows, key, tiebreak)
         staged = work_area(spark, "arrivals")
-        kept.write.parquet(staged)
+        keep_first(rows, key, tiebreak).write.parquet(staged)
         tables.write_partitions(
             spark.read.parquet(staged), target, by=(snapshot,), owned=[(d,) for d in days]
         )

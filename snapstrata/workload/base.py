@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from snapstrata.contract import LeadTimeBands
 from snapstrata.contracts.flights import CABINS, FLIGHTS, fare_rules
@@ -34,8 +35,15 @@ def register(sql: str | None = None):
     return add
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the given folder; its schema is looked up in the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 # ---- fixed values: what the stand-in data may hold ----
@@ -130,13 +138,13 @@ def quotes(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
         made["airline"] = F.when(F.col("p_size") == 50, "").otherwise(F.col("p_type"))
         made["flight"] = F.concat(F.lit(" "), F.lower(F.nullif(F.col("p_brand"), F.lit("Brand#25"))))
     if needed(_FROM_SUPPLIER):
-        home = (
-            table(spark, sf_dir, "supplier")
-            .join(_regions(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"), "left")
-            .select("s_suppkey", F.when(F.col("s_acctbal") >= 0, F.col("r_name")).alias("s_city"))
-        )
+        # the region lookup hangs off the joined supplier, so that Spark plans the
+        # supplier join by the size of the supplier file alone
+        home = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+        city = _regions(spark, sf_dir).withColumnRenamed("r_name", "s_region")
         out = out.join(home, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        made["source_city"] = F.col("s_city")
+        out = out.join(city, F.col("s_nationkey") == F.col("n_nationkey"), "left").drop("n_nationkey")
+        made["source_city"] = F.when(F.col("s_acctbal") >= 0, F.col("s_region"))
     if needed(_FROM_ORDERS):
         orders = table(spark, sf_dir, "orders").select(
             "o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("ordered")
@@ -161,7 +169,10 @@ def quotes(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
 
 
 def refined(spark: SparkSession, sf_dir: str, contract=QUOTES) -> DataFrame:
-    return refine(quotes(spark, sf_dir), contract)
+    # every lookup is a left join on a unique key, so quotes are as many as lines,
+    # and the line count comes from the file footers
+    lines = table(spark, sf_dir, "lineitem").count()
+    return refine(quotes(spark, sf_dir), contract, lines)
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from snapstrata.contracts.flights import STAGED_QUOTE, STAGED_REJECT
 from snapstrata.plans import marts, star
 from snapstrata.plans import refine as R
+from snapstrata.session import work_area
 from snapstrata.workload.base import (
     BAND_LABEL_SQL,
     BANDS,
@@ -34,6 +35,13 @@ def fact(spark, sf_dir):
     return star.fact_quotes(star.enrich(staged(spark, sf_dir), BANDS))
 
 
+def stored(df, purpose):
+    """Write a frame that several branches read, as the layers in production are."""
+    path = work_area(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @register("WITH " + STAGED_SQL + " SELECT * FROM stg")
 def staged_quotes(spark, sf_dir):
     return staged(spark, sf_dir)
@@ -91,9 +99,7 @@ def dim_carrier(spark, sf_dir):
 
 @register("WITH " + FACT_SQL + ", " + _ROUTE_SQL + " SELECT * FROM route_dim")
 def dim_route(spark, sf_dir):
-    rows = staged(spark, sf_dir)
-    cube = star.fare_cube(star.fact_quotes(star.enrich(rows, BANDS)))
-    return star.dim_route(star.route_lookup(rows), cube)
+    return star.dim_route(star.fare_cube(fact(spark, sf_dir)))
 
 
 _BANDS_SQL = """bands(lead_time_bucket, lead_time_bucket_sort, min_days_to_departure, max_days_to_departure) AS (
@@ -155,14 +161,11 @@ def dim_lead_time_band(spark, sf_dir):
 def star_join(spark, sf_dir):
     """Fact with both dimensions.  Neither is hinted: adaptive execution broadcasts a
     dimension when its measured size allows it and shuffles otherwise."""
-    rows = staged(spark, sf_dir)
-    quote = star.fact_quotes(star.enrich(rows, BANDS))
-    cube = star.fare_cube(quote)
-    # fold to the join keys first: the joins then see groups, not quotes
-    folded = quote.groupBy("as_of_date", "route_id", "airline_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("price_inr").alias("total")
+    cube = stored(star.fare_cube(fact(spark, sf_dir)), "cube")
+    folded = cube.groupBy("as_of_date", "route_id", F.md5("airline_name").alias("airline_id")).agg(
+        F.sum("quotes").alias("n"), F.sum("price_sum").alias("total")
     )
-    routes = star.dim_route(star.route_lookup(rows), cube)
+    routes = star.dim_route(cube, star.route_lookup(cube))
     carriers = star.dim_carrier(cube)
     joined = folded.join(
         routes.select("route_id", "route_pair_name", "has_nonstop_service"), "route_id"
@@ -258,12 +261,14 @@ quality AS (
     )
 
 
+def reasons_per_snapshot(spark, sf_dir):
+    rows = refined(spark, sf_dir, TICKETS)
+    return rows.groupBy("as_of_date", "rejection_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("WITH " + _quality_sql(TICKET_KEY_SQL) + " SELECT * FROM quality")
 def mart_data_quality_summary(spark, sf_dir):
-    rows = refined(spark, sf_dir, TICKETS)
-    return marts.data_quality_summary(
-        R.valid_rows(rows, TICKETS), R.rejected_rows(rows, TICKETS)
-    )
+    return marts.data_quality_summary(reasons_per_snapshot(spark, sf_dir))
 
 
 # shared with the checks

@@ -27,7 +27,7 @@ from snapstrata.workload.base import (
     table,
 )
 from snapstrata.workload.loading import RUN_LOG_SQL, run_log
-from snapstrata.workload.modelling import fact, quality_sql
+from snapstrata.workload.modelling import fact, quality_sql, reasons_per_snapshot, stored
 from snapstrata.workload.refining import value_type_drift
 from snapstrata.workload.testing import _TESTS_SQL, _standing_tests
 
@@ -91,10 +91,7 @@ def monitor_table_tests(spark, sf_dir):
     + verdict_sql("rejected_pct", "'snapshot'", "as_of_date", "pct", 94.9, "pct > 94.9", "p")
 )
 def monitor_rejected_share(spark, sf_dir):
-    rows = refined(spark, sf_dir, TICKETS)
-    summary = marts.data_quality_summary(
-        R.valid_rows(rows, TICKETS), R.rejected_rows(rows, TICKETS)
-    )
+    summary = marts.data_quality_summary(reasons_per_snapshot(spark, sf_dir))
     return monitor.rejected_share(summary, limit=94.9)
 
 
@@ -126,8 +123,8 @@ def monitor_first_seen_reason(spark, sf_dir):
     judged = validate.judge(standardize(quotes(spark, sf_dir), QUOTES), QUOTES.rules)
     early = F.col("as_of_date") < F.lit(date(1997, 1, 1))
     shown = judged.where(~(early & F.array_contains(validate.REASONS, "null_flight")))
-    reasons = shown.select("as_of_date", F.explode(validate.REASONS).alias("reason"))
-    return monitor.first_seen(reasons.distinct())
+    reasons = shown.select("as_of_date", F.explode(validate.REASONS).alias("reason")).distinct()
+    return monitor.first_seen(stored(reasons, "reasons"))
 
 
 @register(
@@ -243,7 +240,7 @@ def monitor_variant_shift(spark, sf_dir):
     )
 )
 def monitor_cardinality(spark, sf_dir):
-    cube = star.fare_cube(fact(spark, sf_dir))
+    cube = stored(star.fare_cube(fact(spark, sf_dir)), "cube")
     return monitor.cardinality(cube, {"route_id": 20, "airline_name": 6})
 
 
@@ -262,7 +259,7 @@ lost AS (SELECT successor, route_name, airline_name, flight_number FROM present
 )
 def monitor_lost_members(spark, sf_dir):
     """Flights a carrier flew on a route in one snapshot but no longer in the next."""
-    cube = star.fare_cube(fact(spark, sf_dir))
+    cube = stored(star.fare_cube(fact(spark, sf_dir)), "cube")
     return monitor.lost_members(cube, ["route_name", "airline_name", "flight_number"])
 
 

@@ -128,13 +128,28 @@ _LINES_RANKED = """SELECT * EXCLUDE (place) FROM (
 @register(_LINES_RANKED + " WHERE place = 1")
 def dedupe_kept(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    return dedupe.deduplicate(lines, ("l_orderkey", "l_linenumber"), LINE_ORDER)[0]
+    return dedupe.keep_first(lines, ("l_orderkey", "l_linenumber"), LINE_ORDER)
 
 
 @register(_LINES_RANKED + " WHERE place > 1")
 def dedupe_dropped(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    return dedupe.deduplicate(lines, ("l_orderkey", "l_linenumber"), LINE_ORDER)[1]
+    key, rows = ("l_orderkey", "l_linenumber"), lines.count()
+    return dedupe.deduplicate(lines, key, LINE_ORDER, total_rows=rows)[1]
+
+
+@register(
+    """SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_linenumber
+    ORDER BY l_shipdate DESC, l_orderkey, l_partkey, l_suppkey, l_extendedprice) = 1 AS first_of_group
+  FROM lineitem"""
+)
+def dedupe_hot_keys(spark, sf_dir):
+    """Twenty-one keys share all lines, so every key is hot and takes the spread-out route."""
+    lines = table(spark, sf_dir, "lineitem")
+    order = (("l_shipdate", "desc"), ("l_orderkey", "asc")) + LINE_ORDER[1:]
+    return dedupe.mark_winners(
+        lines, ("l_returnflag", "l_linenumber"), order, hot_rows=100, flag="first_of_group"
+    )
 
 
 @register(

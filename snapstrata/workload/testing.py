@@ -10,7 +10,6 @@ from snapstrata.operators import checks, reconcile
 from snapstrata.plans import marts, star
 from snapstrata.session import work_area
 from snapstrata.workload.base import (
-    BANDS,
     FACT_SQL,
     LINE_ID,
     QUOTES_SQL,
@@ -19,7 +18,7 @@ from snapstrata.workload.base import (
     register,
     table,
 )
-from snapstrata.workload.modelling import MIX_SQL, PERFORMANCE_SQL, fact, staged
+from snapstrata.workload.modelling import MIX_SQL, PERFORMANCE_SQL, fact, staged, stored
 
 LINE_ID_SQL = "order_key, line_number, part_key, supp_key, list_price, shipped"
 
@@ -141,7 +140,7 @@ FROM f FULL JOIN m USING (as_of_date) WHERE coalesce(f.n, -1) <> coalesce(m.n, -
 )
 def recon_mart_against_fact(spark, sf_dir):
     """A mart that lost a cabin does not add up to the fact."""
-    rows = fact(spark, sf_dir)
+    rows = stored(fact(spark, sf_dir), "fact")
     mart = marts.route_performance(star.fare_cube(rows)).where(F.col("cabin_class") == "Economy")
     return reconcile.totals_differ(rows, mart, "as_of_date")
 
@@ -223,9 +222,8 @@ UNION ALL SELECT 'competition_in_range', count(*) FILTER (n < 1 OR n > 5) FROM b
 )
 def gold_invariants(spark, sf_dir):
     """The invariants that hold over the gold layer, and one that does not."""
-    rows = staged(spark, sf_dir)
-    quote = star.fact_quotes(star.enrich(rows, BANDS))
-    routes = star.dim_route(star.route_lookup(rows), star.fare_cube(quote))
+    quote = stored(fact(spark, sf_dir), "fact")
+    routes = star.dim_route(star.fare_cube(quote), star.route_lookup(quote))
     return checks.failure_counts(
         {
             "unique_key": checks.unique(quote, "flight_quote_sk"),
