@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +20,15 @@ REASONS, IS_VALID, OUTCOME, REASON_TEXT = (
 
 
 def judge(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """Add the array of all failed reasons, in rule order, and ``is_valid``."""
-    reasons = F.array_compact(F.array(*[r.verdict() for r in rules]))
-    return df.withColumn(REASONS, reasons).withColumn(IS_VALID, F.size(REASONS) == 0)
+    """Add ``is_valid`` and the array of all failed reasons, in rule order.
+
+    The array is only assembled on rows that fail something.
+    """
+    failed = reduce(or_, (F.coalesce(r.fails(), F.lit(False)) for r in rules), F.lit(False))
+    none = F.array().cast("array<string>")
+    reasons = F.array_compact(F.array(*[r.verdict() for r in rules])) if rules else none
+    judged = df.withColumn(IS_VALID, ~failed)
+    return judged.withColumn(REASONS, F.when(F.col(IS_VALID), none).otherwise(reasons))
 
 
 def settle(df: DataFrame, contract: SnapshotContract, kept: str) -> DataFrame:
@@ -28,18 +37,19 @@ def settle(df: DataFrame, contract: SnapshotContract, kept: str) -> DataFrame:
     ``rejection_reason`` is NULL on valid rows.  A losing duplicate is rejected
     as a duplicate whatever its own failures were, unless the contract keeps them.
     """
-    own = F.col(REASONS)
-    lost = ~F.col(kept)
+    own, lost = F.col(REASONS), ~F.col(kept)
     duplicate = F.array(F.lit(DUPLICATE_REASON))
     if contract.keep_duplicate_reasons:
         duplicate = F.concat(own, duplicate)
     reasons = F.when(lost, duplicate).otherwise(own)
-    return (
-        df.withColumn(REASONS, reasons)
-        .withColumn(OUTCOME, F.when(F.size(REASONS) == 0, F.lit(VALID)).otherwise(F.lit(REJECTED)))
-        .withColumn(REASON_TEXT, F.when(F.size(REASONS) > 0, F.concat_ws(",", F.col(REASONS))))
-        .drop(IS_VALID, kept)
-    )
+    accepted = F.col(kept) & F.col(IS_VALID)
+    return df.withColumns(
+        {
+            REASONS: reasons,
+            OUTCOME: F.when(accepted, F.lit(VALID)).otherwise(F.lit(REJECTED)),
+            REASON_TEXT: F.when(~accepted, F.concat_ws(",", reasons)),
+        }
+    ).drop(IS_VALID, kept)
 
 
 def reason_breakdown(rejected: DataFrame, top: int | None = 25) -> DataFrame:

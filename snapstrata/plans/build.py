@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.contract import SnapshotContract
+from snapstrata.operators.merge import partition_values
 from snapstrata.plans import marts, star
 from snapstrata.plans.landing import Lake, Landed, land_file
 from snapstrata.plans.refine import RefinedTables, refine_snapshots
@@ -77,12 +78,14 @@ def refresh_gold(
     *,
     snapshots: Sequence[str] | None = None,
     full_refresh: bool = False,
-) -> None:
-    """Load the fact incrementally, then rebuild dimensions and marts from it.
+) -> list[date]:
+    """Bring the gold tables up to date with the refined layer.
 
-    The fact takes the named snapshots, or every snapshot from the newest loaded
-    one on, or all of them on a full refresh.  The staging view is registered,
-    not stored.
+    Takes the named snapshots, or every snapshot from the newest loaded one on,
+    or all of them on a full refresh.  Fact, rollup and marts carry the snapshot
+    in their grain, so only the touched snapshots are recomputed and replaced;
+    the dimensions span all snapshots and are folded from the stored rollup.
+    The staging views are registered, not stored.  Returns the touched snapshots.
     """
     refined = RefinedTables(lake.refined)
     staged = star.stage(refined.read_valid(spark), staged_quote)
@@ -90,39 +93,45 @@ def refresh_gold(
     staged.createOrReplaceTempView("stg_flights")
     turned_away.createOrReplaceTempView("stg_flights_rejected")
 
-    fact_path = f"{lake.gold}/fct_flight_price_quote"
-    fresh = staged
-    if snapshots is not None:
-        fresh = staged.where(F.col("as_of_date").isin(*[F.lit(s).cast("date") for s in snapshots]))
-    elif not full_refresh:
-        newest = tables.watermark(spark, fact_path, "as_of_date")
-        if newest is not None:
-            fresh = staged.where(F.col("as_of_date") >= F.lit(newest))
-    batch = star.fact_quotes(star.enrich(fresh, contract.bands))
-    tables.load_incrementally(
-        spark,
-        fact_path,
-        batch,
-        key=("flight_quote_sk",),
-        snapshot="as_of_date",
-        sort=("route_id", "cabin_class"),
+    fact_path, cube_path = f"{lake.gold}/fct_flight_price_quote", f"{lake.gold}/fare_cube"
+    known = sorted(
+        set(partition_values(staged, "as_of_date"))
+        | set(partition_values(turned_away, "as_of_date"))
     )
+    if snapshots is not None:
+        named = {date.fromisoformat(s) for s in snapshots}
+        days = [d for d in known if d in named]
+    else:
+        newest = None if full_refresh else tables.watermark(spark, fact_path, "as_of_date")
+        days = [d for d in known if newest is None or d >= newest]
+    if not days:
+        return []
+    touched = F.col("as_of_date").isin(*days)
+
+    def replace(frame: DataFrame, path: str, sort: Sequence[str] = ()) -> DataFrame:
+        tables.write_partitions(
+            frame, path, by=("as_of_date",), owned=[(d,) for d in days], sort=sort
+        )
+        return spark.read.schema(frame.schema).parquet(path)
 
-    fact = spark.read.parquet(fact_path)
-    # the rollup is written once and read by every dimension and mart below
-    cube_path = f"{lake.gold}/fare_cube"
-    tables.write_table(star.fare_cube(fact), cube_path)
-    cube = spark.read.parquet(cube_path)
-    gold = {
+    fresh = star.enrich(staged.where(touched), contract.bands)
+    fact = replace(star.fact_quotes(fresh), fact_path, sort=("route_id", "cabin_class"))
+    cube = replace(star.fare_cube(fact.where(touched)), cube_path)
+    marts_by_day = {
+        "mart_route_performance": marts.route_performance(cube.where(touched)),
+        "mart_booking_leadtime_pricing": marts.lead_time_pricing(fact.where(touched)),
+        "mart_airline_cabin_mix": marts.carrier_cabin_mix(cube.where(touched)),
+        "mart_data_quality_summary": marts.data_quality_summary(
+            marts.reason_table(staged.where(touched), turned_away.where(touched))
+        ),
+    }
+    for name, frame in marts_by_day.items():
+        replace(frame, f"{lake.gold}/{name}")
+    dimensions = {
         "dim_airline": star.dim_carrier(cube),
         "dim_route": star.dim_route(cube),
         "dim_lead_time_bucket": star.dim_lead_time_band(spark, contract.bands),
-        "mart_route_performance": marts.route_performance(cube),
-        "mart_booking_leadtime_pricing": marts.lead_time_pricing(fact),
-        "mart_airline_cabin_mix": marts.carrier_cabin_mix(cube),
-        "mart_data_quality_summary": marts.data_quality_summary(
-            marts.reason_table(staged, turned_away)
-        ),
     }
-    for name, frame in gold.items():
+    for name, frame in dimensions.items():
         tables.write_table(frame, f"{lake.gold}/{name}")
+    return days

@@ -71,15 +71,14 @@ def land_file(
     day = scan.resolve_snapshot(spark, path, as_of_date)
     batch_id = scan.new_batch_id(day)
     rows = scan.scan_csv(spark, path, contract)
-    file_hash, lines = fingerprint.file_fingerprint(spark, path)
+    file_hash, lines, files = fingerprint.file_fingerprint(spark, path)
     manifest = audit.read_manifest(spark, lake.manifest)
     if not force and audit.already_ingested(manifest, file_hash, day):
         return Landed(day, batch_id, file_hash, taken=False)
 
     file_name = path.rstrip("/").rsplit("/", 1)[-1]
-    # a folder delivery is one logical file, made of parts with a header each
-    parts = spark.read.text(path).select("_metadata.file_path").distinct().count()
-    source_rows = lines - parts
+    # a folder delivery is one logical file, made of parts with a header line each
+    source_rows = lines - files
     raw = scan.with_lineage(
         rows,
         contract,

@@ -20,14 +20,9 @@ def _part(digest: Column, start: int) -> Column:
     return F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(28,0)")
 
 
-def _digest(n: Column, high: Column, low: Column) -> Column:
-    return F.md5(F.concat_ws("|", n.cast("string"), high.cast("string"), low.cast("string")))
-
-
-def fold_digests(df: DataFrame, row_digest: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Per group: ``row_count`` and the ``file_hash`` over all its row digests."""
-    sums = (
-        df.select(*by, row_digest.alias("_digest"))
+def _sums(rows: DataFrame, row_digest: Column, by: Sequence[str]) -> DataFrame:
+    return (
+        rows.select(*by, row_digest.alias("_digest"))
         .groupBy(*by)
         .agg(
             F.count(F.lit(1)).alias("row_count"),
@@ -35,21 +30,30 @@ def fold_digests(df: DataFrame, row_digest: Column, by: Sequence[str] = ()) -> D
             F.sum(_part(F.col("_digest"), 17)).alias("_low"),
         )
     )
+
+
+def _mixed(n: Column, high: Column, low: Column) -> Column:
     zero = F.lit(0).cast("decimal(38,0)")
-    mixed = _digest(
-        F.col("row_count"), F.coalesce("_high", zero), F.coalesce("_low", zero)
-    )
-    return sums.select(*by, "row_count", mixed.alias("file_hash"))
+    parts = (n, F.coalesce(high, zero), F.coalesce(low, zero))
+    return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Fingerprint of the given columns of a table, per group."""
+    """Per group: ``row_count`` and the ``file_hash`` over the given columns of its rows."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in columns]
-    return fold_digests(df, F.md5(F.concat_ws(FIELD_SEPARATOR, *parts)), by)
+    sums = _sums(df, F.md5(F.concat_ws(FIELD_SEPARATOR, *parts)), by)
+    mixed = _mixed(F.col("row_count"), F.col("_high"), F.col("_low"))
+    return sums.select(*by, "row_count", mixed.alias("file_hash"))
 
 
-def file_fingerprint(spark: SparkSession, path: str) -> tuple[str, int]:
-    """(hash, number of non-empty lines) of a text file or folder of text files."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    row = fold_digests(lines, F.md5("value")).first()
-    return row["file_hash"], row["row_count"]
+def file_fingerprint(spark: SparkSession, path: str) -> tuple[str, int, int]:
+    """(hash, non-empty lines, files) of a text file or a folder of text files, in one pass."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    per_file = _sums(lines.where(F.trim("value") != ""), F.md5("value"), ("_file",))
+    n = F.coalesce(F.sum("row_count"), F.lit(0))
+    row = per_file.agg(
+        _mixed(n, F.sum("_high"), F.sum("_low")).alias("file_hash"),
+        n.alias("lines"),
+        F.count(F.lit(1)).alias("files"),
+    ).first()
+    return row["file_hash"], row["lines"], row["files"]

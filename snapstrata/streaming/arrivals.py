@@ -46,14 +46,15 @@ def take_in_arrivals(
 ) -> None:
     """Take in each file that appears under ``inbox`` once.
 
-    A micro-batch lists at most ``files_per_batch`` file names on the driver;
-    the rows of each file are read, judged and written by the executors.
+    A micro-batch lists at most ``files_per_batch`` file names on the driver
+    (only names: the content column is never read); the rows of each file are
+    read, judged and written by the executors.
     """
     arrivals = (
-        spark.readStream.format("text")
+        spark.readStream.format("binaryFile")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(inbox)
-        .select(F.col("_metadata.file_path").alias("path"))
+        .select("path")
     )
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
