@@ -69,6 +69,22 @@ def gold_frames(
     }
 
 
+def changed_snapshots(staged: DataFrame, turned_away: DataFrame, loaded: DataFrame) -> list[date]:
+    """Snapshots whose newest accepted row differs from the newest loaded one.
+
+    A snapshot without any accepted row is always among them.  All three sides
+    are folded to one row per snapshot before they meet.
+    """
+
+    def newest(frame: DataFrame, name: str) -> DataFrame:
+        return frame.groupBy("as_of_date").agg(F.max("ingested_at").alias(name))
+
+    sides = newest(staged, "accepted").join(newest(turned_away, "rejected"), "as_of_date", "full")
+    sides = sides.join(newest(loaded, "loaded"), "as_of_date", "left")
+    stale = F.col("accepted").isNull() | ~F.col("accepted").eqNullSafe(F.col("loaded"))
+    return partition_values(sides.where(stale), "as_of_date")
+
+
 def refresh_gold(
     spark: SparkSession,
     lake: Lake,
@@ -81,10 +97,11 @@ def refresh_gold(
 ) -> list[date]:
     """Bring the gold tables up to date with the refined layer.
 
-    Takes the named snapshots, or every snapshot from the newest loaded one on,
-    or all of them on a full refresh.  Fact, rollup and marts carry the snapshot
-    in their grain, so only the touched snapshots are recomputed and replaced;
-    the dimensions span all snapshots and are folded from the stored rollup.
+    Takes the named snapshots, or those that changed since the last refresh
+    (``changed_snapshots``, which also finds late files for old days), or all of
+    them on a full refresh.  Fact, rollup and marts carry the snapshot in their
+    grain, so only the touched snapshots are recomputed and replaced; the
+    dimensions span all snapshots and are folded from the stored rollup.
     The staging views are registered, not stored.  Returns the touched snapshots.
     """
     refined = RefinedTables(lake.refined)
@@ -94,16 +111,14 @@ def refresh_gold(
     turned_away.createOrReplaceTempView("stg_flights_rejected")
 
     fact_path, cube_path = f"{lake.gold}/fct_flight_price_quote", f"{lake.gold}/fare_cube"
-    known = sorted(
-        set(partition_values(staged, "as_of_date"))
-        | set(partition_values(turned_away, "as_of_date"))
-    )
     if snapshots is not None:
-        named = {date.fromisoformat(s) for s in snapshots}
-        days = [d for d in known if d in named]
+        days = sorted(date.fromisoformat(s) for s in snapshots)
+    elif full_refresh or not tables.exists(spark, fact_path):
+        known = {*partition_values(staged, "as_of_date"), *partition_values(turned_away, "as_of_date")}
+        days = sorted(known)
     else:
-        newest = None if full_refresh else tables.watermark(spark, fact_path, "as_of_date")
-        days = [d for d in known if newest is None or d >= newest]
+        loaded = spark.read.schema("as_of_date date, ingested_at timestamp").parquet(fact_path)
+        days = changed_snapshots(staged, turned_away, loaded)
     if not days:
         return []
     touched = F.col("as_of_date").isin(*days)

@@ -52,6 +52,7 @@ def take_in_arrivals(
     """
     arrivals = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(inbox)
         .select("path")
