@@ -133,8 +133,8 @@ def first_seen(reasons: DataFrame) -> DataFrame:
     Alerts unless that is the very first snapshot on record.
     """
     firsts = reasons.groupBy("reason").agg(F.min("as_of_date").alias("first_day"))
-    start = reasons.agg(F.min("as_of_date").alias("start"))
-    joined = firsts.crossJoin(start)
+    # one row per reason by now; the earliest of their first days opens the record
+    joined = firsts.withColumn("start", F.min("first_day").over(Window.partitionBy()))
     return _verdict(
         joined,
         "first_seen_reason",

@@ -93,9 +93,12 @@ def snapshot_metrics(
 
 def row_counts_differ(left: DataFrame, right: DataFrame, names: tuple[str, str]) -> DataFrame:
     """Both row counts where they differ, no row where they agree."""
-    a = left.agg(F.count(F.lit(1)).alias(names[0]))
-    b = right.agg(F.count(F.lit(1)).alias(names[1]))
-    return a.crossJoin(b).where(F.col(names[0]) != F.col(names[1]))
+    counted = [
+        frame.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), "n")
+        for name, frame in zip(names, (left, right), strict=True)
+    ]
+    sides = [F.max(F.when(F.col("side") == name, F.col("n"))).alias(name) for name in names]
+    return counted[0].unionAll(counted[1]).agg(*sides).where(F.col(names[0]) != F.col(names[1]))
 
 
 def totals_differ(

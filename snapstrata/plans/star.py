@@ -204,13 +204,17 @@ def dim_lead_time_band(spark: SparkSession, bands: LeadTimeBands) -> DataFrame:
     return spark.createDataFrame(bands.rows(), BAND_SCHEMA)
 
 
-def band_join(df: DataFrame, days: str, bands_table: DataFrame) -> DataFrame:
+def band_join(
+    spark: SparkSession, df: DataFrame, days: str, bands: LeadTimeBands
+) -> DataFrame:
     """Attach the band whose range holds ``days``; rows in no band keep NULLs.
 
-    The band table comes from contract configuration (a handful of rows), which
-    is why it may always be broadcast.
+    The range lookup becomes an equality: the ordinal of the band is computed in
+    place and joined to the band table, which comes from the contract and has a
+    row per band, so that it may always be broadcast.
     """
     value = F.col(days)
-    low, high = F.col("min_days_to_departure"), F.col("max_days_to_departure")
-    within = (value >= low) & (high.isNull() | (value <= high))
-    return df.join(F.broadcast(bands_table), within, "left")
+    ordinal = F.when(value >= bands.start, X.lead_time_rank(value, bands)).cast("smallint")
+    keyed = df.withColumn("lead_time_bucket_sort", ordinal)
+    table = F.broadcast(dim_lead_time_band(spark, bands))
+    return keyed.join(table, "lead_time_bucket_sort", "left")

@@ -133,12 +133,29 @@ def load_incrementally(
 
 
 def load_staging(spark: SparkSession, path: str, staging: str, snapshot: str, day: str) -> DataFrame:
-    """Empty the staging table, then fill it with one partition of ``path``."""
+    """Empty the staging table, then fill it evenly with one partition of ``path``.
+
+    Staging is written once and read once, so its files are balanced by size
+    and carry no key order.
+    """
     rows = spark.read.parquet(path).where(F.col(snapshot) == F.lit(day).cast("date"))
-    rows.write.mode("overwrite").parquet(staging)
+    rows.hint("rebalance").write.mode("overwrite").parquet(staging)
     return spark.read.parquet(staging)
 
 
+def save_bucketed(
+    df: DataFrame, name: str, path: str, key: Sequence[str], buckets: int, sort: Sequence[str] = ()
+) -> None:
+    """Save a table hashed on ``key`` into a fixed number of buckets.
+
+    Tables bucketed alike on their join key join without moving rows.  Choose
+    the key by its number of distinct values: few values (such as routes) would
+    leave most buckets empty and put a frequent value into one.
+    """
+    writer = df.write.format("parquet").mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *key).sortBy(*(sort or key)).saveAsTable(name)
+
+
 def hot_and_cold(hot: DataFrame, cold: DataFrame, snapshot: str, boundary: str) -> DataFrame:
     """One view over a recent and an archived copy, split at a date so no row shows twice."""
     edge = F.lit(boundary).cast("date")

@@ -246,6 +246,32 @@ def external_table(spark, sf_dir):
     return spark.table(name)
 
 
+@register(
+    """SELECT o_orderpriority, l_linestatus, count(*) AS line_count,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS price_total
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2"""
+)
+def colocated_join(spark, sf_dir):
+    """Lines and orders saved in the same buckets by order key, joined without a shuffle."""
+    joined = bucketed_lines_and_orders(spark, sf_dir)
+    return joined.groupBy("o_orderpriority", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("price").cast("decimal(38,2)").alias("price_total")
+    )
+
+
+def bucketed_lines_and_orders(spark, sf_dir, buckets=8):
+    price = F.col("l_extendedprice").cast("decimal(12,2)").alias("price")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linestatus", price)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    sides = []
+    for rows, key in ((lines, "l_orderkey"), (orders, "o_orderkey")):
+        path = work_area(spark, "bucketed")
+        name = f"bucketed_{path.rsplit('-', 1)[-1]}"
+        tables.save_bucketed(rows, name, path, (key,), buckets)
+        sides.append(spark.table(name))
+    return sides[0].join(sides[1], F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 # --- text files -------------------------------------------------------------
 
 ORDER_FILE = StructType(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from snapstrata.contracts.flights import STAGED_QUOTE, STAGED_REJECT
+from snapstrata.functions import expr as X
 from snapstrata.plans import marts, star
 from snapstrata.plans import refine as R
 from snapstrata.session import work_area
@@ -121,7 +122,7 @@ def band_range_join(spark, sf_dir):
     """Every line with the band its lead time falls into; negative lead times have none."""
     columns = ("order_key", "line_number", "part_key", "supp_key", "list_price", "shipped", "days_left")
     rows = quotes(spark, sf_dir, columns)
-    return star.band_join(rows, "days_left", star.dim_lead_time_band(spark, BANDS))
+    return star.band_join(spark, rows, "days_left", BANDS)
 
 
 @register(
@@ -137,8 +138,7 @@ FROM bands LEFT JOIN labelled l USING (lead_time_bucket) GROUP BY ALL"""
 def dim_lead_time_band(spark, sf_dir):
     """The band dimension with the lines and money that the band labels give to each."""
     rows = quotes(spark, sf_dir, ("days_left", "price"))
-    label = F.coalesce(F.col("days_left"), F.lit(None).cast("int"))
-    used = rows.groupBy(star.X.lead_time_label(label, BANDS).alias("lead_time_bucket")).agg(
+    used = rows.groupBy(X.lead_time_label("days_left", BANDS).alias("lead_time_bucket")).agg(
         F.count(F.lit(1)).alias("line_count"), F.sum("price").cast("decimal(38,2)").alias("price_total")
     )
     bands = star.dim_lead_time_band(spark, BANDS)
