@@ -72,9 +72,16 @@ def premium_out_of_bounds(
 
 
 def freshness(
-    df: DataFrame, column: str, now: datetime, warn_hours: float = 26, error_hours: float = 48
+    df: DataFrame,
+    column: str,
+    now: datetime | str,
+    warn_hours: float = 26,
+    error_hours: float = 48,
 ) -> DataFrame:
-    """Age of the newest row and its status; a table without rows is an error."""
+    """Age of the newest row and its status; a table without rows is an error.
+
+    ``now`` as text is read in the session's time zone, like a column without one.
+    """
     newest = df.agg(F.max(column).cast("timestamp").alias("newest"))
     seconds = F.unix_seconds(F.lit(now).cast("timestamp")) - F.unix_seconds("newest")
     age = seconds.cast("double") / F.lit(3600.0)

@@ -201,7 +201,7 @@ QUOTES_SQL = """quotes AS (
               THEN CAST(l_extendedprice AS DECIMAL(12,2)) END AS price,
          CAST(date_trunc('year', o_orderdate) AS DATE) AS as_of_date,
          'lineitem' AS _source_file, l_linenumber AS _source_row,
-         CAST(l_shipdate AS TIMESTAMPTZ) AS _ingested_at,
+         CAST(l_shipdate AS TIMESTAMP) AS _ingested_at,
          'batch-' || CAST(year(o_orderdate) AS VARCHAR) AS _batch_id
   FROM lineitem
   LEFT JOIN part ON l_partkey = p_partkey

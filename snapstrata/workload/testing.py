@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import functions as F
 
 from snapstrata.operators import checks, reconcile
@@ -160,15 +158,14 @@ def recon_manifest_against_fact(spark, sf_dir):
 
 
 @register(
-    """SELECT max(ts)::TIMESTAMPTZ AS newest,
+    """SELECT max(ts) AS newest,
   CAST(floor(epoch(TIMESTAMP '2024-02-01 06:00:00' - max(ts)) / 3600) AS BIGINT) AS age_hours,
   CASE WHEN epoch(TIMESTAMP '2024-02-01 06:00:00' - max(ts)) / 3600 > 48 THEN 'error'
        WHEN epoch(TIMESTAMP '2024-02-01 06:00:00' - max(ts)) / 3600 > 26 THEN 'warn' ELSE 'pass' END AS status
   FROM events"""
 )
 def freshness_status(spark, sf_dir):
-    now = datetime(2024, 2, 1, 6, tzinfo=timezone.utc)
-    return checks.freshness(table(spark, sf_dir, "events"), "ts", now)
+    return checks.freshness(table(spark, sf_dir, "events"), "ts", "2024-02-01 06:00:00")
 
 
 def _standing_tests(spark, sf_dir):
