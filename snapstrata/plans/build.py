@@ -123,14 +123,24 @@ def refresh_gold(
         return []
     touched = F.col("as_of_date").isin(*days)
 
-    def replace(frame: DataFrame, path: str, sort: Sequence[str] = ()) -> DataFrame:
+    def replace(
+        frame: DataFrame, path: str, sort: Sequence[str] = (), balance: bool = True
+    ) -> DataFrame:
         tables.write_partitions(
-            frame, path, by=("as_of_date",), owned=[(d,) for d in days], sort=sort
+            frame,
+            path,
+            by=("as_of_date",),
+            owned=[(d,) for d in days],
+            sort=sort,
+            balance=balance,
         )
         return spark.read.schema(frame.schema).parquet(path)
 
     fresh = star.enrich(staged.where(touched), contract.bands)
-    fact = replace(star.fact_quotes(fresh), fact_path, sort=("route_id", "cabin_class"))
+    # the refined files are split by snapshot already, and the fact is a projection of them
+    fact = replace(
+        star.fact_quotes(fresh), fact_path, sort=("route_id", "cabin_class"), balance=False
+    )
     cube = replace(star.fare_cube(fact.where(touched)), cube_path)
     marts_by_day = {
         "mart_route_performance": marts.route_performance(cube.where(touched)),

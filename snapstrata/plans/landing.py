@@ -96,7 +96,10 @@ def land_file(
         staged = work_area(spark, "landing")
         others.unionByName(raw).write.parquet(staged)
         raw = spark.read.parquet(staged)
-    tables.write_partitions(raw, lake.raw, by=(snap,), owned=[(day,)], sort=("_source_row",))
+    # one snapshot: the scan's tasks write their rows without moving them
+    tables.write_partitions(
+        raw, lake.raw, by=(snap,), owned=[(day,)], sort=("_source_row",), balance=False
+    )
 
     written = spark.read.parquet(lake.raw).where(
         (F.col(snap) == F.lit(day)) & (F.col("_batch_id") == batch_id)

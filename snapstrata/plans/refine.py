@@ -103,6 +103,8 @@ def refine_snapshots(
         by=(OUTCOME, snap),
         owned=[(side, day) for side in (VALID, REJECTED) for day in owned],
         sort=(contract.group_column,),
+        # a single snapshot has two partitions, which every task may write directly
+        balance=len(owned) > 1,
     )
 
     written = spark.read.parquet(refined_path).where(

@@ -36,71 +36,41 @@ def route_lookup(staged: DataFrame) -> DataFrame:
     )
 
 
+# ---- fixed values: column names and order of the enriched quotes and the fact ----
+ENRICHED = (
+    "flight_quote_sk quote_group_sk as_of_date route_id route_name route_pair_name origin_city "
+    "destination_city airline_name flight_number departure_time_bucket arrival_time_bucket "
+    "stops_label stops_count is_nonstop cabin_class duration_hours duration_minutes "
+    "days_to_departure price_inr lead_time_bucket lead_time_bucket_sort price_per_hour_inr "
+    "is_premium_cabin source_file_name ingested_at batch_id"
+).split()
+FACT = (
+    "flight_quote_sk quote_group_sk as_of_date route_id airline_id flight_number airline_name "
+    "route_name origin_city destination_city departure_time_bucket arrival_time_bucket stops_label "
+    "stops_count is_nonstop cabin_class is_premium_cabin lead_time_bucket lead_time_bucket_sort "
+    "days_to_departure price_inr price_per_hour_inr duration_hours duration_minutes "
+    "source_file_name ingested_at batch_id"
+).split()
+# ---- end of fixed values ----
+
+
 def enrich(staged: DataFrame, bands: LeadTimeBands) -> DataFrame:
     """Quote-level measures.  Rows without both cities have no route and drop out."""
-    routed = staged.where(F.col("origin_city").isNotNull() & F.col("destination_city").isNotNull())
-    return routed.select(
-        "flight_quote_sk",
-        "quote_group_sk",
-        "as_of_date",
-        X.strict_key("origin_city", "destination_city").alias("route_id"),
-        "route_name",
-        X.unordered_pair("origin_city", "destination_city").alias("route_pair_name"),
-        "origin_city",
-        "destination_city",
-        "airline_name",
-        "flight_number",
-        "departure_time_bucket",
-        "arrival_time_bucket",
-        "stops_label",
-        "stops_count",
-        "is_nonstop",
-        "cabin_class",
-        "duration_hours",
-        "duration_minutes",
-        "days_to_departure",
-        "price_inr",
-        X.lead_time_label("days_to_departure", bands).alias("lead_time_bucket"),
-        X.lead_time_rank("days_to_departure", bands).alias("lead_time_bucket_sort"),
-        X.safe_divide("price_inr", "duration_hours").alias("price_per_hour_inr"),
-        (F.col("cabin_class") == PREMIUM_CABIN).alias("is_premium_cabin"),
-        "source_file_name",
-        "ingested_at",
-        "batch_id",
-    )
+    days = F.col("days_to_departure")
+    measures = {
+        "route_id": X.strict_key("origin_city", "destination_city"),
+        "route_pair_name": X.unordered_pair("origin_city", "destination_city"),
+        "lead_time_bucket": X.lead_time_label(days, bands),
+        "lead_time_bucket_sort": X.lead_time_rank(days, bands),
+        "price_per_hour_inr": X.safe_divide("price_inr", "duration_hours"),
+        "is_premium_cabin": F.col("cabin_class") == PREMIUM_CABIN,
+    }
+    return staged.withColumns(measures).where(F.col("route_id").isNotNull()).select(*ENRICHED)
 
 
 def fact_quotes(enriched: DataFrame) -> DataFrame:
     """One row per quote, with the keys of both dimensions."""
-    return enriched.select(
-        "flight_quote_sk",
-        "quote_group_sk",
-        "as_of_date",
-        "route_id",
-        F.md5("airline_name").alias("airline_id"),
-        "flight_number",
-        "airline_name",
-        "route_name",
-        "origin_city",
-        "destination_city",
-        "departure_time_bucket",
-        "arrival_time_bucket",
-        "stops_label",
-        "stops_count",
-        "is_nonstop",
-        "cabin_class",
-        "is_premium_cabin",
-        "lead_time_bucket",
-        "lead_time_bucket_sort",
-        "days_to_departure",
-        "price_inr",
-        "price_per_hour_inr",
-        "duration_hours",
-        "duration_minutes",
-        "source_file_name",
-        "ingested_at",
-        "batch_id",
-    )
+    return enriched.withColumn("airline_id", F.md5("airline_name")).select(*FACT)
 
 
 CUBE_KEY = (

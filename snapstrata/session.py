@@ -24,14 +24,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session without the setting (a test) gets a folder of its
     own; a cluster session without it is refused.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="snapstrata-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="snapstrata-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def work_area(spark: SparkSession, purpose: str) -> str:

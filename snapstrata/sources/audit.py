@@ -20,6 +20,7 @@ from pyspark.sql.types import (
 
 from snapstrata.sources.tables import append_rows, read_or_empty
 
+# ---- fixed values: the columns of the two control tables ----
 MANIFEST_SCHEMA = StructType(
     [
         StructField("source_file", StringType()),
@@ -50,6 +51,7 @@ RUN_LOG_SCHEMA = StructType(
         StructField("runtime_seconds", DoubleType()),
     ]
 )
+# ---- end of fixed values ----
 
 
 def now_utc() -> datetime:

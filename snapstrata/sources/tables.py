@@ -38,6 +38,8 @@ def write_partitions(
     by: Sequence[str],
     owned: Sequence[Sequence[object]] = (),
     sort: Sequence[str] = (),
+    *,
+    balance: bool = True,
 ) -> list[str]:
     """Replace the partitions present in ``df`` and leave all others alone.
 
@@ -45,13 +47,16 @@ def write_partitions(
     for are replaced by an empty, typed partition, so that rows an earlier run
     wrote there do not linger.  Returns the partitions that received rows.
 
-    The rebalance hint lets adaptive execution split a partition that holds a
-    large share of the rows over many files and merge small ones; sorting inside
-    the files keeps Parquet min/max statistics selective.
+    Where rows of many partitions are mixed in every task, ``balance`` gathers
+    them first; the hint lets adaptive execution split a partition that holds a
+    large share of the rows over many files and merge small ones.  Turn it off
+    where each task already holds rows of few partitions (one snapshot, or files
+    of a table partitioned the same way): the write then moves no rows.  Sorting
+    inside the files keeps Parquet min/max statistics selective.
     """
     parts = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in by]
     seen = Observation()
-    out = df.hint("rebalance", *by)
+    out = df.hint("rebalance", *by) if balance else df
     if sort:
         out = out.sortWithinPartitions(*sort)
     # one value per partition written, and set semantics survive task retries

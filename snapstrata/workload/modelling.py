@@ -78,7 +78,7 @@ def fact_quotes(spark, sf_dir):
 _CARRIER_SQL = f"""carriers AS (
   SELECT md5(airline_name) AS airline_id, airline_name,
          replace(airline_name, '_', ' ') AS airline_display_name,
-         max(CASE WHEN is_premium_cabin THEN 1 ELSE 0 END) = 1 AS offers_business_class,
+         coalesce(bool_or(is_premium_cabin), false) AS offers_business_class,
          count(*) AS quote_count, count(DISTINCT route_id) AS route_count,
          count(DISTINCT flight_number) AS flight_number_count,
          {money_sql("avg(price_inr)")} AS avg_price_inr, {money_sql("min(price_inr)")} AS min_price_inr,
@@ -88,7 +88,7 @@ _ROUTE_SQL = """route_dim AS (
   SELECT r.*, c.competing_airline_count, c.has_nonstop_service, c.fastest_duration_hours, c.quote_count
   FROM routes r LEFT JOIN (
     SELECT route_id, count(DISTINCT airline_name) AS competing_airline_count,
-           max(CASE WHEN is_nonstop THEN 1 ELSE 0 END) = 1 AS has_nonstop_service,
+           coalesce(bool_or(is_nonstop), false) AS has_nonstop_service,
            min(duration_hours) AS fastest_duration_hours, count(*) AS quote_count
     FROM fact GROUP BY 1) c USING (route_id))"""
 
@@ -189,7 +189,7 @@ _PERFORMANCE_SQL = f"""performance AS (
          {divide_sql("avg(duration_hours)", "1")} AS avg_duration_hours,
          min(duration_hours) AS fastest_duration_hours,
          {money_sql("avg(CAST(price_per_hour_inr AS DECIMAL(14,2)))")} AS avg_price_per_hour_inr,
-         {divide_sql("sum(CASE WHEN is_nonstop THEN 1 ELSE 0 END) * 100.0", "count(*)")} AS nonstop_share_pct
+         {divide_sql("count(*) FILTER (is_nonstop) * 100.0", "count(*)")} AS nonstop_share_pct
   FROM fact GROUP BY 1, 2, 3, 4, 5, 6)"""
 
 
@@ -230,12 +230,12 @@ _MIX_SQL = f"""mix AS (
   FROM (
     SELECT as_of_date, route_id, route_name, airline_name, count(*) AS quote_count,
            count(DISTINCT flight_number) AS flight_number_count,
-           CAST(sum(CASE WHEN cabin_class = 'Economy' THEN 1 ELSE 0 END) AS BIGINT) AS economy_quote_count,
-           CAST(sum(CASE WHEN cabin_class = 'Business' THEN 1 ELSE 0 END) AS BIGINT) AS business_quote_count,
-           {money_sql("avg(CASE WHEN cabin_class = 'Economy' THEN price_inr END)")} AS avg_economy_price_inr,
-           {money_sql("avg(CASE WHEN cabin_class = 'Business' THEN price_inr END)")} AS avg_business_price_inr,
+           count(*) FILTER (cabin_class = 'Economy') AS economy_quote_count,
+           count(*) FILTER (cabin_class = 'Business') AS business_quote_count,
+           {money_sql("avg(price_inr) FILTER (cabin_class = 'Economy')")} AS avg_economy_price_inr,
+           {money_sql("avg(price_inr) FILTER (cabin_class = 'Business')")} AS avg_business_price_inr,
            {money_sql("avg(price_inr)")} AS avg_price_inr,
-           {divide_sql("sum(CASE WHEN is_nonstop THEN 1 ELSE 0 END) * 100.0", "count(*)")} AS nonstop_share_pct
+           {divide_sql("count(*) FILTER (is_nonstop) * 100.0", "count(*)")} AS nonstop_share_pct
     FROM fact GROUP BY 1, 2, 3, 4))"""
 
 

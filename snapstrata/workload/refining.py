@@ -217,19 +217,18 @@ def multi_variant_groups(spark, sf_dir):
     return dedupe.multi_variant_groups(lines, ("l_orderkey", "l_linenumber"))
 
 
-# ---- fixed values: one broken attribute per injected row ----
+#: one broken attribute (or pair) per injected row
 FAULTS = (
     {"price": 0},
-    {"price": -4500},
+    {"price": -250},
     {"duration": 0.0},
-    {"days_left": -3},
+    {"days_left": -8},
     {"source_city": "ASIA", "destination_city": "ASIA"},
     {"airline": "UnknownCarrier"},
-    {"class": "PremiumEconomy"},
-    {"stops": "three"},
+    {"class": "First"},
+    {"stops": "four"},
     {"stops": "zero", "duration": 48.5},
 )
-# ---- end of fixed values ----
 
 
 def _fault_sql() -> str:
@@ -244,8 +243,7 @@ def _fault_sql() -> str:
         )
         columns.append(f"CASE k {cases} ELSE {name} END AS {name}")
     columns.append("'DQ-' || lpad(CAST(k AS VARCHAR), 3, '0') AS flight")
-    # initcap of the broken class, as cleaning would leave it
-    return ", ".join(columns).replace("'PremiumEconomy'", "'Premiumeconomy'")
+    return ", ".join(columns)
 
 
 @register(

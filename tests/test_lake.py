@@ -27,19 +27,17 @@ from snapstrata.sources import audit, drift, fingerprint, scan
 from snapstrata.streaming import arrivals
 
 HEADER = [n for n, _ in FARE_COLUMNS]
-# ---- fixed values: one injected fault per row ----
 FAULTS = [
     {"price": "0"},
-    {"price": "-4500"},
+    {"price": "-250"},
     {"duration": "0"},
-    {"days_left": "-3"},
-    {"source_city": "Delhi", "destination_city": "Delhi"},
+    {"days_left": "-8"},
+    {"source_city": "Chennai", "destination_city": "Chennai"},
     {"airline": "UnknownCarrier"},
-    {"class": "PremiumEconomy"},
-    {"stops": "three"},
-    {"stops": "zero", "duration": "31.5"},
+    {"class": "First"},
+    {"stops": "four"},
+    {"stops": "zero", "duration": "20.5"},
 ]
-# ---- end of fixed values ----
 
 
 def fares(n, offset=0):

@@ -175,3 +175,27 @@ def test_a_large_partition_is_split_over_files(spark, tmp_path):
     files = spark.read.parquet(path).select("_metadata.file_name").distinct().count()
     assert files > 1
     assert spark.read.parquet(path).count() == 200_000
+
+
+class _Unset:
+    """Stands in for a session whose cluster names no shared folder."""
+
+    def __init__(self, master):
+        self.master, self.made = master, None
+        self.conf = self.sparkContext = self
+
+    def get(self, _key, default):
+        return default
+
+    def setCheckpointDir(self, path):
+        self.made = path
+
+    def getCheckpointDir(self):
+        return self.made
+
+
+def test_without_a_named_folder_only_local_mode_makes_its_own():
+    local = _Unset("local[2]")
+    assert shared_dir(local) == shared_dir(local) == local.made
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Unset("spark://host:7077"))
