@@ -21,10 +21,6 @@ class Rule:
     def fails(self) -> Column:
         raise NotImplementedError
 
-    def verdict(self) -> Column:
-        """The reason where the row fails, else NULL."""
-        return F.when(self.fails(), F.lit(self.reason))
-
 
 @dataclass(frozen=True)
 class Required(Rule):

@@ -85,7 +85,7 @@ def mark_winners(
     tiebreak: Sequence[tuple[str, str]],
     *,
     total_rows: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     flag: str = KEPT,
 ) -> DataFrame:
     """Keep all rows and add ``flag``: true on exactly one row per key.
@@ -100,8 +100,9 @@ def mark_winners(
     correctness: any row not spread simply takes part in group 0.
 
     ``total_rows``, where the caller knows it, skips the search when the whole
-    input is too small to contain a hot key.
+    input is too small to contain a hot key.  ``hot_rows`` defaults to HOT_ROWS.
     """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     # the hash leads the sort order of the window: one long decides nearly every comparison
     hashed = df.withColumn("_hk", F.xxhash64(*key))
     lane = F.lit(0)
@@ -135,7 +136,7 @@ def deduplicate(
     tiebreak: Sequence[tuple[str, str]],
     *,
     total_rows: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(kept, dropped): every input row is in exactly one of the two.
 

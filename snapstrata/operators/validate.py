@@ -24,9 +24,11 @@ def judge(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
     The array is only assembled on rows that fail something.
     """
-    failed = reduce(or_, (F.coalesce(r.fails(), F.lit(False)) for r in rules), F.lit(False))
+    fails = [r.fails() for r in rules]
+    failed = reduce(or_, (F.coalesce(f, F.lit(False)) for f in fails), F.lit(False))
     none = F.array().cast("array<string>")
-    reasons = F.array_compact(F.array(*[r.verdict() for r in rules])) if rules else none
+    named = [F.when(f, F.lit(r.reason)) for f, r in zip(fails, rules, strict=True)]
+    reasons = F.array_compact(F.array(*named)) if rules else none
     judged = df.withColumn(IS_VALID, ~failed)
     return judged.withColumn(REASONS, F.when(F.col(IS_VALID), none).otherwise(reasons))
 

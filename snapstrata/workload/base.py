@@ -17,7 +17,9 @@ from pyspark.sql.types import StructType
 
 from snapstrata.contract import LeadTimeBands
 from snapstrata.contracts.flights import CABINS, FLIGHTS, fare_rules
+from snapstrata.operators.dedupe import HOT_ROWS
 from snapstrata.plans.refine import refine, valid_rows
+from snapstrata.session import work_area
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -168,11 +170,23 @@ def quotes(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
     return out.select(*[made[n].alias(n) for n in names])
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame that several branches read, as the layers in production are."""
+    path = work_area(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def refined(spark: SparkSession, sf_dir: str, contract=QUOTES) -> DataFrame:
     # every lookup is a left join on a unique key, so quotes are as many as lines,
     # and the line count comes from the file footers
     lines = table(spark, sf_dir, "lineitem").count()
-    return refine(quotes(spark, sf_dir), contract, lines)
+    raw = quotes(spark, sf_dir)
+    if lines > HOT_ROWS:
+        # the search for hot keys reads its input more than once: land the quotes
+        # first, as the raw layer does, instead of repeating the lookups
+        raw = stored(raw, "raw")
+    return refine(raw, contract, lines)
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,9 @@ and returns what a reader finds there afterwards.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
@@ -19,6 +21,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from snapstrata.contracts.flights import STAGED_QUOTE, STAGED_REJECT
 from snapstrata.operators import merge, reconcile
 from snapstrata.operators.validate import OUTCOME, REASON_TEXT
 from snapstrata.plans import build, landing
@@ -27,6 +30,7 @@ from snapstrata.session import work_area
 from snapstrata.sources import audit, fingerprint, scan, tables
 from snapstrata.streaming import arrivals
 from snapstrata.workload.base import (
+    FACT_SQL,
     QUOTE_COLUMNS_SQL,
     QUOTES,
     QUOTES_SQL,
@@ -40,6 +44,12 @@ from snapstrata.workload.base import (
     register,
     table,
 )
+from snapstrata.workload.modelling import (
+    CARRIER_SQL,
+    MIX_SQL,
+    PERFORMANCE_SQL,
+    QUALITY_TAIL_SQL,
+)
 
 # An order table with a snapshot per year stands in for a fact: one row per key,
 # and the key fixes the snapshot.
@@ -377,9 +387,9 @@ def delivery_verdicts(spark, sf_dir):
     return fresh.unionByName(again)
 
 
-def write_refined(spark, sf_dir, contract=TICKETS):
+def write_refined(spark, sf_dir, contract=TICKETS, path=None):
     """Refine the quotes into a two-sided table, as the refining job does."""
-    path = work_area(spark, "refined")
+    path = path or work_area(spark, "refined")
     columns = [c for c in contract.output if c != SNAPSHOT]
     rows = refined(spark, sf_dir, contract).select(*columns, REASON_TEXT, OUTCOME, SNAPSHOT)
     tables.write_partitions(rows, path, by=(OUTCOME, SNAPSHOT), sort=(contract.group_column,))
@@ -504,6 +514,61 @@ def landed_file(spark, sf_dir):
     )
 
 
+_GOLD_SUMS = (
+    ("fct_flight_price_quote", "fact", "price_inr"),
+    ("mart_route_performance", "performance", "quote_count"),
+    ("mart_airline_cabin_mix", "mix", "quote_count"),
+    ("mart_data_quality_summary", "quality", "rejected_row_count_for_reason"),
+)
+
+
+@register(
+    "WITH "
+    + FACT_SQL
+    + QUALITY_TAIL_SQL
+    + ", "
+    + ", ".join((PERFORMANCE_SQL, MIX_SQL, CARRIER_SQL))
+    + " "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, as_of_date, count(*) AS row_count, "
+        f"CAST(sum({measure}) AS DECIMAL(38,2)) AS total FROM {cte} GROUP BY as_of_date"
+        for name, cte, measure in _GOLD_SUMS
+    )
+    + """ UNION ALL SELECT 'dim_airline', NULL, count(*), CAST(sum(quote_count) AS DECIMAL(38,2)) FROM carriers"""
+)
+def gold_refresh(spark, sf_dir):
+    """Gold tables brought up in two steps and refreshed once more, then summed per snapshot."""
+    lake = landing.Lake(work_area(spark, "lake"))
+    write_refined(spark, sf_dir, QUOTES, lake.refined)
+
+    def refresh(**options):
+        return build.refresh_gold(spark, lake, QUOTES, STAGED_QUOTE, STAGED_REJECT, **options)
+
+    refresh(snapshots=["1997-01-01", "1999-01-01"])
+    refresh()
+    refresh()
+    total = F.sum(F.col("measure").cast("decimal(20,2)")).cast("decimal(38,2)").alias("total")
+    parts = [
+        spark.read.parquet(f"{lake.gold}/{name}")
+        .select("as_of_date", F.col(measure).alias("measure"))
+        .groupBy(F.lit(name).alias("table_name"), "as_of_date")
+        .agg(F.count(F.lit(1)).alias("row_count"), total)
+        for name, _, measure in _GOLD_SUMS
+    ]
+    carriers = spark.read.parquet(f"{lake.gold}/dim_airline").select(
+        F.col("quote_count").alias("measure")
+    )
+    parts.append(
+        carriers.agg(F.count(F.lit(1)).alias("row_count"), total).select(
+            F.lit("dim_airline").alias("table_name"),
+            F.lit(None).cast("date").alias("as_of_date"),
+            "row_count",
+            "total",
+        )
+    )
+    return reduce(DataFrame.unionAll, parts)
+
+
 # --- streams ----------------------------------------------------------------
 
 

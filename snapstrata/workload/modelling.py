@@ -8,7 +8,6 @@ from snapstrata.contracts.flights import STAGED_QUOTE, STAGED_REJECT
 from snapstrata.functions import expr as X
 from snapstrata.plans import marts, star
 from snapstrata.plans import refine as R
-from snapstrata.session import work_area
 from snapstrata.workload.base import (
     BAND_LABEL_SQL,
     BANDS,
@@ -24,6 +23,7 @@ from snapstrata.workload.base import (
     refined,
     refined_sql,
     register,
+    stored,
     valid,
 )
 
@@ -36,13 +36,6 @@ def fact(spark, sf_dir):
     return star.fact_quotes(star.enrich(staged(spark, sf_dir), BANDS))
 
 
-def stored(df, purpose):
-    """Write a frame that several branches read, as the layers in production are."""
-    path = work_area(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @register("WITH " + STAGED_SQL + " SELECT * FROM stg")
 def staged_quotes(spark, sf_dir):
     return staged(spark, sf_dir)
@@ -244,10 +237,7 @@ def mart_carrier_cabin_mix(spark, sf_dir):
     return marts.carrier_cabin_mix(star.fare_cube(fact(spark, sf_dir)))
 
 
-def _quality_sql(key: str) -> str:
-    return (
-        refined_sql(key)
-        + f""", reasons AS (
+QUALITY_TAIL_SQL = f""", reasons AS (
   SELECT as_of_date, rejection_reason, count(*) AS n FROM rejected GROUP BY 1, 2),
 totals AS (SELECT as_of_date, CAST(sum(n) AS BIGINT) AS n FROM reasons GROUP BY 1),
 passed AS (SELECT as_of_date, count(*) AS n FROM valid GROUP BY 1),
@@ -258,7 +248,10 @@ quality AS (
          coalesce(p.n, 0) + coalesce(t.n, 0) AS bronze_row_count_reconciled,
          {divide_sql("coalesce(t.n, 0) * 100.0", "(coalesce(p.n, 0) + coalesce(t.n, 0))")} AS rejected_pct
   FROM passed p FULL JOIN totals t USING (as_of_date) LEFT JOIN reasons r USING (as_of_date))"""
-    )
+
+
+def _quality_sql(key: str) -> str:
+    return refined_sql(key) + QUALITY_TAIL_SQL
 
 
 def reasons_per_snapshot(spark, sf_dir):

@@ -24,10 +24,11 @@ from snapstrata.workload.base import (
     refined,
     refined_sql,
     register,
+    stored,
     table,
 )
 from snapstrata.workload.loading import RUN_LOG_SQL, run_log
-from snapstrata.workload.modelling import fact, quality_sql, reasons_per_snapshot, stored
+from snapstrata.workload.modelling import fact, quality_sql, reasons_per_snapshot
 from snapstrata.workload.refining import value_type_drift
 from snapstrata.workload.testing import _TESTS_SQL, _standing_tests
 

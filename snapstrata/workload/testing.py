@@ -14,9 +14,10 @@ from snapstrata.workload.base import (
     STAGED_SQL,
     quotes,
     register,
+    stored,
     table,
 )
-from snapstrata.workload.modelling import MIX_SQL, PERFORMANCE_SQL, fact, staged, stored
+from snapstrata.workload.modelling import MIX_SQL, PERFORMANCE_SQL, fact, staged
 
 LINE_ID_SQL = "order_key, line_number, part_key, supp_key, list_price, shipped"
 
