@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstrata.llm import decontamination, piece_lattice, simhash_dedup, zstd_language
+from snapstrata.llm import decontamination, host_reputation, piece_lattice, simhash_dedup, token_files, zstd_language
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,3 +72,86 @@ def op10_compression_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(fold() == 0, F.lit(False))
     judged = zstd_language.identify(docs.select("doc_id", "text"), language_model(spark, sf_dir), keep=["doc_id"])
     return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "lang_rejected")
+
+
+URL_RULES = [
+    host_reputation.UrlRule("net", "/", "block"),
+    host_reputation.UrlRule("example.net", "/en/", "allow"),
+    host_reputation.UrlRule("example.com", "/de/", "block"),
+    host_reputation.UrlRule("org", "/fr/", "allow"),
+]
+
+
+@register
+def op9_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the number that ends a page's path is the document it shows
+    _, path = host_reputation.url_parts(F.col("url"))
+    number = F.regexp_extract(path, r"/([0-9]{1,18})(?:\.html|/)?\z", 1)
+    return host_reputation.judge_urls(
+        table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES,
+        document_of=F.nullif(number, F.lit("")).cast("long"),
+    )
+
+
+def _strength_sql(children: str) -> str:
+    return f"""(SELECT 1 / greatest(0.001, least(0.5, coalesce(
+      sum(CASE WHEN n > 0 THEN n * pow(k / n - m, 2) - m * (1 - m) END)
+        / nullif(sum(CASE WHEN n > 0 THEN m * (1 - m) * (n - 1) END), 0), 0.001))) - 1 FROM {children})"""
+
+
+SQL["op9_host_reputation"] = (
+    r"""
+WITH cut AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+split AS (
+  SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*'), '') AS path
+  FROM cut),
+parts AS (
+  SELECT *, CAST(nullif(regexp_extract(path, '/([0-9]{1,18})(?:\.html|/)?\z', 1), '') AS BIGINT) AS document FROM split),
+known AS (
+  SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+hosts AS (
+  SELECT host, count(bad) AS n, coalesce(sum(CAST(bad AS BIGINT)), 0) AS k,
+         regexp_extract(host, '(^|\.)([^.]+\.(?:ac\.uk|co\.jp|co\.uk|com\.au|com\.br)|[^.]+\.[^.]*|[^.]*)\z', 2) AS domain,
+         regexp_extract(host, '(^|\.)(ac\.uk|co\.jp|co\.uk|com\.au|com\.br|[^.]*)\z', 2) AS suffix
+  FROM parts LEFT JOIN known ON document = doc_id GROUP BY host),
+named AS (SELECT * FROM hosts WHERE host <> ''),
+every AS (SELECT (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) AS m FROM hosts),
+s0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT m FROM every) AS m FROM named GROUP BY suffix),
+s1 AS (SELECT suffix, (k + s * m) / (n + s) AS m FROM (SELECT *, """
+    + _strength_sql("s0")
+    + r""" AS s FROM s0)),
+d0 AS (SELECT domain, any_value(s1.m) AS m, sum(n) AS n, sum(k) AS k FROM named JOIN s1 USING (suffix) GROUP BY domain),
+d1 AS (SELECT domain, (k + s * m) / (n + s) AS m FROM (SELECT *, """
+    + _strength_sql("d0")
+    + r""" AS s FROM d0)),
+h0 AS (SELECT host, n, k, d1.m AS m FROM named JOIN d1 USING (domain)),
+h1 AS (
+  SELECT host, k + s * m AS a, n - k + s * (1 - m) AS b FROM (SELECT *, """
+    + _strength_sql("h0")
+    + r""" AS s FROM h0)
+  UNION ALL SELECT '', coalesce(sum(k), 0) + 1, coalesce(sum(n), 0) - coalesce(sum(k), 0) + 1 FROM hosts),
+judged AS (SELECT host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5 AS bad_host FROM h1),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM parts)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN bad_host THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN judged USING (host)
+"""
+)
+
+
+TOKENIZER, END_ID, VOCABULARY = "word_bpe_49k.json", 1, 49_408
+
+
+@register
+def op2_token_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    written = token_files.write_token_files(docs, public_tokenizers.path(TOKENIZER), END_ID, VOCABULARY)
+    return token_files.read_token_files(spark, written, VOCABULARY)
