@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstrata.llm import decontamination, host_reputation, piece_lattice, simhash_dedup, token_files, zstd_language
+from snapstrata.llm import decontamination, embedding_dedup, host_reputation, piece_lattice, simhash_dedup, token_files, warc, zstd_language
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -155,3 +155,46 @@ def op2_token_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     written = token_files.write_token_files(docs, public_tokenizers.path(TOKENIZER), END_ID, VOCABULARY)
     return token_files.read_token_files(spark, written, VOCABULARY)
+
+
+@register
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+SQL["op4_embedding_near_dedup"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.93),
+reach AS (SELECT a AS root, b AS node FROM links UNION SELECT reach.root, links.b FROM reach JOIN links ON reach.node = links.a),
+least AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(root, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(root, vec_id)) AS kept
+FROM embeddings LEFT JOIN counted ON vec_id = a LEFT JOIN least ON vec_id = node
+"""
+
+
+@register
+def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+SQL["op8_warc_normaliser"] = """
+WITH hashed AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+named AS (
+  SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+         array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((CAST('0x' || substr(hex, CAST(1 + 5 * (k // 4) AS INTEGER), 5) AS INTEGER)
+                 >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest
+  FROM hashed),
+first AS (SELECT payload_digest, min(page_id) AS first_id FROM named GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM named JOIN first USING (payload_digest)
+"""
