@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapstrata.llm import decontamination, embedding_dedup, host_reputation, piece_lattice, simhash_dedup, token_files, warc, zstd_language
+from snapstrata.llm import (
+    decontamination,
+    embedding_dedup,
+    host_reputation,
+    license_scan,
+    ngram_lm,
+    piece_lattice,
+    simhash_dedup,
+    token_files,
+    warc,
+    zstd_language,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -198,3 +209,25 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM named JOIN first USING (payload_digest)
 """
+
+
+@register
+def op7_ngram_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ngram_lm.train(docs.where(fold() != 1))
+    scored = ngram_lm.score_texts(docs, model, keep=["doc_id"])
+    return scored.withColumn("held_out", F.coalesce(fold() == 1, F.lit(False)))
+
+
+@register
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan_licenses(docs, license_scan.learn(docs), keep=["doc_id"])
+    families = F.filter(F.col("findings.family"), lambda x: x != license_scan.UNKNOWN)
+    return found.select(
+        "doc_id",
+        "n_paragraphs",
+        F.array_sort(F.array_distinct(families)).alias("licenses"),
+        F.size(F.filter("findings", lambda x: x["family"] == license_scan.UNKNOWN)).cast("long").alias("n_unknown"),
+        F.array_max(F.col("findings.probability")).alias("probability"),
+    )
