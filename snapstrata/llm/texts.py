@@ -37,11 +37,16 @@ def letters_and_digits() -> np.ndarray:
 
 
 def as_large_strings(texts: pa.Array) -> pa.LargeStringArray:
-    """Null is empty; the result has no offset, so its buffers can be read as they are."""
+    """Null is empty.  The result's buffers hold its texts alone, whatever slice of a batch they come from."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     out = pc.fill_null(texts.cast(pa.large_string()), "")
-    return pa.concat_arrays([out, pa.array([], pa.large_string())]) if out.offset else out
+    _, places, data = out.buffers()
+    if not len(out) or data is None:
+        return pa.array([""] * len(out), pa.large_string())
+    places = np.frombuffer(places, dtype=np.int64)[out.offset : out.offset + len(out) + 1]
+    begin = int(places[0])
+    return pa.LargeStringArray.from_buffers(len(out), pa.py_buffer(places - begin), data.slice(begin, int(places[-1]) - begin))
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
