@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from xxhash import xxh3_64_intdigest
 
 from snapstrata.llm.elias_fano import EliasFano, encode, map_arrays, nested, within, write_arrays
@@ -69,6 +70,8 @@ class Level:
 
     def shard_of(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         shard = np.searchsorted(self.contexts, context, side="right") - 1
+        # unknown words are asked for in a context's first shard
+        word = np.maximum(word, 0)
         while True:
             behind = (self.contexts[shard] == context) & (self.words[shard] > word)
             if not behind.any():
@@ -214,8 +217,9 @@ class Reader:
             context[starts] = -1
 
 
-def _merged(shards: DataFrame, tasks: int, finish: Callable, schema: str) -> DataFrame:
+def _merged(shards: DataFrame, tasks: int, finish: Callable, schema: T.StructType) -> DataFrame:
     """Rows (shard, keys, counts) of sorted arrays, added up per shard; finish(shard, keys, counts) gives a row."""
+    kinds = to_arrow_schema(schema)
     dealt = shards.repartition(tasks, "shard").sortWithinPartitions("shard")
 
     def add(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +234,7 @@ def _merged(shards: DataFrame, tasks: int, finish: Callable, schema: str) -> Dat
         for batch in batches:
             for shard, key, count in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 if shard != held and keys:
-                    yield pa.RecordBatch.from_pylist([finish(held, *add(keys, counts))])
+                    yield pa.RecordBatch.from_pylist([finish(held, *add(keys, counts))], kinds)
                     keys, counts, since = [], [], 0
                 held = shard
                 keys.append(np.frombuffer(key, dtype="<u8"))
@@ -241,7 +245,7 @@ def _merged(shards: DataFrame, tasks: int, finish: Callable, schema: str) -> Dat
                     folded = add(keys, counts)
                     keys, counts, since = [folded[0]], [folded[1]], 0
         if keys:
-            yield pa.RecordBatch.from_pylist([finish(held, *add(keys, counts))])
+            yield pa.RecordBatch.from_pylist([finish(held, *add(keys, counts))], kinds)
 
     return dealt.mapInArrow(run, schema)
 
@@ -287,7 +291,8 @@ def _count_words(texts: DataFrame, folder: str, shards: int) -> Model:
 
     counted = texts.mapInArrow(count, _SHARDS)
     # a row per shard
-    rows = {r.shard: r for r in _merged(counted, shards, finish, "shard long, name string, n long, tokens long, texts long").collect()}
+    schema = T.StructType.fromDDL("shard long, name string, n long, tokens long, texts long")
+    rows = {r.shard: r for r in _merged(counted, shards, finish, schema).collect()}
     sizes = [rows[s].n if s in rows else 0 for s in range(1 << bits)]
     bases = np.concatenate([[0], np.cumsum(sizes)])
     if bases[-1] >= 1 << 32:
@@ -334,6 +339,7 @@ def _boundaries(spark: SparkSession, model: Model, shards: int) -> tuple[np.ndar
                 weight = weights(k)
                 upto = before[k] + np.cumsum(weight)
                 wanted = np.arange(before[k] // quota + 1, (before[k] + int(weight.sum())) // quota + 1) * quota
+                wanted = wanted[wanted < everything]
                 for goal, place in zip(wanted.tolist(), np.searchsorted(upto, wanted).tolist()):
                     n = int(weight[place])
                     inside = goal - (int(upto[place]) - n)
@@ -420,7 +426,8 @@ def _add_level(texts: DataFrame, model: Model, folder: str, shards: int, last: b
         return {"shard": shard, "name": name, "n": len(keys), "split": list(parts), "left": list(parts.values())}
 
     counted = texts.mapInArrow(count, _SHARDS)
-    rows = {r.shard: r for r in _merged(counted, shards, finish, "shard long, name string, n long, split array<long>, left array<double>").collect()}
+    schema = T.StructType.fromDDL("shard long, name string, n long, split array<long>, left array<double>")
+    rows = {r.shard: r for r in _merged(counted, shards, finish, schema).collect()}
     sizes = np.array([rows[s].n if s in rows else 0 for s in range(len(contexts))])
     level.bases = np.cumsum(sizes) - sizes
     level.size = int(sizes.sum())
