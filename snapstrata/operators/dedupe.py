@@ -22,14 +22,6 @@ from snapstrata.contract import SnapshotContract
 
 KEPT = "_kept"
 
-#: a key with at most this many rows is ranked by a single task (sorting spills
-#: to disk); a table of N rows has fewer than N / HOT_ROWS keys above it
-HOT_ROWS = 5_000_000
-
-#: groups over which the losing rows of a hot key are spread
-LANES = 65_536
-
-
 def ordering(tiebreak: Sequence[tuple[str, str]]) -> list[Column]:
     return [F.col(c).asc() if way == "asc" else F.col(c).desc() for c, way in tiebreak]
 
@@ -80,80 +72,55 @@ def keep_first(
 
 
 def mark_winners(
-    df: DataFrame,
-    key: Sequence[str],
-    tiebreak: Sequence[tuple[str, str]],
-    *,
-    total_rows: int | None = None,
-    hot_rows: int | None = None,
-    flag: str = KEPT,
+    df: DataFrame, key: Sequence[str], tiebreak: Sequence[tuple[str, str]], *, flag: str = KEPT
 ) -> DataFrame:
     """Keep all rows and add ``flag``: true on exactly one row per key.
 
-    One window over the key would do, were it not for keys so frequent that
-    their rows must not meet in one task.  Such hot keys are found by counting
-    key hashes, their best rows by a map-side combined minimum, and both results
-    are small by construction (fewer than rows / ``hot_rows`` entries), so they
-    are broadcast.  A hot key's rows that are worse than its best are then
-    spread over many groups; the best one stays in group 0, where the window
-    decides for every key alike.  A miss in the search costs time, never
-    correctness: any row not spread simply takes part in group 0.
-
-    ``total_rows``, where the caller knows it, skips the search when the whole
-    input is too small to contain a hot key.  ``hot_rows`` defaults to HOT_ROWS.
+    The best row of every key is a map-side combined minimum over (``tiebreak``,
+    hash of the whole row), so no task gathers a key to find it, and ties in
+    ``tiebreak`` are settled by the hash.  One join brings it back to the rows;
+    adaptive execution splits a key that holds much of the table.  Rows that equal
+    the best in every column are folded to a count, again on the map side, and
+    spread out with the flag on the first copy.
+
+    ``df`` is read twice and must give the same rows both times: a stored table,
+    or a plan over one.
     """
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    # the hash leads the sort order of the window: one long decides nearly every comparison
-    hashed = df.withColumn("_hk", F.xxhash64(*key))
-    lane = F.lit(0)
-    if total_rows is None or total_rows > hot_rows:
-        keyed = hashed.withColumn("_dk", F.struct(*key))
-        place = order_struct(df, tiebreak)
-        hot = (
-            keyed.groupBy("_hk")
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > hot_rows)
-            .select("_hk")
-        )
-        best = (
-            keyed.join(F.broadcast(hot), "_hk", "left_semi")
-            .groupBy("_hk", "_dk")
-            .agg(F.min(place).alias("_best"))
-        )
-        hashed = keyed.join(F.broadcast(best), ["_hk", "_dk"], "left")
-        worse = F.col("_best").isNotNull() & (place != F.col("_best"))
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c, _ in tiebreak]), F.lit(LANES)) + 1
-        lane = F.when(worse, spread).otherwise(0)
-    laned = hashed.withColumn("_lane", lane.cast("long"))
-    by_key = Window.partitionBy("_hk", "_lane", *key).orderBy(*ordering(tiebreak))
-    first = (F.row_number().over(by_key) == 1) & (F.col("_lane") == 0)
-    return laned.withColumn(flag, first).drop("_hk", "_lane", "_dk", "_best")
+    columns = df.columns
+    place = F.struct(order_struct(df, tiebreak).alias("order"), F.xxhash64(*columns).alias("row"))
+    placed = df.select("*", F.xxhash64(*key).alias("_hk"), F.struct(*key).alias("_dk"), place.alias("_place"))
+    best = placed.groupBy("_hk", "_dk").agg(F.min("_place").alias("_best")).select(
+        F.col("_hk").alias("_bh"), F.col("_dk").alias("_bk"), "_best"
+    )
+    # the hash alone is the join key, so both sides are shuffled for the join and adaptive
+    # execution may split them; keys that share a hash are told apart behind it
+    own = (F.col("_hk") == F.col("_bh")) & F.array_contains(F.array("_bk"), F.col("_dk"))
+    joined = placed.join(best, own)
+    first = F.col("_place") == F.col("_best")
+    losers = joined.where(~first).select(*columns, F.lit(False).alias(flag))
+    copies = joined.where(first).groupBy("_hk", "_dk", *columns).agg(F.count(F.lit(1)).alias("_copies"))
+    copy = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")
+    winners = copies.select(*columns, copy).withColumn(flag, F.col("_copy") == 1).drop("_copy")
+    return losers.unionAll(winners)
 
 
 def deduplicate(
-    df: DataFrame,
-    key: Sequence[str],
-    tiebreak: Sequence[tuple[str, str]],
-    *,
-    total_rows: int | None = None,
-    hot_rows: int | None = None,
+    df: DataFrame, key: Sequence[str], tiebreak: Sequence[tuple[str, str]]
 ) -> tuple[DataFrame, DataFrame]:
     """(kept, dropped): every input row is in exactly one of the two.
 
     ``tiebreak`` must tell the rows of a key apart for the two to fit together.
     """
-    marked = mark_winners(df, key, tiebreak, total_rows=total_rows, hot_rows=hot_rows)
+    marked = mark_winners(df, key, tiebreak)
     return keep_first(df, key, tiebreak), marked.where(~F.col(KEPT)).drop(KEPT)
 
 
-def mark_contract_winners(
-    df: DataFrame, contract: SnapshotContract, total_rows: int | None = None
-) -> DataFrame:
+def mark_contract_winners(df: DataFrame, contract: SnapshotContract) -> DataFrame:
     """``mark_winners`` by the contract; needs ``is_valid`` when it prefers valid rows."""
     tiebreak = tuple(contract.tiebreak)
     if contract.prefer_valid:
         tiebreak = (("is_valid", "desc"),) + tiebreak
-    return mark_winners(df, contract.business_key, tiebreak, total_rows=total_rows)
+    return mark_winners(df, contract.business_key, tiebreak)
 
 
 def group_sizes(df: DataFrame, key: Sequence[str], name: str = "variants") -> DataFrame:

@@ -38,10 +38,11 @@ def layer_reconciliation(raw: DataFrame, counted: DataFrame, snapshot: str) -> D
     )
 
 
-def breakdown_json(refined: DataFrame, snapshot: str, top: int = 25) -> DataFrame:
-    """The most frequent reasons per snapshot as JSON text, most frequent first.
+def breakdown_json(refined: DataFrame, snapshot: str, top: int | None = None) -> DataFrame:
+    """The reasons per snapshot as JSON text, most frequent first; all of them unless ``top`` is given.
 
-    Counting comes first; the window and the list then hold one row per reason.
+    Counting comes first; the window and the list then hold one row per reason
+    combination, of which the contract's rules allow a fixed number.
     """
     counts = (
         refined.where(F.col(OUTCOME) == REJECTED)
@@ -49,11 +50,11 @@ def breakdown_json(refined: DataFrame, snapshot: str, top: int = 25) -> DataFram
         .agg(F.count(F.lit(1)).alias("n"))
     )
     ranked = Window.partitionBy(snapshot).orderBy(F.desc("n"), F.asc(REASON_TEXT))
-    listed = (
-        counts.withColumn("place", F.row_number().over(ranked))
-        .where(F.col("place") <= top)
-        .groupBy(snapshot)
-        .agg(F.sort_array(F.collect_list(F.struct("place", REASON_TEXT, "n"))).alias("entries"))
+    placed = counts.withColumn("place", F.row_number().over(ranked))
+    if top is not None:
+        placed = placed.where(F.col("place") <= top)
+    listed = placed.groupBy(snapshot).agg(
+        F.sort_array(F.collect_list(F.struct("place", REASON_TEXT, "n"))).alias("entries")
     )
     pairs = F.transform("entries", lambda e: F.struct(e[REASON_TEXT], e["n"]))
     return listed.select(

@@ -54,8 +54,8 @@ def settle(df: DataFrame, contract: SnapshotContract, kept: str) -> DataFrame:
     ).drop(IS_VALID, kept)
 
 
-def reason_breakdown(rejected: DataFrame, top: int | None = 25) -> DataFrame:
-    """Rows per combined reason text, most frequent first."""
+def reason_breakdown(rejected: DataFrame, top: int | None = None) -> DataFrame:
+    """Rows per combined reason text, most frequent first; all of them unless ``top`` is given."""
     counts = rejected.groupBy(REASON_TEXT).agg(F.count(F.lit(1)).alias("n"))
     ordered = counts.orderBy(F.desc("n"), F.asc(REASON_TEXT))
     return ordered if top is None else ordered.limit(top)

@@ -24,19 +24,19 @@ class ReconciliationError(RuntimeError):
     """Written rows do not add up to the raw rows."""
 
 
-def refine(raw: DataFrame, contract: SnapshotContract, total_rows: int | None = None) -> DataFrame:
+def refine(raw: DataFrame, contract: SnapshotContract) -> DataFrame:
     """Every raw row once, with ``outcome`` and ``rejection_reason``.
 
     Duplicates are searched on cleaned source columns, before anything is
-    derived, so the one shuffle carries source columns only; keys, derived
-    columns and verdicts are computed behind it.  A contract that prefers valid
-    rows needs the verdicts first.
+    derived, so its shuffle carries source columns only; keys, derived columns
+    and verdicts are computed behind it.  A contract that prefers valid rows needs
+    the verdicts first.  ``raw`` is read twice and has to be a stored table.
     """
     cleaned = clean(raw, contract)
     if contract.prefer_valid:
         judged = judge(derive(cleaned, contract), contract.rules)
-        return settle(mark_contract_winners(judged, contract, total_rows), contract, KEPT)
-    marked = mark_contract_winners(cleaned, contract, total_rows)
+        return settle(mark_contract_winners(judged, contract), contract, KEPT)
+    marked = mark_contract_winners(cleaned, contract)
     return settle(judge(derive(marked, contract), contract.rules), contract, KEPT)
 
 
@@ -96,7 +96,7 @@ def refine_snapshots(
         raise EmptyInputError(f"no raw rows under {raw_path} for {snapshots or 'any snapshot'}")
 
     columns = [c for c in contract.output if c != snap]
-    refined = refine(raw, contract, sum(sizes.values())).select(*columns, REASON_TEXT, OUTCOME, snap)
+    refined = refine(raw, contract).select(*columns, REASON_TEXT, OUTCOME, snap)
     tables.write_partitions(
         refined,
         refined_path,

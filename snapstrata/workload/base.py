@@ -17,7 +17,6 @@ from pyspark.sql.types import StructType
 
 from snapstrata.contract import LeadTimeBands
 from snapstrata.contracts.flights import CABINS, FLIGHTS, fare_rules
-from snapstrata.operators.dedupe import HOT_ROWS
 from snapstrata.plans.refine import refine, valid_rows
 from snapstrata.session import work_area
 
@@ -178,15 +177,9 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def refined(spark: SparkSession, sf_dir: str, contract=QUOTES) -> DataFrame:
-    # every lookup is a left join on a unique key, so quotes are as many as lines,
-    # and the line count comes from the file footers
-    lines = table(spark, sf_dir, "lineitem").count()
-    raw = quotes(spark, sf_dir)
-    if lines > HOT_ROWS:
-        # the search for hot keys reads its input more than once: land the quotes
-        # first, as the raw layer does, instead of repeating the lookups
-        raw = stored(raw, "raw")
-    return refine(raw, contract, lines)
+    # the search for duplicates reads its input twice: land the quotes first, as the
+    # raw layer does, instead of repeating the lookups
+    return refine(stored(quotes(spark, sf_dir), "raw"), contract)
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:

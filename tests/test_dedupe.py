@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from snapstrata.operators.dedupe import HOT_ROWS, deduplicate, keep_first, mark_winners
+from snapstrata.operators.dedupe import deduplicate, keep_first, mark_winners
 from snapstrata.sources.tables import write_partitions
 
 SCHEMA = "id long, k1 string, k2 int, at timestamp_ntz, score double, rank int"
@@ -53,34 +53,29 @@ def expected_winners(df):
     return {r["id"] for r in best.values()}
 
 
-@pytest.mark.parametrize("hot_rows", [0, 5, 100, HOT_ROWS])
-def test_marking_matches_brute_force(spark, hot_rows):
+def test_marking_matches_brute_force(spark):
     df = sample(spark)
-    marked = mark_winners(df, ("k1", "k2"), ORDER, hot_rows=hot_rows)
+    marked = mark_winners(df, ("k1", "k2"), ORDER)
     assert marked.count() == df.count()
     assert marked.columns == [*df.columns, "_kept"]
     assert {r["id"] for r in marked.where("_kept").collect()} == expected_winners(df)
 
 
-def test_small_inputs_skip_the_search(spark):
-    df = sample(spark)
-    with_search = mark_winners(df, ("k1", "k2"), ORDER)
-    without = mark_winners(df, ("k1", "k2"), ORDER, total_rows=df.count())
-    plan = without._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan and "Aggregate" not in plan
-    assert "Join" in with_search._jdf.queryExecution().optimizedPlan().toString()
+def test_full_ties_leave_one_row(spark):
+    df = spark.createDataFrame([(1, 5), (1, 5), (1, 5), (2, 1), (None, 3), (None, 3)], "k int, o int")
+    marked = mark_winners(df, ("k",), (("o", "asc"),))
+    assert marked.count() == 6 and marked.where("_kept").count() == 3
 
 
-def test_full_ties_leave_one_row(spark):
-    df = spark.createDataFrame([(1, 5), (1, 5), (1, 5), (2, 1)], "k int, o int")
-    for hot_rows in (0, HOT_ROWS):
-        marked = mark_winners(df, ("k",), (("o", "asc"),), hot_rows=hot_rows)
-        assert marked.where("_kept").count() == 2
+def test_ties_of_different_rows_leave_one_row(spark):
+    df = spark.createDataFrame([(1, 5, x) for x in "abcab"], "k int, o int, other string")
+    marked = mark_winners(df, ("k",), (("o", "asc"),)).collect()
+    assert sorted(r["other"] for r in marked) == list("aabbc") and sum(r["_kept"] for r in marked) == 1
 
 
 def test_kept_and_dropped_cover_the_input(spark):
     df = sample(spark)
-    kept, dropped = deduplicate(df, ("k1", "k2"), ORDER, hot_rows=20)
+    kept, dropped = deduplicate(df, ("k1", "k2"), ORDER)
     ids = [r["id"] for r in kept.collect()] + [r["id"] for r in dropped.collect()]
     assert sorted(ids) == list(range(df.count()))
     assert {r["id"] for r in kept.collect()} == expected_winners(df)
@@ -93,17 +88,38 @@ def test_keep_first_limits_groups_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
-def test_losing_rows_of_a_hot_key_are_spread(spark):
-    """No group of the ranking window holds more than a small part of the hot key."""
-    one_key = spark.range(4000).select(F.lit("x").alias("k"), F.col("id").alias("o"))
-    marked = mark_winners(one_key, ("k",), (("o", "asc"),), hot_rows=10)
-    spread = marked.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    assert max(r["count"] for r in spread) < 4000
-    assert [r["o"] for r in marked.where("_kept").collect()] == [0]
+@pytest.mark.parametrize("tied", [False, True])
+def test_a_hot_key_is_never_gathered(spark, tied):
+    """One key, distinct or tied order: adaptive execution splits the join, no window sorts the key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        place = F.lit(1) if tied else F.col("id")
+        rows = spark.range(0, 40_000, 1, 8).select(
+            F.when(F.col("id") % 3 > 0, "x").otherwise(F.col("id").cast("string")).alias("k"),
+            place.alias("o"),
+            F.sha1(F.col("id").cast("string")).alias("payload"),
+        )
+        marked = mark_winners(rows, ("k",), (("o", "asc"),))
+        counted = marked.groupBy("_kept").agg(F.count(F.lit(1)).alias("n"), F.max("payload"))
+        assert {r["_kept"]: r["n"] for r in counted.collect()} == {True: 13_335, False: 26_665}
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert "skew=true" in plan and "Window" not in plan
 
 
 def test_marked_rows_can_be_written(spark, tmp_path):
-    marked = mark_winners(sample(spark), ("k1", "k2"), ORDER, hot_rows=50)
+    marked = mark_winners(sample(spark), ("k1", "k2"), ORDER)
     path = str(tmp_path / "marked")
     write_partitions(marked, path, by=("_kept",))
     assert spark.read.parquet(path).count() == 600

@@ -197,5 +197,6 @@ class _Unset:
 def test_without_a_named_folder_only_local_mode_makes_its_own():
     local = _Unset("local[2]")
     assert shared_dir(local) == shared_dir(local) == local.made
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(_Unset("spark://host:7077"))
+    for cluster in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(_Unset(cluster))
