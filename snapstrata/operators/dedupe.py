@@ -89,19 +89,22 @@ def mark_winners(
     columns = df.columns
     place = F.struct(order_struct(df, tiebreak).alias("order"), F.xxhash64(*columns).alias("row"))
     placed = df.select("*", F.xxhash64(*key).alias("_hk"), F.struct(*key).alias("_dk"), place.alias("_place"))
-    best = placed.groupBy("_hk", "_dk").agg(F.min("_place").alias("_best")).select(
-        F.col("_hk").alias("_bh"), F.col("_dk").alias("_bk"), "_best"
+    best = (
+        placed.groupBy("_hk", "_dk")
+        .agg(F.min("_place").alias("_best"), F.count(F.lit(1)).alias("_rows"))
+        .select(F.col("_hk").alias("_bh"), F.col("_dk").alias("_bk"), "_best", "_rows")
     )
     # the hash alone is the join key, so both sides are shuffled for the join and adaptive
     # execution may split them; keys that share a hash are told apart behind it
     own = (F.col("_hk") == F.col("_bh")) & F.array_contains(F.array("_bk"), F.col("_dk"))
     joined = placed.join(best, own)
     first = F.col("_place") == F.col("_best")
-    losers = joined.where(~first).select(*columns, F.lit(False).alias(flag))
-    copies = joined.where(first).groupBy("_hk", "_dk", *columns).agg(F.count(F.lit(1)).alias("_copies"))
+    # only a key with several rows can hold copies of its best one
+    settled = joined.where(~first | (F.col("_rows") == 1)).select(*columns, first.alias(flag))
+    copies = joined.where(first & (F.col("_rows") > 1)).groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     copy = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")
     winners = copies.select(*columns, copy).withColumn(flag, F.col("_copy") == 1).drop("_copy")
-    return losers.unionAll(winners)
+    return settled.unionAll(winners)
 
 
 def deduplicate(

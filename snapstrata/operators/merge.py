@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -42,15 +42,26 @@ def partition_values(df: DataFrame, column: str) -> list:
     """Distinct snapshot values.
 
     Collected on purpose: there is one per calendar day, and as literals they
-    prune partitions and need no join.
+    prune partitions and need no join.  None, for rows without a snapshot, comes last.
     """
-    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
+    found = [r[0] for r in df.select(column).distinct().collect()]
+    return sorted(v for v in found if v is not None) + [None] * (None in found)
+
+
+def in_snapshots(column: str, values: Sequence) -> Column:
+    """Does the row belong to one of the snapshots?  None stands for rows without one; never NULL."""
+    known = [v for v in values if v is not None]
+    among = F.coalesce(F.col(column).isin(*known), F.lit(False)) if known else F.lit(False)
+    return among | F.col(column).isNull() if None in values else among
+
+
+def repeated_keys(batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    return batch.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def replace_snapshots(target: DataFrame, batch: DataFrame, snapshot: str) -> DataFrame:
     """The batch is the whole truth for its snapshots; other snapshots stay."""
-    touched = F.col(snapshot).isin(*partition_values(batch, snapshot))
-    untouched = target.where(F.col(snapshot).isNull() | ~touched)
+    untouched = target.where(~in_snapshots(snapshot, partition_values(batch, snapshot)))
     return untouched.select(*batch.columns).unionByName(batch)
 
 
@@ -72,4 +83,4 @@ def arrived_since(
     if last_arrival is None:
         return df
     fresh = df.where(F.col(arrival) > F.lit(last_arrival))
-    return df.where(F.col(snapshot).isin(*partition_values(fresh, snapshot)))
+    return df.where(in_snapshots(snapshot, partition_values(fresh, snapshot)))

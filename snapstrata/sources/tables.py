@@ -28,8 +28,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.read.schema(schema).parquet(path)
 
 
+#: what partitioned tables call the partition of NULL
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def leaf(by: Sequence[str], values: Sequence[object]) -> str:
-    return "/".join(f"{c}={v}" for c, v in zip(by, values, strict=True))
+    return "/".join(f"{c}={NO_VALUE if v is None else v}" for c, v in zip(by, values, strict=True))
 
 
 def write_partitions(
@@ -54,7 +58,7 @@ def write_partitions(
     of a table partitioned the same way): the write then moves no rows.  Sorting
     inside the files keeps Parquet min/max statistics selective.
     """
-    parts = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in by]
+    parts = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in by]
     seen = Observation()
     out = df.hint("rebalance", *by) if balance else df
     if sort:
@@ -103,6 +107,7 @@ def load_incrementally(
     mode: str = "replace",
     update: Sequence[str] = (),
     sort: Sequence[str] = (),
+    keys_stay: bool = False,
 ) -> list:
     """Bring ``batch`` into the table, touching only the snapshots it contains.
 
@@ -110,30 +115,46 @@ def load_incrementally(
     * ``delete_insert``: rows sharing a key with the batch go, batch rows come in.
     * ``upsert``: matching rows get the ``update`` columns, new keys are inserted.
 
-    Keys carry the snapshot, so a key can only ever live in its own partition.
-    The merged rows are written to the shared work folder before the target's
-    partitions are replaced: a lost executor or a failed job leaves either the
-    old or the new content, never a mix read from a half-replaced table.
+    Rows without a snapshot are a partition like any other.  Where the key does not
+    name the snapshot, a key of the batch may sit in another partition of the table;
+    those partitions are found and rewritten as well, so that the key moves.
+    ``keys_stay`` saves that search where a key's snapshot never changes.  An upsert refuses
+    a batch that repeats a key, before anything is written.
+
+    The batch and the merged rows are written to the shared work folder before the
+    target's partitions are replaced, so nothing is read from a table that is being
+    rewritten.  Partitions are replaced one by one: a run that fails in between leaves
+    some of them new and some old, and is repaired by running it again.
     """
+    if mode not in ("replace", "delete_insert", "upsert"):
+        raise ValueError(f"unknown load mode {mode!r}")
+    arrived = work_area(spark, "batch")
+    batch.write.parquet(arrived)
+    batch = spark.read.schema(batch.schema).parquet(arrived)
+    if mode == "upsert":
+        repeated = merge.repeated_keys(batch, key).first()
+        if repeated is not None:
+            raise ValueError(f"the batch holds a key {repeated['n']} times: {[repeated[k] for k in key]}")
     days = merge.partition_values(batch, snapshot)
-    owned = [(d,) for d in days]
     if mode != "replace" and exists(spark, path):
+        if snapshot not in key and not keys_stay:
+            elsewhere = spark.read.schema(batch.schema).parquet(path).join(batch.select(*key), list(key), "left_semi")
+            known = {*days, *merge.partition_values(elsewhere, snapshot)}
+            days = sorted(d for d in known if d is not None) + [None] * (None in known)
         current = (
             spark.read.schema(batch.schema)
             .parquet(path)
-            .where(F.col(snapshot).isin(*days))
+            .where(merge.in_snapshots(snapshot, days))
             .select(*batch.columns)
         )
         if mode == "delete_insert":
             merged = merge.delete_insert(current, batch, key)
-        elif mode == "upsert":
-            merged = merge.upsert(current, batch, key, update)
         else:
-            raise ValueError(f"unknown load mode {mode!r}")
+            merged = merge.upsert(current, batch, key, update)
         staged = work_area(spark, "merge")
         merged.write.parquet(staged)
-        batch = spark.read.parquet(staged)
-    write_partitions(batch, path, by=(snapshot,), owned=owned, sort=sort)
+        batch = spark.read.schema(merged.schema).parquet(staged)
+    write_partitions(batch, path, by=(snapshot,), owned=[(d,) for d in days], sort=sort)
     return days
 
 

@@ -11,11 +11,10 @@ from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from snapstrata.contract import SnapshotContract
 from snapstrata.operators.dedupe import keep_first
-from snapstrata.operators.merge import partition_values
+from snapstrata.operators.merge import in_snapshots, partition_values
 from snapstrata.plans.build import take_in
 from snapstrata.plans.landing import Lake
 from snapstrata.session import work_area
@@ -77,8 +76,8 @@ def merge_arrivals(
 ) -> None:
     """Merge streamed rows into a table partitioned by ``snapshot``, one row per key.
 
-    Late rows go to the partition of their own date; nothing is dropped for
-    being late.  A replayed micro-batch finds its rows already there and
+    Late rows go to the partition of their own date, rows without one to the
+    partition of NULL; nothing is dropped.  A replayed micro-batch finds its rows already there and
     changes nothing.
     """
     key = list(dict.fromkeys([*key, snapshot]))
@@ -88,17 +87,15 @@ def merge_arrivals(
         # the batch is read twice below; write it down rather than rely on caches
         arrived = work_area(spark, "arrived")
         batch.write.parquet(arrived)
-        batch = spark.read.parquet(arrived)
+        batch = spark.read.schema(batch.schema).parquet(arrived)
         days = partition_values(batch, snapshot)
-        if not days:
-            return
         present = tables.read_or_empty(spark, target, batch.schema)
-        present = present.where(F.col(snapshot).isin(*days)).select(*batch.columns)
+        present = present.where(in_snapshots(snapshot, days)).select(*batch.columns)
         rows = present.unionByName(batch)
         staged = work_area(spark, "arrivals")
         keep_first(rows, key, tiebreak).write.parquet(staged)
         tables.write_partitions(
-            spark.read.parquet(staged), target, by=(snapshot,), owned=[(d,) for d in days]
+            spark.read.schema(rows.schema).parquet(staged), target, by=(snapshot,), owned=[(d,) for d in days]
         )
 
     run_available(stream, handle, checkpoint)

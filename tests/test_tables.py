@@ -200,3 +200,24 @@ def test_without_a_named_folder_only_local_mode_makes_its_own():
     for cluster in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             shared_dir(_Unset(cluster))
+
+
+def test_an_upsert_refuses_a_batch_that_repeats_a_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.load_incrementally(spark, path, frame(spark, ("a", 1, D1)), ("k",), "d")
+    twice = frame(spark, ("a", 2, D1), ("a", 3, D1))
+    with pytest.raises(ValueError, match="2 times"):
+        tables.load_incrementally(spark, path, twice, ("k",), "d", mode="upsert", update=("v",))
+    assert [r["v"] for r in spark.read.parquet(path).collect()] == [1]
+
+
+@pytest.mark.parametrize("mode", ["replace", "delete_insert", "upsert"])
+def test_rows_without_a_snapshot_stay(spark, tmp_path, mode):
+    path = str(tmp_path / "t")
+    for batch in (frame(spark, ("a", 1, None), ("b", 2, D1)), frame(spark, ("c", 3, D1), ("e", 5, D2))):
+        tables.load_incrementally(spark, path, batch, ("k",), "d", mode=mode, update=("v",))
+    kept = {r["k"] for r in spark.read.parquet(path).collect()}
+    assert kept == ({"a", "c", "e"} if mode == "replace" else {"a", "b", "c", "e"})
+    tables.load_incrementally(spark, path, frame(spark, ("f", 6, None)), ("k",), "d", mode=mode, update=("v",))
+    kept = {r["k"] for r in spark.read.parquet(path).collect()}
+    assert kept == ({"f", "c", "e"} if mode == "replace" else {"a", "b", "c", "e", "f"})
