@@ -40,9 +40,11 @@ def unordered_pair(left: str, right: str, link: str = "<->") -> Column:
 
 
 def label_code(column: Column | str, codes: Mapping[str, int]) -> Column:
-    """Look a label up in a literal map; unknown labels give NULL."""
-    pairs = [F.lit(x) for item in codes.items() for x in item]
-    return F.create_map(*pairs)[_c(column)].cast("int")
+    """The number that stands for a label; unknown labels give NULL."""
+    known = F.lit(None).cast("int")
+    for label, code in codes.items():
+        known = F.when(_c(column) == label, code).otherwise(known)
+    return known
 
 
 # --- keys -----------------------------------------------------------------

@@ -13,7 +13,14 @@ from snapstrata.operators.merge import partition_values
 from snapstrata.plans import marts, star
 from snapstrata.plans.landing import Lake, Landed, land_file
 from snapstrata.plans.refine import RefinedTables, refine_snapshots
-from snapstrata.sources import tables
+from snapstrata.sources import audit, tables
+
+
+def unrefined(spark: SparkSession, lake: Lake) -> list[date]:
+    """Snapshots with a delivery that no reconciled refining run has followed yet."""
+    log = audit.read_run_log(spark, lake.run_log).where((F.col("layer") == "silver") & F.col("reconciled"))
+    manifest = audit.read_manifest(spark, lake.manifest)
+    return audit.behind(audit.latest(manifest, "ingested_at"), audit.latest(log, "logged_at"))
 
 
 def take_in(
@@ -24,10 +31,17 @@ def take_in(
     *,
     as_of_date: str | date | None = None,
     force: bool = False,
+    merge_same_day: bool = False,
 ) -> Landed:
-    """Land one file and refine the snapshot it belongs to; a repeat does neither."""
-    landed = land_file(spark, path, contract, lake, as_of_date=as_of_date, force=force)
-    if landed.taken:
+    """Land one file and refine the snapshot it belongs to.
+
+    A repeat lands nothing.  Whether to refine is decided by the control tables, not by
+    this landing: a run that failed between the two is made up for by the next.
+    """
+    landed = land_file(
+        spark, path, contract, lake, as_of_date=as_of_date, force=force, merge_same_day=merge_same_day
+    )
+    if landed.as_of_date in unrefined(spark, lake):
         refine_snapshots(
             spark,
             lake.raw,
@@ -69,20 +83,25 @@ def gold_frames(
     }
 
 
-def changed_snapshots(staged: DataFrame, turned_away: DataFrame, loaded: DataFrame) -> list[date]:
-    """Snapshots whose newest accepted row differs from the newest loaded one.
+def changed_snapshots(spark: SparkSession, lake: Lake) -> list[date]:
+    """Snapshots that were refined after their last refresh, or were never refreshed.
 
-    A snapshot without any accepted row is always among them.  All three sides
-    are folded to one row per snapshot before they meet.
+    Found in the run log, which has a row per snapshot and run, and in the names of the
+    refined partitions; no row of the history is read.  A refining run counts
+    whatever it changed: new rules, corrected rejects, or a snapshot that lost all its rows.
     """
-
-    def newest(frame: DataFrame, name: str) -> DataFrame:
-        return frame.groupBy("as_of_date").agg(F.max("ingested_at").alias(name))
-
-    sides = newest(staged, "accepted").join(newest(turned_away, "rejected"), "as_of_date", "full")
-    sides = sides.join(newest(loaded, "loaded"), "as_of_date", "left")
-    stale = F.col("accepted").isNull() | ~F.col("accepted").eqNullSafe(F.col("loaded"))
-    return partition_values(sides.where(stale), "as_of_date")
+    log = audit.read_run_log(spark, lake.run_log)
+    refreshed = audit.latest(log.where(F.col("layer") == "gold"), "logged_at")
+    refined = audit.latest(log.where((F.col("layer") == "silver") & F.col("reconciled")), "logged_at")
+    known = {r["as_of_date"] for r in refreshed.collect()}
+    halves = RefinedTables(lake.refined)
+    held = {
+        date.fromisoformat(value)
+        for path in (halves.valid, halves.rejected)
+        for value in tables.partition_names(spark, path, "as_of_date")
+        if value != tables.NO_VALUE
+    }
+    return sorted({*audit.behind(refined, refreshed), *(held - known)})
 
 
 def refresh_gold(
@@ -98,8 +117,8 @@ def refresh_gold(
     """Bring the gold tables up to date with the refined layer.
 
     Takes the named snapshots, or those that changed since the last refresh
-    (``changed_snapshots``, which also finds late files for old days), or all of
-    them on a full refresh.  Fact, rollup and marts carry the snapshot in their
+    (``changed_snapshots``, which also finds late files for old days and snapshots that
+    were emptied), or all of them on a full refresh.  Fact, rollup and marts carry the snapshot in their
     grain, so only the touched snapshots are recomputed and replaced; the
     dimensions span all snapshots and are folded from the stored rollup.
     The staging views are registered, not stored.  Returns the touched snapshots.
@@ -113,12 +132,13 @@ def refresh_gold(
     fact_path, cube_path = f"{lake.gold}/fct_flight_price_quote", f"{lake.gold}/fare_cube"
     if snapshots is not None:
         days = sorted(date.fromisoformat(s) for s in snapshots)
-    elif full_refresh or not tables.exists(spark, fact_path):
-        known = {*partition_values(staged, "as_of_date"), *partition_values(turned_away, "as_of_date")}
-        days = sorted(known)
     else:
-        loaded = spark.read.schema("as_of_date date, ingested_at timestamp").parquet(fact_path)
-        days = changed_snapshots(staged, turned_away, loaded)
+        days = changed_snapshots(spark, lake)
+        if full_refresh:
+            known = (*partition_values(staged, "as_of_date"), *partition_values(turned_away, "as_of_date"))
+            loaded = tables.partition_names(spark, fact_path, "as_of_date")
+            held = {date.fromisoformat(v) for v in loaded if v != tables.NO_VALUE}
+            days = sorted({*days, *held, *(d for d in known if d is not None)})
     if not days:
         return []
     touched = F.col("as_of_date").isin(*days)
@@ -159,4 +179,6 @@ def refresh_gold(
     }
     for name, frame in dimensions.items():
         tables.write_table(frame, f"{lake.gold}/{name}")
+    entries = spark.createDataFrame([(d,) for d in days], "as_of_date date").withColumn("reconciled", F.lit(True))
+    audit.append_run_log(spark, audit.run_log_rows(entries, "gold"), lake.run_log)
     return days

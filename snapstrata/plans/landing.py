@@ -14,6 +14,10 @@ from snapstrata.session import work_area
 from snapstrata.sources import audit, fingerprint, scan, tables
 
 
+class LandingError(RuntimeError):
+    """The rows that landed are not those of the file."""
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the layers live under one root."""
@@ -64,21 +68,20 @@ def land_file(
     """Header gate, duplicate-delivery gate, scan, write, manifest, log, in this order.
 
     A second file for a snapshot replaces the first; with ``merge_same_day`` its
-    rows join the ones already there.  The manifest is written after the data,
-    so an interrupted run is simply repeated.
+    rows join the ones already there.  The manifest is written after the data, and
+    not at all where the rows that arrived are not those of the file, so an
+    interrupted or failed run is simply repeated.
     """
     started = time.monotonic()
     day = scan.resolve_snapshot(spark, path, as_of_date)
     batch_id = scan.new_batch_id(day)
     rows = scan.scan_csv(spark, path, contract)
-    file_hash, lines, files = fingerprint.file_fingerprint(spark, path)
+    file_hash, source_rows, _ = fingerprint.file_fingerprint(spark, path)
     manifest = audit.read_manifest(spark, lake.manifest)
     if not force and audit.already_ingested(manifest, file_hash, day):
         return Landed(day, batch_id, file_hash, taken=False)
 
     file_name = path.rstrip("/").rsplit("/", 1)[-1]
-    # a folder delivery is one logical file, made of parts with a header line each
-    source_rows = lines - files
     raw = scan.with_lineage(
         rows,
         contract,
@@ -105,19 +108,18 @@ def land_file(
         (F.col(snap) == F.lit(day)) & (F.col("_batch_id") == batch_id)
     )
     landed_rows = written.count()
-    audit.record_ingestion(
-        spark,
-        lake.manifest,
-        source_file=file_name,
-        file_hash=file_hash,
-        as_of_date=day,
-        batch_id=batch_id,
-        source_row_count=source_rows,
-    )
+    same = source_rows == landed_rows
     entry = spark.createDataFrame(
-        [(day, file_name, source_rows, landed_rows, source_rows == landed_rows)],
+        [(day, file_name, source_rows, landed_rows, same)],
         "as_of_date date, source_file string, source_row_count long, "
         "bronze_row_count long, reconciled boolean",
     ).withColumn("runtime_seconds", F.lit(time.monotonic() - started))
     audit.append_run_log(spark, audit.run_log_rows(entry, "bronze", batch_id), lake.run_log)
+    if not same:
+        raise LandingError(f"{file_name}: {source_rows} rows in the file, {landed_rows} landed")
+    delivery = spark.createDataFrame(
+        [(file_name, file_hash, day, batch_id, source_rows)],
+        "source_file string, file_hash string, as_of_date date, batch_id string, source_row_count long",
+    )
+    audit.record_deliveries(delivery, lake.manifest)
     return Landed(day, batch_id, file_hash, taken=True, rows=landed_rows)

@@ -91,7 +91,11 @@ def refine_snapshots(
     raw_counts = raw.groupBy(snap).agg(F.count(F.lit(1)).alias("bronze_row_count"))
     # one row per snapshot date: bounded by the calendar, not by the data
     sizes = {str(r[0]): r[1] for r in raw_counts.collect()}
-    owned = sorted(sizes)
+    # a snapshot that lost all its raw rows is emptied on both sides as well
+    halves = RefinedTables(refined_path)
+    held = {v for p in (halves.valid, halves.rejected) for v in tables.partition_names(spark, p, snap)}
+    emptied = {str(s) for s in snapshots or () if str(s) in held}
+    owned = sorted({*sizes, *emptied})
     if not owned:
         raise EmptyInputError(f"no raw rows under {raw_path} for {snapshots or 'any snapshot'}")
 
@@ -110,6 +114,8 @@ def refine_snapshots(
     written = spark.read.parquet(refined_path).where(
         F.col(snap).isin(*[F.lit(d).cast("date") for d in owned])
     )
+    every = spark.createDataFrame([(d, sizes.get(d, 0)) for d in owned], "day string, bronze_row_count long")
+    raw_counts = every.select(F.col("day").cast("date").alias(snap), "bronze_row_count")
     metrics = snapshot_metrics(written, raw_counts, contract)
     log = audit.run_log_rows(metrics, layer="silver", batch_id=batch_id)
     entries = audit.append_run_log(spark, log, log_path)

@@ -38,19 +38,63 @@ def route_lookup(staged: DataFrame) -> DataFrame:
 
 # ---- fixed values: column names and order of the enriched quotes and the fact ----
 ENRICHED = (
-    "flight_quote_sk quote_group_sk as_of_date route_id route_name route_pair_name origin_city "
-    "destination_city airline_name flight_number departure_time_bucket arrival_time_bucket "
-    "stops_label stops_count is_nonstop cabin_class duration_hours duration_minutes "
-    "days_to_departure price_inr lead_time_bucket lead_time_bucket_sort price_per_hour_inr "
-    "is_premium_cabin source_file_name ingested_at batch_id"
-).split()
+    "flight_quote_sk",
+    "quote_group_sk",
+    "as_of_date",
+    "route_id",
+    "route_name",
+    "route_pair_name",
+    "origin_city",
+    "destination_city",
+    "airline_name",
+    "flight_number",
+    "departure_time_bucket",
+    "arrival_time_bucket",
+    "stops_label",
+    "stops_count",
+    "is_nonstop",
+    "cabin_class",
+    "duration_hours",
+    "duration_minutes",
+    "days_to_departure",
+    "price_inr",
+    "lead_time_bucket",
+    "lead_time_bucket_sort",
+    "price_per_hour_inr",
+    "is_premium_cabin",
+    "source_file_name",
+    "ingested_at",
+    "batch_id",
+)
 FACT = (
-    "flight_quote_sk quote_group_sk as_of_date route_id airline_id flight_number airline_name "
-    "route_name origin_city destination_city departure_time_bucket arrival_time_bucket stops_label "
-    "stops_count is_nonstop cabin_class is_premium_cabin lead_time_bucket lead_time_bucket_sort "
-    "days_to_departure price_inr price_per_hour_inr duration_hours duration_minutes "
-    "source_file_name ingested_at batch_id"
-).split()
+    "flight_quote_sk",
+    "quote_group_sk",
+    "as_of_date",
+    "route_id",
+    "airline_id",
+    "flight_number",
+    "airline_name",
+    "route_name",
+    "origin_city",
+    "destination_city",
+    "departure_time_bucket",
+    "arrival_time_bucket",
+    "stops_label",
+    "stops_count",
+    "is_nonstop",
+    "cabin_class",
+    "is_premium_cabin",
+    "lead_time_bucket",
+    "lead_time_bucket_sort",
+    "days_to_departure",
+    "price_inr",
+    "price_per_hour_inr",
+    "duration_hours",
+    "duration_minutes",
+    "source_file_name",
+    "ingested_at",
+    "batch_id",
+)
 # ---- end of fixed values ----
 
 

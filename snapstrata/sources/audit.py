@@ -85,20 +85,6 @@ def repeated_deliveries(deliveries: DataFrame, manifest: DataFrame) -> DataFrame
     )
 
 
-def record_ingestion(
-    spark: SparkSession,
-    path: str,
-    *,
-    source_file: str,
-    file_hash: str,
-    as_of_date: date,
-    batch_id: str,
-    source_row_count: int,
-) -> None:
-    entry = (source_file, file_hash, as_of_date, batch_id, int(source_row_count), now_utc())
-    append_rows(spark.createDataFrame([entry], MANIFEST_SCHEMA), path)
-
-
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Project onto a fixed schema, filling columns the frame lacks with NULL."""
     present = set(df.columns)
@@ -110,6 +96,28 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
+def record_deliveries(deliveries: DataFrame, path: str) -> None:
+    """Enter deliveries, one or many, into the manifest; columns they lack stay NULL."""
+    stamped = deliveries.withColumn("ingested_at", F.lit(now_utc()))
+    append_rows(conform(stamped, MANIFEST_SCHEMA), path)
+
+
+def latest(frame: DataFrame, moment: str) -> DataFrame:
+    """The newest entry's time per snapshot: (as_of_date, at)."""
+    return frame.groupBy("as_of_date").agg(F.max(moment).alias("at"))
+
+
+def behind(newer: DataFrame, older: DataFrame) -> list[date]:
+    """Snapshots whose newest entry in ``newer`` has none as new in ``older``.
+
+    Both are control tables: a row per snapshot and run.
+    """
+    done = older.select(F.col("as_of_date").alias("done_date"), F.col("at").alias("done_at"))
+    same = F.col("as_of_date") == F.col("done_date")
+    open_ = newer.join(done, same, "left").where(F.col("done_at").isNull() | (F.col("done_at") < F.col("at")))
+    return sorted(r["as_of_date"] for r in open_.select("as_of_date").collect())
+
+
 def run_log_rows(metrics: DataFrame, layer: str, batch_id: str | None = None) -> DataFrame:
     """Metric rows in the shape of the run log (every layer writes the same columns)."""
     stamped = metrics.withColumns(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import warnings
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,50 +33,71 @@ class SchemaDriftError(Exception):
     """The incoming columns do not match the contract."""
 
 
+class Change(NamedTuple):
+    """One difference between incoming and declared columns."""
+
+    column_name: str
+    drift: str
+    expected: str | None
+    actual: str | None
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    first = spark.read.text(path).first()
+    return "" if first is None else first[0].lstrip("\ufeff")
+
+
+def raw_header(spark: SparkSession, path: str, separator: str = ",") -> list[str]:
+    """Column names as the first line spells them, without byte-order mark."""
+    line = first_line(spark, path)
+    return next(csv.reader([line], delimiter=separator)) if line else []
+
+
 def header_of(spark: SparkSession, path: str, separator: str = ",") -> list[str]:
     """Column names from the first line, without byte-order mark and padding."""
-    first = spark.read.text(path).first()
-    if first is None:
-        return []
-    names = next(csv.reader([first[0].lstrip("\ufeff")], delimiter=separator))
-    return [n.strip() for n in names]
-
-
-def find_drift(actual: Sequence[str], expected: Sequence[str]) -> dict[str, list[str]]:
-    """Missing and unexpected columns, or, with neither, a changed order."""
-    drift = {
-        MISSING: sorted(set(expected) - set(actual)),
-        UNEXPECTED: sorted(set(actual) - set(expected)),
-    }
-    drift = {kind: names for kind, names in drift.items() if names}
-    if not drift and list(actual) != list(expected):
-        drift[REORDERED] = list(actual)
-    return drift
-
-
-def check_drift(
-    actual: Sequence[str], expected: Sequence[str], *, allow_reorder: bool = True
-) -> dict[str, list[str]]:
-    """Raise on missing or unexpected columns; a pure reorder only warns when allowed."""
-    drift = find_drift(actual, expected)
-    if drift and not (allow_reorder and set(drift) == {REORDERED}):
-        raise SchemaDriftError(f"columns differ from the contract: {drift}")
-    if drift:
-        warnings.warn(f"column order differs from the contract: {drift}", stacklevel=2)
-    return drift
+    return [n.strip() for n in raw_header(spark, path, separator)]
+
+
+def column_changes(
+    actual: Sequence[tuple[str, str]], expected: Sequence[tuple[str, str]]
+) -> list[Change]:
+    """Compare (name, type) lists by name, type and position in one go.
+
+    A name that comes a second time is unexpected.  Positions are only compared
+    where both sides hold the same names.
+    """
+    wanted = {name: (place, kind) for place, (name, kind) in enumerate(expected)}
+    changes, seen, moved = [], set(), []
+    for place, (name, kind) in enumerate(actual):
+        if name not in wanted or name in seen:
+            changes.append(Change(name, UNEXPECTED, None, kind))
+            continue
+        seen.add(name)
+        right_place, right_kind = wanted[name]
+        if kind != right_kind:
+            changes.append(Change(name, RETYPED, right_kind, kind))
+        if place != right_place:
+            moved.append(Change(name, REORDERED, str(right_place), str(place)))
+    changes += [Change(n, MISSING, kind, None) for n, (_, kind) in wanted.items() if n not in seen]
+    return changes if {c.drift for c in changes} & {MISSING, UNEXPECTED} else changes + moved
+
+
+def gate_header(names: Sequence[str], declared: StructType, *, allow_reorder: bool = True) -> list[Change]:
+    """Stop on missing or unexpected columns; a changed order only warns when allowed."""
+    texts = [(name, "string") for name in names]
+    changes = column_changes(texts, [(name, "string") for name in declared.fieldNames()])
+    told = "; ".join(f"{c.drift}: {c.column_name}" for c in changes)
+    if any(c.drift != REORDERED or not allow_reorder for c in changes):
+        raise SchemaDriftError(f"the header is not the contract's: {told}")
+    if changes:
+        warnings.warn(f"the header is in another order: {told}", stacklevel=2)
+    return changes
 
 
 def drift_report(spark: SparkSession, actual: StructType, expected: StructType) -> DataFrame:
     """One row per difference in name, type or position."""
-    have = {f.name: f.dataType.simpleString() for f in actual.fields}
-    want = {f.name: f.dataType.simpleString() for f in expected.fields}
-    rows = [(n, MISSING, t, None) for n, t in want.items() if n not in have]
-    rows += [(n, UNEXPECTED, None, t) for n, t in have.items() if n not in want]
-    rows += [(n, RETYPED, t, have[n]) for n, t in want.items() if n in have and have[n] != t]
-    if set(have) == set(want):
-        spots = zip(want, have, strict=True)
-        rows += [(a, REORDERED, str(i), b) for i, (a, b) in enumerate(spots) if a != b]
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+    sides = [[(f.name, f.dataType.simpleString()) for f in side.fields] for side in (actual, expected)]
+    return spark.createDataFrame(column_changes(*sides), REPORT_SCHEMA)
 
 
 def value_drift(df: DataFrame, expected: StructType) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapstrata.sources.drift import first_line
+
 FIELD_SEPARATOR = "\x1f"
 NULL_MARK = "\x00"
 
@@ -46,14 +48,37 @@ def table_fingerprint(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
     return sums.select(*by, "row_count", mixed.alias("file_hash"))
 
 
+def _squeezed(line: Column) -> Column:
+    """A header line without byte-order mark and padding, so that all parts' headers look alike."""
+    return F.regexp_replace(line, "[\ufeff\\s]", "")
+
+
 def file_fingerprint(spark: SparkSession, path: str) -> tuple[str, int, int]:
-    """(hash, non-empty lines, files) of a text file or a folder of text files, in one pass."""
+    """(hash, data rows, files) of a delimited text file or a folder of such parts, in one pass.
+
+    The header line of each part counts for nothing, so a delivery is the same
+    however it is split.  Blank lines are no rows.
+    """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
-    per_file = _sums(lines.where(F.trim("value") != ""), F.md5("value"), ("_file",))
-    n = F.coalesce(F.sum("row_count"), F.lit(0))
+    header = _squeezed(F.lit(first_line(spark, path)))
+    digest = F.md5("value")
+    per_file = (
+        lines.where(F.trim("value") != "")
+        .groupBy("_file")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(_part(digest, 1)).alias("high"),
+            F.sum(_part(digest, 17)).alias("low"),
+            F.min(F.when(_squeezed(F.col("value")) == header, digest)).alias("head"),
+        )
+    )
+    zero = F.lit(0).cast("decimal(28,0)")
+    rows = F.coalesce(F.sum(F.col("n") - F.col("head").isNotNull().cast("long")), F.lit(0))
+    high, low = (
+        F.sum(F.col(name) - F.coalesce(_part(F.col("head"), start), zero))
+        for name, start in (("high", 1), ("low", 17))
+    )
     row = per_file.agg(
-        _mixed(n, F.sum("_high"), F.sum("_low")).alias("file_hash"),
-        n.alias("lines"),
-        F.count(F.lit(1)).alias("files"),
+        _mixed(rows, high, low).alias("file_hash"), rows.alias("rows"), F.count(F.lit(1)).alias("files")
     ).first()
-    return row["file_hash"], row["lines"], row["files"]
+    return row["file_hash"], row["rows"], row["files"]

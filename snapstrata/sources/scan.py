@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from snapstrata.contract import SnapshotContract
-from snapstrata.sources.drift import check_drift, header_of
+from snapstrata.sources.drift import gate_header, raw_header
 
 CORRUPT = "_corrupt_record"
 
@@ -23,13 +23,17 @@ def scan_csv(
 
     The declared fields are put into the order of the file's header, because a
     scan binds a given schema by position, and are then selected by name.  A
-    line that does not parse keeps its text in ``_corrupt_record``.
+    padded name is scanned as the file spells it and gets the declared name
+    behind the scan.  A line that does not parse keeps its text in ``_corrupt_record``.
     """
     declared = contract.source_schema
-    header = header_of(spark, path)
-    check_drift(header, declared.fieldNames(), allow_reorder=allow_reorder)
-    in_file_order = [declared[name] for name in header]
+    spelled = raw_header(spark, path)
+    names = [name.strip() for name in spelled]
+    gate_header(names, declared, allow_reorder=allow_reorder)
+    in_file_order = [StructField(raw, declared[name].dataType, True) for raw, name in zip(spelled, names)]
     schema = StructType(in_file_order + [StructField(CORRUPT, StringType(), True)])
+    place = dict(zip(names, spelled))
+    columns = [F.col("`" + place[n].replace("`", "``") + "`").alias(n) for n in declared.fieldNames()]
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -38,7 +42,7 @@ def scan_csv(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", False)
         .csv(path)
-        .select(*declared.fieldNames(), CORRUPT, F.col("_metadata.file_name").alias("_source_file"))
+        .select(*columns, CORRUPT, F.col("_metadata.file_name").alias("_source_file"))
     )
 
 

@@ -36,6 +36,16 @@ def leaf(by: Sequence[str], values: Sequence[object]) -> str:
     return "/".join(f"{c}={NO_VALUE if v is None else v}" for c, v in zip(by, values, strict=True))
 
 
+def partition_names(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the first partition column, from the folder names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(place)]
+    return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
+
+
 def write_partitions(
     df: DataFrame,
     path: str,

@@ -42,12 +42,14 @@ def take_in_arrivals(
     checkpoint: str,
     snapshot_of: Callable[[str], str | date | None] = lambda path: None,
     files_per_batch: int = 16,
+    merge_same_day: bool = False,
 ) -> None:
     """Take in each file that appears under ``inbox`` once.
 
     A micro-batch lists at most ``files_per_batch`` file names on the driver
     (only names: the content column is never read); the rows of each file are
-    read, judged and written by the executors.
+    read, judged and written by the executors.  Files are taken in one after another;
+    ``merge_same_day`` lets files of one snapshot join instead of replacing each other.
     """
     arrivals = (
         spark.readStream.format("binaryFile")
@@ -60,7 +62,9 @@ def take_in_arrivals(
     def handle(batch: DataFrame, _batch_id: int) -> None:
         paths = sorted(r["path"] for r in batch.distinct().collect())
         for path in paths:
-            take_in(batch.sparkSession, path, contract, lake, as_of_date=snapshot_of(path))
+            take_in(
+                batch.sparkSession, path, contract, lake, as_of_date=snapshot_of(path), merge_same_day=merge_same_day
+            )
 
     run_available(arrivals, handle, checkpoint)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import json
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,17 +179,29 @@ def test_unparsable_line_keeps_its_text(spark, tmp_path):
     assert bad["airline"] == rows[1]["airline"]
 
 
-@pytest.mark.parametrize(
-    ("header", "found"),
-    [
-        (HEADER, {}),
-        (HEADER[:-1], {"missing_columns": ["price"]}),
-        ([*HEADER, "fare_basis_code"], {"unexpected_columns": ["fare_basis_code"]}),
-        (HEADER[::-1], {"reordered_columns": HEADER[::-1]}),
-    ],
-)
-def test_drift_kinds(header, found):
-    assert drift.find_drift(header, HEADER) == found
+def changes_of(names):
+    texts = lambda columns: [(n, "string") for n in columns]
+    return {(c.column_name, c.drift) for c in drift.column_changes(texts(names), texts(HEADER))}
+
+
+def test_every_single_change_of_a_header_is_named():
+    assert changes_of(HEADER) == set()
+    for k, name in enumerate(HEADER):
+        rest = HEADER[:k] + HEADER[k + 1 :]
+        assert changes_of(rest) == {(name, drift.MISSING)}
+        assert changes_of([*rest, f"{name}_2"]) == {(name, drift.MISSING), (f"{name}_2", drift.UNEXPECTED)}
+        assert changes_of([*HEADER, name]) == {(name, drift.UNEXPECTED)}
+        if k:
+            assert changes_of([*HEADER[: k - 1], name, HEADER[k - 1], *HEADER[k + 1 :]]) == {
+                (name, drift.REORDERED), (HEADER[k - 1], drift.REORDERED)
+            }
+
+
+def test_the_gate_lets_an_order_pass_only_where_allowed():
+    with pytest.warns(UserWarning, match="another order"):
+        drift.gate_header(HEADER[::-1], FLIGHTS.source_schema)
+    with pytest.raises(drift.SchemaDriftError):
+        drift.gate_header(HEADER[::-1], FLIGHTS.source_schema, allow_reorder=False)
 
 
 def test_structural_drift_stops_the_run_before_anything_is_written(spark, lake, tmp_path):
@@ -219,7 +232,7 @@ def test_fingerprint_depends_on_content_only(spark, tmp_path):
     moved = write_csv(tmp_path / "moved.csv", rows[::-1])
     twice = write_csv(tmp_path / "twice.csv", [*rows, rows[0]])
     a, n, files = fingerprint.file_fingerprint(spark, one)
-    assert (n, files) == (41, 1)
+    assert (n, files) == (40, 1)
     assert fingerprint.file_fingerprint(spark, moved)[0] == a
     assert fingerprint.file_fingerprint(spark, twice)[0] != a
     empty = tmp_path / "empty.csv"
@@ -227,6 +240,69 @@ def test_fingerprint_depends_on_content_only(spark, tmp_path):
     assert fingerprint.file_fingerprint(spark, str(empty))[1] == 0
 
 
+def test_fingerprint_does_not_depend_on_the_split(spark, tmp_path):
+    rows = fares(30)
+    whole = fingerprint.file_fingerprint(spark, write_csv(tmp_path / "one.csv", rows))
+    parts = tmp_path / "parts"
+    parts.mkdir()
+    for k in range(3):
+        write_csv(parts / f"p{k}.csv", rows[k * 10 : k * 10 + 10])
+    assert fingerprint.file_fingerprint(spark, str(parts)) == (whole[0], 30, 3)
+
+
+def test_a_padded_header_is_the_same_delivery(spark, lake, tmp_path):
+    rows = fares(12)
+    plain = write_csv(tmp_path / "plain.csv", rows)
+    assert build.take_in(spark, plain, FLIGHTS, lake, as_of_date="2026-09-09").rows == 12
+    padded = tmp_path / "padded.csv"
+    first, rest = Path(plain).read_text().split("\n", 1)
+    padded.write_text("\ufeff" + first.replace(",", " , ") + "\n" + rest, encoding="utf-8")
+    again = build.take_in(spark, str(padded), FLIGHTS, lake, as_of_date="2026-09-09")
+    assert not again.taken
+    other = build.take_in(spark, str(padded), FLIGHTS, lake, as_of_date="2026-09-10")
+    assert other.rows == 12 and spark.read.parquet(lake.raw).where("price is null").count() == 0
+
+
+def test_a_failed_refining_is_made_up_for(spark, lake, tmp_path):
+    from snapstrata.plans.landing import land_file
+    from snapstrata.plans.refine import RefinedTables
+
+    source = write_csv(tmp_path / "f.csv", fares(9))
+    land_file(spark, source, FLIGHTS, lake, as_of_date="2026-09-09")
+    assert build.unrefined(spark, lake) == [date(2026, 9, 9)]
+    assert not build.take_in(spark, source, FLIGHTS, lake, as_of_date="2026-09-09").taken
+    assert build.unrefined(spark, lake) == []
+    assert RefinedTables(lake.refined).read_valid(spark).count() == 9
+
+
+def test_gold_follows_a_snapshot_that_is_refined_again_or_emptied(spark, lake, tmp_path):
+    from snapstrata.contracts.flights import STAGED_QUOTE, STAGED_REJECT, fare_rules
+    from snapstrata.plans.refine import refine_snapshots
+
+    def refresh():
+        return build.refresh_gold(spark, lake, FLIGHTS, STAGED_QUOTE, STAGED_REJECT)
+
+    def fact():
+        return spark.read.parquet(f"{lake.gold}/fct_flight_price_quote").groupBy("as_of_date").count().collect()
+
+    rows = fares(10)
+    for day in (9, 10):
+        build.take_in(spark, write_csv(tmp_path / f"{day}.csv", rows), FLIGHTS, lake, as_of_date=f"2026-09-{day:02d}")
+    assert [d.day for d in refresh()] == [9, 10] and refresh() == []
+    middle = sorted(r["price"] for r in rows)[5]
+    strict = FLIGHTS.with_options(rules=fare_rules(price=(1, middle)))
+    refine_snapshots(spark, lake.raw, lake.refined, lake.run_log, strict, snapshots=["2026-09-10"])
+    assert [d.day for d in refresh()] == [10]
+    left = sum(r["price"] <= middle for r in rows)
+    assert {r["as_of_date"].day: r["count"] for r in fact()} == {9: 10, 10: left} and left < 10
+    header = write_csv(tmp_path / "none.csv", [])
+    build.take_in(spark, header, FLIGHTS, lake, as_of_date="2026-09-09")
+    assert [d.day for d in refresh()] == [9]
+    assert {r["as_of_date"].day: r["count"] for r in fact()} == {10: left}
+    quality = spark.read.parquet(f"{lake.gold}/mart_data_quality_summary").where("as_of_date = '2026-09-09'")
+    assert quality.count() == 0
+
+
 def test_snapshot_resolution(spark, tmp_path, monkeypatch):
     source = write_csv(tmp_path / "s.csv", fares(1))
     assert scan.resolve_snapshot(spark, source, "2024-05-06") == date(2024, 5, 6)

@@ -128,7 +128,7 @@ def test_missing_control_table_is_empty_but_a_broken_one_is_an_error(spark, tmp_
 def test_manifest_probe_is_per_content_and_snapshot(spark, tmp_path):
     path = str(tmp_path / "manifest")
     entry = dict(source_file="f", file_hash="h1", as_of_date=D1, batch_id="b", source_row_count=3)
-    audit.record_ingestion(spark, path, **entry)
+    audit.record_deliveries(spark.createDataFrame([entry]), path)
     manifest = audit.read_manifest(spark, path)
     assert audit.already_ingested(manifest, "h1", D1)
     assert not audit.already_ingested(manifest, "h1", D2)
