@@ -20,13 +20,12 @@ import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+from snapstrata.session import shared_dir
+
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below spark.checkpoint.dir.  The setting must be there."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return f"{root.rstrip('/')}/llm/{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder below spark.checkpoint.dir; only a local session without the setting gets one of its own."""
+    return f"{shared_dir(spark)}/llm/{purpose}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
