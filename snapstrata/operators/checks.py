@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapstrata.functions.rules import outside
+from snapstrata.contract import SnapshotContract
+from snapstrata.functions.rules import OneOf, outside
 from snapstrata.sources.tables import write_partitions
 
 
@@ -126,7 +127,58 @@ def store_failures(tests: Mapping[str, DataFrame], path: str) -> None:
 
 def require_pass(tests: Mapping[str, DataFrame]) -> None:
     """Raise when any test has offending rows."""
-    failed = [r for r in failure_counts(tests).collect() if r["failures"]]
+    require_none(failure_counts(tests))
+
+
+def row_failures(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
+    """Offending rows per test, for tests that look at one row at a time: one pass for all of them."""
+    counted = df.agg(*[F.count_if(bad).alias(f"n{k}") for k, bad in enumerate(conditions.values())])
+    told = [F.struct(F.lit(name).alias("test_name"), F.col(f"n{k}").alias("failures")) for k, name in enumerate(conditions)]
+    return counted.select(F.inline(F.array(*told)))
+
+
+# ---- fixed values: staged columns that must be filled ----
+FILLED = (
+    "flight_quote_sk",
+    "quote_group_sk",
+    "as_of_date",
+    "airline_name",
+    "origin_city",
+    "destination_city",
+    "cabin_class",
+    "price_inr",
+    "duration_hours",
+    "days_to_departure",
+)
+# ---- end of fixed values ----
+
+
+def layer_failures(
+    valid: DataFrame,
+    rejected: DataFrame,
+    contract: SnapshotContract,
+    staged_quote: Sequence[tuple[str, str, str | None]],
+) -> DataFrame:
+    """The standing tests over the refined tables and their staged form: test_name, failures.
+
+    Staging renames columns one to one, so a test on a staged column is one on its source.
+    Accepted values are those of the contract's rules.
+    """
+    source = {target: column for column, target, _ in staged_quote}
+    conditions = {f"not_null_{name}": F.col(source[name]).isNull() for name in FILLED}
+    target = {column: name for name, column in source.items()}
+    for rule in contract.rules:
+        if isinstance(rule, OneOf):
+            conditions[f"accepted_{target[rule.column]}"] = ~F.col(rule.column).isin(*rule.values)
+    key = contract.key_column
+    repeated = failure_counts({f"unique_{key}": unique(valid, key)})
+    reasons = row_failures(rejected, {"not_null_rejection_reason": F.col("rejection_reason").isNull()})
+    return row_failures(valid, conditions).unionAll(repeated).unionAll(reasons)
+
+
+def require_none(failures: DataFrame) -> None:
+    """Raise when any test counted an offending row."""
+    failed = [r for r in failures.collect() if r["failures"]]
     if failed:
         raise TableTestError(", ".join(f"{r['test_name']}: {r['failures']} rows" for r in failed))
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.contract import SnapshotContract
+from snapstrata.functions.rules import OneOf
+from snapstrata.operators import checks
 from snapstrata.operators.merge import partition_values
 from snapstrata.plans import marts, star
 from snapstrata.plans.landing import Lake, Landed, land_file
@@ -113,6 +115,7 @@ def refresh_gold(
     *,
     snapshots: Sequence[str] | None = None,
     full_refresh: bool = False,
+    ungated: Sequence[str] = (),
 ) -> list[date]:
     """Bring the gold tables up to date with the refined layer.
 
@@ -122,10 +125,16 @@ def refresh_gold(
     grain, so only the touched snapshots are recomputed and replaced; the
     dimensions span all snapshots and are folded from the stored rollup.
     The staging views are registered, not stored.  Returns the touched snapshots.
+
+    Tests gate the load, as they do in a build of models: those on the refined
+    rows of the touched snapshots run before anything is written, those on the
+    gold tables before the refresh is entered in the run log.  A refresh that fails
+    raises, and is taken up again by the next.  ``ungated`` names gold tests that do not
+    stop a load.
     """
     refined = RefinedTables(lake.refined)
-    staged = star.stage(refined.read_valid(spark), staged_quote)
-    turned_away = star.stage(refined.read_rejected(spark), staged_reject)
+    valid, rejected = refined.read_valid(spark), refined.read_rejected(spark)
+    staged, turned_away = star.stage(valid, staged_quote), star.stage(rejected, staged_reject)
     staged.createOrReplaceTempView("stg_flights")
     turned_away.createOrReplaceTempView("stg_flights_rejected")
 
@@ -142,6 +151,10 @@ def refresh_gold(
     if not days:
         return []
     touched = F.col("as_of_date").isin(*days)
+    of_touched = F.col(contract.snapshot).isin(*days)
+    checks.require_none(
+        checks.layer_failures(valid.where(of_touched), rejected.where(of_touched), contract, staged_quote)
+    )
 
     def replace(
         frame: DataFrame, path: str, sort: Sequence[str] = (), balance: bool = True
@@ -170,8 +183,9 @@ def refresh_gold(
             marts.reason_table(staged.where(touched), turned_away.where(touched))
         ),
     }
+    published = {"fct_flight_price_quote": fact.where(touched)}
     for name, frame in marts_by_day.items():
-        replace(frame, f"{lake.gold}/{name}")
+        published[name] = replace(frame, f"{lake.gold}/{name}").where(touched)
     dimensions = {
         "dim_airline": star.dim_carrier(cube),
         "dim_route": star.dim_route(cube),
@@ -179,6 +193,12 @@ def refresh_gold(
     }
     for name, frame in dimensions.items():
         tables.write_table(frame, f"{lake.gold}/{name}")
+        published[name] = spark.read.schema(frame.schema).parquet(f"{lake.gold}/{name}")
+    values = {r.column: r.values for r in contract.rules if isinstance(r, OneOf)}
+    source = {target: column for column, target, _ in staged_quote}
+    airlines, cabins = values[source["airline_name"]], values[source["cabin_class"]]
+    standing = checks.gold_tests(published, airlines, cabins)
+    checks.require_pass({name: test for name, test in standing.items() if name not in ungated})
     entries = spark.createDataFrame([(d,) for d in days], "as_of_date date").withColumn("reconciled", F.lit(True))
     audit.append_run_log(spark, audit.run_log_rows(entries, "gold"), lake.run_log)
     return days

@@ -68,13 +68,13 @@ def monitor_reconciliation(spark, sf_dir):
 
 
 @register(
-    verdict_sql("missing_snapshot", "'snapshot'", "d", "0", 1, "true", "(SELECT CAST(unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-07-31', INTERVAL 1 DAY)) AS DATE) AS d)")
-    + " WHERE d NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderstatus = 'P')"
+    verdict_sql("missing_snapshot", "'snapshot'", "d", "0", 1, "true", "(SELECT CAST(unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '2002-07-31', INTERVAL 1 DAY)) AS DATE) AS d)")
+    + " WHERE d NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)"
 )
 def monitor_missing_snapshots(spark, sf_dir):
-    """Days on which no order of one status came in."""
-    pending = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
-    return monitor.missing_snapshots(pending, "o_orderdate", date(1995, 1, 1), date(2001, 7, 31))
+    """Days on which no order came in, from before the first to after the last."""
+    orders = table(spark, sf_dir, "orders")
+    return monitor.missing_snapshots(orders, "o_orderdate", date(1994, 1, 1), date(2002, 7, 31))
 
 
 @register(
@@ -144,7 +144,7 @@ def monitor_fare_change(spark, sf_dir):
 
 _RUNTIME_SQL = """runs AS (
   SELECT event_type AS layer, CAST(ts AS DATE) AS as_of_date, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS runtime_seconds
-  FROM events WHERE event_type IN ('click', 'view') GROUP BY 1, 2),
+  FROM events GROUP BY 1, 2),
 usual AS (SELECT *, avg(runtime_seconds) OVER (PARTITION BY layer ORDER BY as_of_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS usual FROM runs)"""
 
 
@@ -161,7 +161,6 @@ def monitor_runtime(spark, sf_dir):
     """Daily event value stands in for the runtime of a layer."""
     runs = (
         table(spark, sf_dir, "events")
-        .where(F.col("event_type").isin("click", "view"))
         .groupBy(F.col("event_type").alias("layer"), F.col("ts").cast("date").alias("as_of_date"))
         .agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("runtime_seconds"))
         .withColumn("logged_at", F.col("as_of_date").cast("timestamp"))

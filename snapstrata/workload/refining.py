@@ -8,7 +8,7 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, StructField, S
 from snapstrata.contracts.flights import CATEGORICAL_GAPS, QUOTE_COLUMNS
 from snapstrata.functions import expr as X
 from snapstrata.operators import dedupe, reconcile, validate
-from snapstrata.operators.faults import inject_faults
+from snapstrata.operators.faults import faults_of, inject_faults
 from snapstrata.operators.standardize import standardize
 from snapstrata.plans import refine as R
 from snapstrata.sources.drift import value_drift
@@ -225,51 +225,42 @@ def multi_variant_groups(spark, sf_dir):
     return dedupe.multi_variant_groups(lines, ("l_orderkey", "l_linenumber"))
 
 
-#: one broken attribute (or pair) per injected row
-FAULTS = (
-    {"price": 0},
-    {"price": -250},
-    {"duration": 0.0},
-    {"days_left": -8},
-    {"source_city": "ASIA", "destination_city": "ASIA"},
-    {"airline": "UnknownCarrier"},
-    {"class": "First"},
-    {"stops": "four"},
-    {"stops": "zero", "duration": 48.5},
-)
+#: each rule of the contract broken in each of its ways
+FAULTS = faults_of(QUOTES.rules)
 
 
 def _fault_sql() -> str:
-    changed = sorted({n for f in FAULTS for n in f})
     kinds = {"price": "DECIMAL(12,2)", "duration": "DOUBLE", "days_left": "INTEGER"}
     columns = []
-    for name in changed:
+    for name in sorted({n for f in FAULTS for n in f.values}):
         cases = " ".join(
-            f"WHEN {k} THEN CAST('{f[name]}' AS {kinds.get(name, 'VARCHAR')})"
+            f"WHEN {k} THEN CAST({'NULL' if f.values[name] is None else repr(str(f.values[name]))} AS {kinds.get(name, 'VARCHAR')})"
             for k, f in enumerate(FAULTS, start=1)
-            if name in f
+            if name in f.values
         )
         columns.append(f"CASE k {cases} ELSE {name} END AS {name}")
-    columns.append("'DQ-' || lpad(CAST(k AS VARCHAR), 3, '0') AS flight")
     return ", ".join(columns)
 
 
+_FAULT_NAMES_SQL = " ".join(f"WHEN {k} THEN '{f.reason}'" for k, f in enumerate(FAULTS, start=1))
+
+
 @register(
     "WITH "
     + QUOTES_SQL
     + f""", donors AS (
   SELECT *, row_number() OVER (ORDER BY {LINE_ID_SQL}) AS k FROM quotes QUALIFY k <= {len(FAULTS)}),
-broken AS (SELECT * EXCLUDE (k) REPLACE ({_fault_sql()}) FROM donors),
-mixed AS (SELECT * FROM quotes UNION ALL BY NAME SELECT * FROM broken)
-SELECT coalesce(CASE WHEN flight LIKE 'DQ-%' THEN flight END, 'original') AS origin,
-       {reasons_sql(REASON_CASES)} AS reasons, count(*) AS n
+broken AS (
+  SELECT * EXCLUDE (k) REPLACE ({_fault_sql()}), CASE k {_FAULT_NAMES_SQL} END AS fault FROM donors),
+mixed AS (SELECT *, CAST(NULL AS VARCHAR) AS fault FROM quotes UNION ALL BY NAME SELECT * FROM broken)
+SELECT coalesce(fault, 'original') AS origin, {reasons_sql(REASON_CASES)} AS reasons, count(*) AS n
 FROM mixed GROUP BY ALL"""
 )
 def fault_injection(spark, sf_dir):
     """Broken copies of real rows next to all original rows, and the reasons both get."""
     mixed = inject_faults(quotes(spark, sf_dir), LINE_ID, FAULTS)
     judged = validate.judge(standardize(mixed, QUOTES), QUOTES.rules)
-    origin = F.when(F.col("flight").startswith("DQ-"), F.col("flight")).otherwise("original")
+    origin = F.coalesce("fault", F.lit("original"))
     reasons = F.concat_ws(",", validate.REASONS)
     return judged.groupBy(origin.alias("origin"), reasons.alias("reasons")).agg(
         F.count(F.lit(1)).alias("n")

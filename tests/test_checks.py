@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapstrata.operators import checks, monitor, profile, reconcile
-from snapstrata.operators.faults import inject_faults
+from snapstrata.operators.faults import Fault, inject_faults
 
 DAY = date(2024, 1, 1)
 
@@ -187,7 +187,7 @@ def test_null_beside_a_value_counts_as_a_difference(spark):
 
 def test_fault_injection_keeps_all_rows(spark):
     df = spark.range(100).select("id", F.lit("F").alias("flight"), F.col("id").cast("int").alias("price"))
-    out = inject_faults(df, ("id",), [{"price": -1}, {"price": None}])
+    out = inject_faults(df, ("id",), [Fault("negative", {"price": -1}), Fault("missing", {"price": None})])
     assert out.count() == 102
-    broken = {r["flight"]: r["price"] for r in out.where("flight like 'DQ-%'").collect()}
-    assert broken == {"DQ-001": -1, "DQ-002": None}
+    broken = {r["fault"]: r["price"] for r in out.where("fault is not null").collect()}
+    assert broken == {"negative": -1, "missing": None}

@@ -21,6 +21,7 @@ from snapstrata.contracts.flights import (
     STAGED_REJECT,
 )
 from snapstrata.operators import checks, reconcile
+from snapstrata.operators.faults import faults_of
 from snapstrata.plans import build
 from snapstrata.plans.landing import Lake, land_file
 from snapstrata.plans.refine import EmptyInputError, RefinedTables, refine_snapshots
@@ -28,17 +29,7 @@ from snapstrata.sources import audit, drift, fingerprint, scan
 from snapstrata.streaming import arrivals
 
 HEADER = [n for n, _ in FARE_COLUMNS]
-FAULTS = [
-    {"price": "0"},
-    {"price": "-250"},
-    {"duration": "0"},
-    {"days_left": "-8"},
-    {"source_city": "Chennai", "destination_city": "Chennai"},
-    {"airline": "UnknownCarrier"},
-    {"class": "First"},
-    {"stops": "four"},
-    {"stops": "zero", "duration": "20.5"},
-]
+FAULTS = faults_of(FLIGHTS.rules)
 
 
 def fares(n, offset=0):
@@ -97,21 +88,22 @@ def test_clean_file(spark, lake, tmp_path):
     assert silver["rejection_reason_breakdown"] == "{}"
 
 
-def test_faulty_file(spark, lake, tmp_path):
-    good = fares(2000)
-    bad = [
-        {**good[i], "index": str(9000 + i), "flight": f"DQ-{i:03d}", "stops": "one", **fault}
-        for i, fault in enumerate(FAULTS)
-    ]
+def test_a_file_with_every_fault(spark, lake, tmp_path):
+    good = fares(300)
+    bad = []
+    for k, fault in enumerate(FAULTS):
+        values = {name: "" if value is None else str(value) for name, value in fault.values.items()}
+        bad.append({**good[k], "index": str(9000 + k), "flight": f"broken-{k}", "stops": "one", **values})
     source = write_csv(tmp_path / "faulty.csv", good + bad)
     build.take_in(spark, source, FLIGHTS, lake, as_of_date="2026-09-10")
     log = log_of(spark, lake, "silver").first()
-    assert (log["bronze_row_count"], log["silver_valid_count"], log["silver_rejected_count"]) == (2009, 2000, 9)
-    assert str(log["rejected_pct"]) == "0.4480" and log["reconciled"]
+    assert (log["bronze_row_count"], log["silver_valid_count"]) == (300 + len(FAULTS), 300)
+    assert log["silver_rejected_count"] == len(FAULTS) and log["reconciled"]
     breakdown = json.loads(log["rejection_reason_breakdown"])
-    assert len(breakdown) == 8 and breakdown["price_out_of_range"] == 2
+    assert set(",".join(breakdown).split(",")) >= {f.reason for f in FAULTS} - {"null_airline"}
+    assert sum(breakdown.values()) == len(FAULTS)
     rejected = RefinedTables(lake.refined).read_rejected(spark)
-    assert rejected.where(~F.col("flight").startswith("DQ-")).isEmpty()
+    assert rejected.where(~F.col("flight").startswith("BROKEN-")).isEmpty()
 
 
 def test_same_content_is_taken_in_once_even_renamed(spark, lake, tmp_path):
@@ -280,7 +272,7 @@ def test_gold_follows_a_snapshot_that_is_refined_again_or_emptied(spark, lake, t
     from snapstrata.plans.refine import refine_snapshots
 
     def refresh():
-        return build.refresh_gold(spark, lake, FLIGHTS, STAGED_QUOTE, STAGED_REJECT)
+        return build.refresh_gold(spark, lake, FLIGHTS, STAGED_QUOTE, STAGED_REJECT, ungated=("premium_is_sane",))
 
     def fact():
         return spark.read.parquet(f"{lake.gold}/fct_flight_price_quote").groupBy("as_of_date").count().collect()
@@ -303,6 +295,17 @@ def test_gold_follows_a_snapshot_that_is_refined_again_or_emptied(spark, lake, t
     assert quality.count() == 0
 
 
+def test_a_failing_test_stops_the_load(spark, lake, tmp_path):
+    from snapstrata.contracts.flights import fare_rules
+
+    build.take_in(spark, write_csv(tmp_path / "f.csv", fares(10)), FLIGHTS, lake, as_of_date="2026-09-09")
+    narrow = FLIGHTS.with_options(rules=fare_rules(airlines=AIRLINES[:1]))
+    with pytest.raises(checks.TableTestError, match="accepted_airline_name"):
+        build.refresh_gold(spark, lake, narrow, STAGED_QUOTE, STAGED_REJECT)
+    assert not Path(lake.gold).exists()
+    assert [d.day for d in build.refresh_gold(spark, lake, FLIGHTS, STAGED_QUOTE, STAGED_REJECT, ungated=("premium_is_sane",))] == [9]
+
+
 def test_snapshot_resolution(spark, tmp_path, monkeypatch):
     source = write_csv(tmp_path / "s.csv", fares(1))
     assert scan.resolve_snapshot(spark, source, "2024-05-06") == date(2024, 5, 6)

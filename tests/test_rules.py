@@ -1,124 +1,104 @@
+"""Rules, derived columns and duplicates; cases come from the contract and from seeded generators."""
+
 from __future__ import annotations
 
-from datetime import datetime
+import random
+from datetime import timedelta
+from decimal import Decimal
 
 import pytest
-from flights_rows import raw
+from flights_rows import clean_row, raw
 
 from snapstrata.contract import REJECTED, VALID
-from snapstrata.contracts.flights import CATEGORICAL_GAPS, FLIGHTS
+from snapstrata.contracts.flights import CATEGORICAL_GAPS, FLIGHTS, STOP_CODES
 from snapstrata.functions import rules as R
+from snapstrata.operators.faults import faults_of
 from snapstrata.operators.standardize import standardize
 from snapstrata.operators.validate import judge, reason_breakdown, reason_counts
 from snapstrata.plans.refine import refine, rejected_rows, valid_rows
 
+FAULTS = faults_of(FLIGHTS.rules)
+
 
 def reasons(spark, *overrides, contract=FLIGHTS):
     judged = judge(standardize(raw(spark, *overrides), contract), contract.rules)
     return [r["rejection_reasons"] for r in judged.collect()]
 
 
-def test_clean_row_passes(spark):
-    assert reasons(spark) == [[]]
+def test_drawn_rows_break_nothing(spark):
+    assert reasons(spark, *[clean_row(k) for k in range(40)]) == [[]] * 40
 
 
-def test_flight_contract_has_eighteen_rules():
-    assert len(FLIGHTS.rules) == 18
-    assert len({r.reason for r in FLIGHTS.rules}) == 18
+def test_every_rule_has_a_reason_and_a_fault_of_its_own():
+    named = [r.reason for r in FLIGHTS.rules]
+    assert len(named) == len(set(named)) == 18
+    assert {f.reason for f in FAULTS} == set(named)
 
 
-def test_derived_columns(spark):
-    row = standardize(raw(spark, {"stops": "one"}), FLIGHTS).first()
-    assert (row["stops_count"], row["is_nonstop"]) == (1, False)
-    assert (row["route"], row["duration_minutes"]) == ("Kolkata-Chennai", 150)
-    assert str(row["price_inr"]) == "6480.00"
-
-
-def test_cleaning_happens_before_judging(spark):
-    messy = {"class": "  economy  ", "stops": "ZERO ", "flight": " qx-417"}
-    assert reasons(spark, messy) == [[]]
-    row = standardize(raw(spark, messy), FLIGHTS).first()
-    assert (row["class"], row["stops"], row["flight"]) == ("Economy", "zero", "QX-417")
-
-
-def test_keys_ignore_lineage(spark):
-    rows = standardize(raw(spark, {}, {"_source_row": 9, "_batch_id": "other"}), FLIGHTS)
-    assert rows.select("flight_quote_sk", "quote_group_sk").distinct().count() == 1
-
-
-def test_variants_share_the_group_but_not_the_key(spark):
-    rows = standardize(raw(spark, {}, {"price": 7000, "duration": 3.0}), FLIGHTS)
-    assert rows.select("flight_quote_sk").distinct().count() == 2
-    assert rows.select("quote_group_sk").distinct().count() == 1
-
-
-@pytest.mark.parametrize(
-    ("override", "reason"),
-    [
-        ({"price": 0}, "price_out_of_range"),
-        ({"price": -1}, "price_out_of_range"),
-        ({"price": 500_001}, "price_out_of_range"),
-        ({"duration": 0.05}, "duration_out_of_range"),
-        ({"duration": 60.1, "stops": "one"}, "duration_out_of_range"),
-        ({"days_left": -1}, "days_left_out_of_range"),
-        ({"days_left": 366}, "days_left_out_of_range"),
-        ({"destination_city": "Kolkata"}, "same_source_and_destination"),
-        ({"airline": "UnknownCarrier"}, "invalid_airline"),
-        ({"class": "First"}, "invalid_class"),
-        ({"stops": "four"}, "invalid_stops"),
-        ({"departure_time": "Midday"}, "invalid_departure_time"),
-        ({"arrival_time": "Midday"}, "invalid_arrival_time"),
-        ({"source_city": "Pune"}, "invalid_source_city"),
-        ({"destination_city": "Pune"}, "invalid_destination_city"),
-        ({"duration": 12.1}, "implausible_nonstop_duration"),
-        ({"price": None}, "null_price"),
-        ({"duration": None}, "null_duration"),
-        ({"days_left": None}, "null_days_left"),
-        ({"flight": None}, "null_flight"),
-        ({"flight": "  "}, "null_flight"),
-        ({"source_city": None}, "null_route_city"),
-        ({"destination_city": None}, "null_route_city"),
-    ],
-)
-def test_each_rule_fires_alone(spark, override, reason):
-    assert reasons(spark, override) == [[reason]]
-
-
-@pytest.mark.parametrize(
-    "override",
-    [
-        {"price": 1},
-        {"price": 500_000},
-        {"duration": 0.1},
-        {"duration": 60.0, "stops": "one"},
-        {"duration": 12.0},
-        {"days_left": 0},
-        {"days_left": 365},
-    ],
-)
-def test_bounds_are_inclusive(spark, override):
-    assert reasons(spark, override) == [[]]
-
-
-def test_blank_airline_is_missing_and_not_accepted(spark):
-    assert reasons(spark, {"airline": ""}) == [["null_airline", "invalid_airline"]]
-    assert reasons(spark, {"airline": None}) == [["null_airline"]]
+def test_each_fault_breaks_its_rule_alone(spark):
+    assert reasons(spark, *[f.values for f in FAULTS]) == [[f.reason] for f in FAULTS]
+
+
+def test_ends_of_ranges_are_inside(spark):
+    ends = []
+    for rule in FLIGHTS.rules:
+        if isinstance(rule, R.Between):
+            ends += [{rule.column: rule.low}, {rule.column: rule.high}]
+        elif isinstance(rule, R.AtMostWhen):
+            ends.append({rule.when_column: rule.equals, rule.column: rule.high})
+    assert reasons(spark, *ends) == [[]] * len(ends)
+
+
+def test_pairs_of_faults_are_told_in_rule_order(spark):
+    order = [r.reason for r in FLIGHTS.rules]
+    rng = random.Random(8)
+    pairs = [rng.sample(FAULTS, 2) for _ in range(60)]
+    pairs = [p for p in pairs if not set(p[0].values) & set(p[1].values)]
+    got = reasons(spark, *[{**a.values, **b.values} for a, b in pairs])
+    for (a, b), told in zip(pairs, got):
+        assert {a.reason, b.reason} <= set(told)
+        assert told == sorted(told, key=order.index)
 
 
-def test_all_failures_are_kept_in_rule_order(spark):
-    broken = {"price": -7, "days_left": -4, "airline": "UnknownCarrier"}
-    assert reasons(spark, broken) == [
-        ["price_out_of_range", "days_left_out_of_range", "invalid_airline"]
-    ]
+def test_derived_columns(spark):
+    for label, code in STOP_CODES.items():
+        given = {**clean_row(code), "stops": label, "duration": 2.25}
+        row = standardize(raw(spark, given), FLIGHTS).first()
+        assert (row["stops_count"], row["is_nonstop"]) == (code, code == 0)
+        assert row["route"] == f"{given['source_city']}-{given['destination_city']}"
+        assert (row["duration_minutes"], row["price_inr"]) == (135, Decimal(given["price"]))
+
+
+def test_padding_and_case_are_cleaned_before_judging(spark):
+    plain = clean_row()
+    padded = {k: f"  {v} " for k, v in plain.items() if k in FLIGHTS.trims}
+    shouted = {k: str(plain[k]).upper() for k in ("class", "stops")}
+    expected = [plain[k] for k in FLIGHTS.trims]
+    for messy in (padded, shouted):
+        assert reasons(spark, messy) == [[]]
+        row = standardize(raw(spark, messy), FLIGHTS).first()
+        assert [row[k] for k in FLIGHTS.trims] == expected
+
+
+def test_keys_follow_the_key_columns_and_nothing_else(spark):
+    plain, other = clean_row(0), clean_row(99)
+    for name in plain:
+        rows = standardize(raw(spark, {}, {name: other[name]}), FLIGHTS)
+        differs = plain[name] != other[name]
+        for key, columns in (("flight_quote_sk", FLIGHTS.business_key), ("quote_group_sk", FLIGHTS.group_key)):
+            assert rows.select(key).distinct().count() == 1 + (differs and name in columns), (name, key)
+
+
+def test_blank_text_is_missing_and_not_accepted(spark):
+    assert reasons(spark, {"airline": ""}) == [["null_airline", "invalid_airline"]]
+    assert reasons(spark, {"flight": "  "}) == [["null_flight"]]
 
 
 def test_null_categoricals_pass_unless_asked_for(spark):
-    gaps = {"class": None, "stops": None, "departure_time": None, "arrival_time": None}
+    gaps = {r.columns[0]: None for r in CATEGORICAL_GAPS}
     assert reasons(spark, gaps) == [[]]
     strict = FLIGHTS.with_options(rules=FLIGHTS.rules + CATEGORICAL_GAPS)
-    assert reasons(spark, gaps, contract=strict) == [
-        ["null_departure_time", "null_arrival_time", "null_stops", "null_class"]
-    ]
+    assert reasons(spark, gaps, contract=strict) == [[r.reason for r in CATEGORICAL_GAPS]]
 
 
 def test_malformed_record_rule(spark):
@@ -132,55 +112,50 @@ def test_no_rules_means_all_valid(spark):
     assert [r["is_valid"] for r in judge(raw(spark), ()).collect()] == [True]
 
 
-def test_latest_ingest_wins(spark):
-    early = {"_ingested_at": datetime(2025, 3, 1, 6), "_batch_id": "early"}
-    late = {"_ingested_at": datetime(2025, 3, 1, 20), "_batch_id": "late"}
-    out = refine(raw(spark, early, late), FLIGHTS)
-    assert [r["_batch_id"] for r in valid_rows(out, FLIGHTS).collect()] == ["late"]
-    lost = rejected_rows(out, FLIGHTS).collect()
-    assert [(r["_batch_id"], r["rejection_reason"]) for r in lost] == [
-        ("early", "duplicate_business_key")
-    ]
-
-
-def test_lowest_source_row_breaks_the_tie(spark):
-    out = refine(raw(spark, {"_source_row": 7}, {"_source_row": 3}), FLIGHTS)
-    assert [r["_source_row"] for r in valid_rows(out, FLIGHTS).collect()] == [3]
-
-
-def test_every_row_gets_one_outcome(spark):
-    out = refine(raw(spark, {}, {"price": 0}, {}, {"flight": None}), FLIGHTS)
-    by = {r["outcome"]: r["count"] for r in out.groupBy("outcome").count().collect()}
-    assert by == {VALID: 1, REJECTED: 3}
+@pytest.mark.parametrize("prefer_valid", [False, True])
+def test_duplicates_against_brute_force(spark, prefer_valid):
+    """Random repeats of a few quotes: newest ingest first, then the lowest source row; one row stays."""
+    rng = random.Random(6)
+    rows = []
+    for number in range(60):
+        row = clean_row(rng.randrange(7))
+        # the airline is no part of the key, so broken rows compete as well
+        broken = {"airline": "no such value"} if rng.random() < 0.5 else {}
+        later = row["_ingested_at"] + timedelta(hours=rng.randrange(4))
+        rows.append({**row, **broken, "_ingested_at": later, "_source_row": number})
+    contract = FLIGHTS.with_options(prefer_valid=prefer_valid)
+
+    def place(row):
+        good = "no such value" != row["airline"]
+        return (not good if prefer_valid else 0, -row["_ingested_at"].timestamp(), row["_source_row"])
+
+    best = {}
+    for row in rows:
+        best[row["flight"]] = min(best.get(row["flight"], row), row, key=place)
+    out = refine(raw(spark, *rows), contract)
+    winners = {r["_source_row"] for r in best.values()}
+    kept = {r["_source_row"] for r in valid_rows(out, contract).collect()}
+    assert kept == {r["_source_row"] for r in best.values() if r["airline"] != "no such value"}
+    told = {r["_source_row"]: r["rejection_reason"] for r in rejected_rows(out, contract).collect()}
+    assert set(told) == set(range(60)) - kept
+    for number, reason in told.items():
+        assert reason == ("invalid_airline" if number in winners else "duplicate_business_key")
+    assert {r["outcome"] for r in out.select("outcome").distinct().collect()} == {VALID, REJECTED}
     assert out.where("(outcome = 'valid') <> (rejection_reason is null)").isEmpty()
 
 
-def test_invalid_row_can_win_unless_valid_rows_are_preferred(spark):
-    # airline is not part of the key, so both rows compete
-    rows = raw(spark, {"_source_row": 1, "airline": "UnknownCarrier"}, {"_source_row": 2})
-    default = refine(rows, FLIGHTS)
-    assert valid_rows(default, FLIGHTS).count() == 0
-    careful = FLIGHTS.with_options(prefer_valid=True)
-    out = refine(rows, careful)
-    assert [r["_source_row"] for r in valid_rows(out, careful).collect()] == [2]
-
-
 def test_losing_duplicate_can_keep_its_own_reasons(spark):
     contract = FLIGHTS.with_options(prefer_valid=True, keep_duplicate_reasons=True)
-    rows = raw(spark, {"_source_row": 1, "airline": "UnknownCarrier"}, {"_source_row": 2})
+    rows = raw(spark, {"_source_row": 1, "airline": "no such value"}, {"_source_row": 2})
     lost = rejected_rows(refine(rows, contract), contract).first()
     assert lost["rejection_reason"] == "invalid_airline,duplicate_business_key"
 
 
-def test_reason_reports(spark):
-    rows = raw(
-        spark,
-        {"flight": "A", "price": 0},
-        {"flight": "B", "price": 0},
-        {"flight": "C", "price": 0, "airline": "UnknownCarrier"},
-    )
-    out = refine(rows, FLIGHTS)
-    combined = [tuple(r) for r in reason_breakdown(rejected_rows(out, FLIGHTS)).collect()]
-    assert combined == [("price_out_of_range", 2), ("price_out_of_range,invalid_airline", 1)]
+def test_reason_reports_hold_every_reason(spark):
+    rows = [{**clean_row(k), **f.values} for k, f in enumerate(FAULTS) for _ in range(1)]
+    out = refine(raw(spark, *rows), FLIGHTS)
+    rejected = rejected_rows(out, FLIGHTS)
+    combined = {r[0]: r[1] for r in reason_breakdown(rejected).collect()}
     single = {r["reason"]: r["n"] for r in reason_counts(out).collect()}
-    assert single == {"price_out_of_range": 3, "invalid_airline": 1}
+    assert combined == single and sum(single.values()) == len(FAULTS) and set(single) == {f.reason for f in FAULTS}
+    assert reason_breakdown(rejected, top=3).count() == 3
