@@ -59,12 +59,12 @@ def _reversed(name: str, kind: DataType) -> Column:
 def keep_first(
     df: DataFrame, key: Sequence[str], tiebreak: Sequence[tuple[str, str]]
 ) -> DataFrame:
-    """The first row of each key (NULL keys group together).
+    """The first row of each key (NULL keys group together); ties go by a hash of the row, as in ``mark_winners``.
 
     Filtering on the first row number lets Spark limit every group on the map
     side, so each task ships at most one row per key whatever the skew.
     """
-    by_key = Window.partitionBy("_hk", *key).orderBy(*ordering(tiebreak))
+    by_key = Window.partitionBy("_hk", *key).orderBy(*ordering(tiebreak), F.xxhash64(*df.columns))
     ranked = df.withColumn("_hk", F.xxhash64(*key)).withColumn(
         "_place", F.row_number().over(by_key)
     )

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.contract import REJECTED, VALID, SnapshotContract
-from snapstrata.operators.dedupe import KEPT, mark_contract_winners
+from snapstrata.operators.dedupe import KEPT, keep_first, mark_contract_winners
 from snapstrata.operators.reconcile import snapshot_metrics
 from snapstrata.operators.standardize import clean, derive
-from snapstrata.operators.validate import OUTCOME, REASON_TEXT, judge, settle
+from snapstrata.operators.validate import IS_VALID, OUTCOME, REASON_TEXT, judge, settle
 from snapstrata.sources import audit, tables
 
 
@@ -40,6 +40,19 @@ def refine(raw: DataFrame, contract: SnapshotContract) -> DataFrame:
     return settle(judge(derive(marked, contract), contract.rules), contract, KEPT)
 
 
+def accepted_rows(raw: DataFrame, contract: SnapshotContract) -> DataFrame:
+    """The valid rows of ``refine`` and nothing else, in one reading of ``raw``.
+
+    A valid row has won its key, and winners alone need no more than a row per key and
+    task in the shuffle.
+    """
+    if contract.prefer_valid:
+        return valid_rows(refine(raw, contract), contract)
+    winners = keep_first(clean(raw, contract), contract.business_key, contract.tiebreak)
+    judged = judge(derive(winners, contract), contract.rules)
+    return judged.where(IS_VALID).select(*contract.output)
+
+
 def valid_rows(refined: DataFrame, contract: SnapshotContract) -> DataFrame:
     return refined.where(F.col(OUTCOME) == VALID).select(*contract.output)
 

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from snapstrata.contract import LeadTimeBands
 from snapstrata.contracts.flights import CABINS, FLIGHTS, fare_rules
-from snapstrata.plans.refine import refine, valid_rows
+from snapstrata.plans.refine import accepted_rows, refine
 from snapstrata.session import work_area
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,7 +183,7 @@ def refined(spark: SparkSession, sf_dir: str, contract=QUOTES) -> DataFrame:
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return valid_rows(refined(spark, sf_dir), QUOTES)
+    return accepted_rows(quotes(spark, sf_dir), QUOTES)
 
 
 # --- the same view in SQL ---------------------------------------------------

@@ -455,8 +455,7 @@ variants AS (
     SELECT as_of_date, quote_group_sk, count(*) AS n FROM valid GROUP BY 1, 2) GROUP BY 1),
 texts AS (
   SELECT as_of_date, '{' || string_agg('"' || rejection_reason || '":' || n, ',' ORDER BY n DESC, rejection_reason) || '}' AS breakdown
-  FROM (SELECT as_of_date, rejection_reason, count(*) AS n FROM rejected GROUP BY 1, 2
-        QUALIFY row_number() OVER (PARTITION BY as_of_date ORDER BY n DESC, rejection_reason) <= 25) GROUP BY 1),
+  FROM (SELECT as_of_date, rejection_reason, count(*) AS n FROM rejected GROUP BY 1, 2) GROUP BY 1),
 run_log AS (
   SELECT 'silver' AS layer, as_of_date, total AS bronze_row_count, good AS silver_valid_count,
          bad AS silver_rejected_count, dup AS duplicates_removed,

@@ -72,7 +72,7 @@ def rule_reasons(spark, sf_dir):
 
 @register("WITH " + refined_sql() + f" SELECT {QUOTE_COLUMNS_SQL} FROM valid")
 def valid_quotes(spark, sf_dir):
-    return R.valid_rows(refined(spark, sf_dir), QUOTES)
+    return R.accepted_rows(quotes(spark, sf_dir), QUOTES)
 
 
 @register("WITH " + refined_sql() + f" SELECT {QUOTE_COLUMNS_SQL}, rejection_reason FROM rejected")
@@ -82,7 +82,7 @@ def rejected_quotes(spark, sf_dir):
 
 @register("WITH " + refined_sql(TICKET_KEY_SQL) + f" SELECT {QUOTE_COLUMNS_SQL} FROM valid")
 def valid_tickets(spark, sf_dir):
-    return R.valid_rows(refined(spark, sf_dir, TICKETS), TICKETS)
+    return R.accepted_rows(quotes(spark, sf_dir), TICKETS)
 
 
 @register(

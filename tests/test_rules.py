@@ -15,7 +15,7 @@ from snapstrata.functions import rules as R
 from snapstrata.operators.faults import faults_of
 from snapstrata.operators.standardize import standardize
 from snapstrata.operators.validate import judge, reason_breakdown, reason_counts
-from snapstrata.plans.refine import refine, rejected_rows, valid_rows
+from snapstrata.plans.refine import accepted_rows, refine, rejected_rows, valid_rows
 
 FAULTS = faults_of(FLIGHTS.rules)
 
@@ -135,6 +135,7 @@ def test_duplicates_against_brute_force(spark, prefer_valid):
     out = refine(raw(spark, *rows), contract)
     winners = {r["_source_row"] for r in best.values()}
     kept = {r["_source_row"] for r in valid_rows(out, contract).collect()}
+    assert kept == {r["_source_row"] for r in accepted_rows(raw(spark, *rows), contract).collect()}
     assert kept == {r["_source_row"] for r in best.values() if r["airline"] != "no such value"}
     told = {r["_source_row"]: r["rejection_reason"] for r in rejected_rows(out, contract).collect()}
     assert set(told) == set(range(60)) - kept
