@@ -13,8 +13,7 @@ import numpy as np
 
 from snapstrata.llm.shared import mapped_array, open_output
 
-_BYTES = np.arange(256, dtype=np.uint8)
-_ONES = np.bitwise_count(_BYTES).astype(np.int64)
+_U = np.uint64
 #: place of the r-th set bit of a byte
 _PLACE = np.zeros((256, 8), dtype=np.int64)
 for _byte in range(256):
@@ -52,13 +51,16 @@ def _pack(values: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _select(words: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """Place of the r-th set bit of each word."""
-    split = words.astype("<u8").view(np.uint8).reshape(-1, 8)
-    upto = np.cumsum(_ONES[split], axis=1)
-    byte = (upto <= r[:, None]).sum(axis=1)
-    row = np.arange(len(words))
-    rest = r - np.where(byte > 0, upto[row, byte - 1], 0)
-    return 8 * byte + _PLACE[split[row, byte], rest]
+    """Place of the r-th set bit of each word, by sums over the bytes of a word at once."""
+    words, r = words.astype(np.uint64), r.astype(np.uint64)
+    sums = words - ((words >> _U(1)) & _U(0x5555555555555555))
+    sums = (sums & _U(0x3333333333333333)) + ((sums >> _U(2)) & _U(0x3333333333333333))
+    # every byte holds the set bits up to its end
+    sums = ((sums + (sums >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _U(0x0101010101010101)
+    full = ((r * _U(0x0101010101010101) | _U(0x8080808080808080)) - sums) & _U(0x8080808080808080)
+    place = np.bitwise_count(full).astype(np.uint64) << _U(3)
+    rest = r - (((sums << _U(8)) >> place) & _U(0xFF))
+    return (place + _PLACE[((words >> place) & _U(0xFF)).astype(np.int64), rest.astype(np.int64)].astype(np.uint64)).astype(np.int64)
 
 
 class EliasFano:

@@ -44,8 +44,9 @@ END_HASH = xxh3_64_intdigest(b"\n")
 #: logarithms from the lowest to 0 are kept in 16 bits; 0 stands for none
 LOWEST = -12.0
 STEPS = 65_534
-#: look-ups that are worked on at once
+#: look-ups, and bytes of text, that are worked on at once
 LOOKUPS = 1 << 17
+TEXT_BYTES = 4 << 20
 
 
 def quantised(log10: np.ndarray) -> np.ndarray:
@@ -160,7 +161,9 @@ class Reader:
 
     @staticmethod
     def _distinct(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.lexsort((word, context))
+        # word numbers have 32 bits, with the unknown one
+        packed = int(context.max()) < 1 << 31
+        order = np.argsort(context << 32 | (word + 1)) if packed else np.lexsort((word, context))
         context, word = context[order], word[order]
         new = np.ones(len(order), dtype=bool)
         new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
@@ -178,19 +181,24 @@ class Reader:
             if first == last or of.files[shard] is None:
                 continue
             pointers, words, probability, mass, begin = self._shard(level, shard)
-            own, rows = context[first:last] - begin, slice(first, last)
-            inside = np.flatnonzero((own >= 0) & (own < pointers.n - 1))
-            own, wanted = own[inside], word[rows][inside]
+            # the successors' range once for each context
+            heads = np.flatnonzero(np.concatenate([[True], np.diff(context[first:last]) != 0]))
+            n = np.diff(np.append(heads, last - first))
+            own = context[first:last][heads] - begin
+            known = (own >= 0) & (own < pointers.n - 1)
+            own = np.where(known, own, 0)
             lo, hi = pointers.access(own), pointers.access(own + 1)
+            hi = np.where(known, hi, lo)
             base = np.where(lo > 0, words.access(np.maximum(lo - 1, 0)) + 1, 0)
+            codes = np.where(known, mass[own], 0)
+            left[first:last] = np.repeat(np.where(codes > 0, restored(codes), -1.0), n)
+            wanted = word[first:last]
+            hi = np.repeat(hi, n)
             # an unknown word is behind every successor
-            place = words.find(base + wanted, np.where(wanted >= 0, lo, hi), hi)
+            place = words.find(np.repeat(base, n) + wanted, np.where(wanted >= 0, np.repeat(lo, n), hi), hi)
             hit = np.flatnonzero(place >= 0)
-            at = first + inside
-            node[at[hit]] = of.bases[shard] + place[hit]
-            kept[at[hit]] = restored(probability[place[hit]])
-            codes = mass[own]
-            left[at] = np.where(codes > 0, restored(codes), -1.0)
+            node[first + hit] = of.bases[shard] + place[hit]
+            kept[first + hit] = restored(probability[place[hit]])
         if of.left:
             names = np.array(sorted(of.left), dtype=np.int64)
             place = np.searchsorted(names, context)
@@ -375,7 +383,7 @@ def _add_level(texts: DataFrame, model: Model, folder: str, shards: int, last: b
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, level = shipped.value
         reader = Reader(model)
-        for piece in pieces(batches, "text"):
+        for piece in pieces(batches, "text", TEXT_BYTES):
             number, _, ends = reader.tokens(piece.column("text"))
             context = None
             for _, context, *_ in reader.contexts(number, ends, len(model.levels) + 1):
@@ -471,7 +479,7 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text", keep: list[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shipped.value)
-        for piece in pieces(batches, text):
+        for piece in pieces(batches, text, TEXT_BYTES):
             number, count, ends = reader.tokens(piece.column(text))
             base, score = score_tokens(reader, number, count, ends)
             starts = ends[:-1]
