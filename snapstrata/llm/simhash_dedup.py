@@ -162,7 +162,11 @@ def fingerprint_links(distinct: DataFrame, value: str = "fingerprint", max_dista
 def fingerprint_components(
     prints: DataFrame, doc_id: str = "doc_id", value: str = "fingerprint", max_distance: int = 3
 ) -> DataFrame:
-    """One row per distinct fingerprint of a stored table: (fingerprint, component_id)."""
+    """One row per distinct fingerprint of a stored table: (fingerprint, component, component_id).
+
+    component is the smallest fingerprint of the component, component_id its smallest doc_id, which
+    may be null or shared with another component.
+    """
     distinct = stored(prints.groupBy(value).agg(F.min(doc_id).alias("least_id")), "fingerprints")
     groups = components(fingerprint_links(distinct, value, max_distance))
     named = distinct.join(groups, distinct[value] == groups["node"], "left").select(
@@ -170,7 +174,7 @@ def fingerprint_components(
     )
     named = stored(named, "fingerprints")
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    return named.join(least, "component").select(value, "component_id")
+    return named.join(least, "component").select(value, "component", "component_id")
 
 
 def simhash_groups(
@@ -193,11 +197,11 @@ def drop_near_duplicates(
     marked = docs.withColumn("row_hash#", row)
     prints = stored(with_fingerprint(marked, text, shingle, "fingerprint#", [doc_id, "row_hash#"]), "fingerprints")
     found = fingerprint_components(prints, doc_id, "fingerprint#", max_distance)
-    # ids differ between groups unless a doc_id repeats, so the smallest row is looked for per fingerprint first
+    # groups without ids or with a repeated one share a component_id, so they are told apart by their fingerprint
     best = prints.groupBy("fingerprint#").agg(
         F.min(F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), F.col("row_hash#").alias("h"))).alias("row")
     )
-    groups = best.join(found, "fingerprint#").groupBy(F.col("component_id")).agg(F.min("row").alias("row"))
+    groups = best.join(found, "fingerprint#").groupBy("component").agg(F.min("row").alias("row"))
     kept = stored(groups.select(F.col("row.id").alias("kept_id"), F.col("row.h").alias("kept_hash")).distinct(), "kept")
     once = marked.join(kept, marked["row_hash#"].eqNullSafe(kept.kept_hash) & marked[doc_id].eqNullSafe(kept.kept_id), "left_semi")
     repeated = stored(

@@ -72,6 +72,16 @@ def test_one_row_stays_where_an_id_repeats_with_near_texts(spark):
     assert len(kept) == len(component)
 
 
+def test_unlinked_texts_without_or_with_a_repeated_id_all_stay(spark):
+    texts = ["alpha beta gamma delta", "other words here now", "one two three four", "red green blue black"]
+    prints = [fingerprint(t) for t in texts]
+    assert not any(near(a, b) for k, a in enumerate(prints) for b in prints[:k])
+    rows = [*((None, t) for t in texts[:2]), *((7, t) for t in texts[2:]), (None, texts[0]), (8, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash_dedup.drop_near_duplicates(docs).collect()
+    assert sorted((r.doc_id or -1, r.text) for r in kept) == sorted([(-1, t) for t in texts[:2]] + [(7, t) for t in texts[2:]])
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash_dedup.simhash_groups(docs).count() == 0
