@@ -8,9 +8,10 @@ trained here, on the templates set among background lines, on license sentences
 background lines: a documented, bounded sample of the scanned table.  A part is
 held back to calibrate the probabilities by a temperature.
 
-A family is reported where it is likely enough and one of its templates is found in the
-window: the share of the template's word pairs that occur there.  What the classifier takes
-for a license but neither condition confirms is reported as ``unknown``.
+Every family is reported, several in a window if so, one of whose templates is found (by the share of its
+word pairs in a run of at most twice its length) where the words of that run alone make the family
+likely enough.  What the classifier still takes for a license without the words of such runs
+is reported as ``unknown``.
 
 Null and empty texts have no findings.  Repeated rows each have their own.  The scan itself
 reads every line whole.
@@ -38,6 +39,8 @@ SAMPLE_TEXTS = 2000
 SAMPLE_LINES = 3000
 MIN_PROBABILITY = 0.6
 MIN_CONTAINED = 0.6
+#: words without a known n-gram that part two unknown notices
+GAP = 8
 #: an n-gram in more than this share of background lines says nothing about licenses
 COMMON = 0.05
 
@@ -237,6 +240,29 @@ def learn(
     return LicenseModel(classes, list(number), keys, weights, bias, temperature, window, [f for f, _ in templates], template_pairs)
 
 
+class Evidence:
+    """Known n-grams of some texts, ordered by their last word, and the words that findings are made of."""
+
+    def __init__(self, ids: np.ndarray, place: np.ndarray, begins: np.ndarray, last: np.ndarray):
+        self.ids, self.place, self.begins, self.last = ids, place, begins, last
+        self.used, self.covered = np.zeros(len(ids), dtype=bool), np.zeros(len(ids), dtype=bool)
+
+    def ending(self, x: int, y: int) -> np.ndarray:
+        return np.arange(*np.searchsorted(self.last, [x, y]))
+
+    def inside(self, x: int, y: int) -> np.ndarray:
+        """Feature numbers of the n-grams that lie in there."""
+        grams = self.ending(x, y)
+        return self.place[grams[self.begins[grams] >= x]]
+
+    def uncovered(self, x: int, y: int) -> np.ndarray:
+        """N-grams that end there and have no word in a finding."""
+        grams = self.ending(x, y)
+        low = max(0, x - 2)
+        upto = np.concatenate([[0], np.cumsum(self.covered[low:y])])
+        return grams[upto[self.last[grams] + 1 - low] == upto[self.begins[grams] - low]]
+
+
 class Scanner:
     def __init__(self, model: LicenseModel, min_probability: float, min_contained: float):
         self.model, self.min_probability, self.min_contained = model, min_probability, min_contained
@@ -266,9 +292,10 @@ class Scanner:
         found, last = ngram_keys(ids, ends)
         place = np.minimum(np.searchsorted(model.keys, found), len(model.keys) - 1)
         hit = model.keys[place] == found
+        sizes = 1 + (found[hit] >= 1 << 20).astype(np.int64) + (found[hit] >= 1 << 40)
         place, last = place[hit], last[hit]
         order = np.argsort(last, kind="stable")
-        place, last = place[order], last[order]
+        place, last, sizes = place[order], last[order], sizes[order]
         line, first, stop = self.windows(ends)
         # n-grams that end in a window; one that begins before it has little weight in a half-overlapping window
         lo, hi = np.searchsorted(last, first), np.searchsorted(last, stop)
@@ -277,36 +304,102 @@ class Scanner:
             return n_lines, []
         n = (hi - lo)[filled]
         take = np.repeat(lo[filled] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        out = []
+        flagged = []
         for part in np.array_split(np.arange(len(filled)), max(1, int(n.sum()) // 200_000 + 1)):
             if not len(part):
                 continue
             begin = int((np.cumsum(n) - n)[part[0]])
-            size = n[part]
-            rows = take[begin : begin + int(size.sum())]
-            logits = model.bias + np.add.reduceat(model.weights[place[rows]], np.cumsum(size) - size)
+            counts = n[part]
+            rows = take[begin : begin + int(counts.sum())]
+            logits = model.bias + np.add.reduceat(model.weights[place[rows]], np.cumsum(counts) - counts)
             p = _probabilities(logits, model.temperature)
-            for k in np.flatnonzero(p[:, 0] < 0.5).tolist():
-                window = filled[part[k]]
-                x, y = int(first[window]), int(stop[window])
-                family, probability, contained = self.confirm(p[k], ids[x:y])
-                row = int(owner[line[window]])
-                out.append((row, int(line[window] - of_text[row]), x - int(ends[line[window]]), y - x, family, probability, contained))
-        return n_lines, out
-
-    def confirm(self, p: np.ndarray, ids: np.ndarray) -> tuple[str, float, float]:
-        """The likely family, if a template of it is there; else unknown."""
-        model = self.model
-        best = 2 + int(np.argmax(p[2:]))
-        pairs = np.unique(ids[:-1] * (1 << 20) + ids[1:])
-        contained = 0.0
-        for family, template in zip(model.families, model.template_pairs):
-            if family == model.classes[best]:
-                contained = max(contained, float(np.isin(template, pairs).mean()))
-        likely = p[best] / (1 - p[0])
-        if likely >= self.min_probability and contained >= self.min_contained:
-            return model.classes[best], float(p[best]), contained
-        return UNKNOWN, float(1 - p[0]), contained
+            flagged.extend(filled[part[np.flatnonzero(p[:, 0] < 0.5)]].tolist())
+        out = []
+        begins = last - sizes + 1
+        evidence = Evidence(ids, place, begins, last)
+        for window in flagged:
+            x, y = int(first[window]), int(stop[window])
+            # notices at a window's edge are looked at whole
+            low, high = max(int(ends[line[window]]), x - model.window // 2), min(int(ends[line[window] + 1]), y + model.window // 2)
+            out += self.confirmed(evidence, low, high)
+        for window in flagged:
+            out += self.unknown(evidence, int(first[window]), int(stop[window]))
+        return n_lines, [self.located(found, ends, owner, of_text) for found in sorted(out)]
+
+    @staticmethod
+    def located(found: tuple, ends: np.ndarray, owner: np.ndarray, of_text: np.ndarray) -> tuple:
+        begin, end, *rest = found
+        line = int(np.searchsorted(ends, begin, side="right")) - 1
+        row = int(owner[line])
+        return row, line - int(of_text[row]), begin - int(ends[line]), end - begin, *rest
+
+    def judged(self, places: np.ndarray) -> np.ndarray:
+        """Class probabilities by these n-grams alone."""
+        return _probabilities((self.model.bias + self.model.weights[places].sum(axis=0))[None], self.model.temperature)[0]
+
+    def confirmed(self, evidence: Evidence, low: int, high: int) -> list[tuple]:
+        """(begin, end, family, probability, contained) of every notice there, each judged by its own words.
+
+        The notice with most of its template goes first; what it is made of counts for no other one.
+        """
+        model, out = self.model, []
+        ids = evidence.ids[low:high]
+        pairs = ids[:-1] * (1 << 20) + ids[1:]
+        while True:
+            free = ~(evidence.used[low : high - 1] | evidence.used[low + 1 : high])
+            spans = []
+            for family, template in zip(model.families, model.template_pairs):
+                at = np.flatnonzero(free & np.isin(pairs, template))
+                if len(np.unique(pairs[at])) >= self.min_contained * len(template):
+                    spans += self.spans(family, template, at.tolist(), pairs[at].tolist())
+            for _, size, begin, family, share, words in sorted(spans):
+                p = self.judged(evidence.inside(low + begin, low + begin + size))
+                own = float(p[model.classes.index(family)])
+                if p[0] < 0.5 and own >= self.min_probability * (1 - p[0]):
+                    evidence.used[low + np.array(words)] = True
+                    evidence.covered[low + begin : low + begin + size] = True
+                    out.append((low + begin, low + begin + size, family, own, share))
+                    break
+            else:
+                return out
+
+    def spans(self, family: str, template: np.ndarray, at: list[int], pairs: list[int]) -> list[tuple]:
+        """From each place on, the shortest run of at most twice the template's length that holds most of its pairs."""
+        out = []
+        for k, begin in enumerate(at):
+            seen, end = {pairs[k]}, k
+            for j in range(k + 1, len(at)):
+                if at[j] + 2 - begin > 2 * (len(template) + 1):
+                    break
+                if pairs[j] not in seen:
+                    seen.add(pairs[j])
+                    end = j
+            share = len(seen) / len(template)
+            if share >= self.min_contained:
+                words = sorted({w for x in at[k : end + 1] for w in (x, x + 1)})
+                out.append((-share * len(seen), at[end] + 2 - begin, begin, family, share, words))
+        return out
+
+    def unknown(self, evidence: Evidence, x: int, y: int) -> list[tuple]:
+        """What speaks of a license in the window beside the notices that are known."""
+        model, out = self.model, []
+        while True:
+            grams = evidence.uncovered(x, y)
+            places = evidence.place[grams]
+            p = self.judged(places)
+            if not len(grams) or p[0] >= 0.5:
+                return out
+            # the words around the n-gram that says it most clearly
+            strongest = int(np.argmax(model.weights[places, 1:].max(axis=1) - model.weights[places, 0]))
+            held = np.unique(np.concatenate([evidence.begins[grams], evidence.last[grams]]))
+            runs = np.split(held, np.flatnonzero(np.diff(held) > GAP) + 1)
+            run = next(r for r in runs if r[0] <= evidence.last[grams[strongest]] <= r[-1])
+            begin, end = int(run[0]), int(run[-1]) + 1
+            evidence.covered[begin:end] = True
+            family = model.classes[2 + int(np.argmax(p[2:]))]
+            pairs = evidence.ids[begin : end - 1] * (1 << 20) + evidence.ids[begin + 1 : end]
+            contained = max(float(np.isin(t, pairs).mean()) for f, t in zip(model.families, model.template_pairs) if f == family)
+            out.append((begin, end, UNKNOWN, float(1 - p[0]), contained))
 
 
 FINDING = T.StructType(

@@ -35,6 +35,18 @@ def test_notices_inside_long_lines(spark, model):
     assert got[2][1] == []
 
 
+def test_several_notices_in_one_line(spark, model):
+    mit = next(t for f, t in license_scan.TEMPLATES if f == "MIT" and t.startswith("Permission"))
+    lines = {
+        1: ("Code: licensed under the Apache License, Version 2.0. Text: licensed under CC BY 4.0.", ["Apache-2.0", "CC-BY"]),
+        2: (f"{mit} All rights reserved.", ["MIT", "all-rights-reserved"]),
+        3: ("Licensed under CC BY-SA 4.0. Licensed under CC BY 4.0. Released under the MIT License.", ["CC-BY-SA", "CC-BY", "MIT"]),
+        4: ("Released under the MIT License. Licensed under the Frobnicate License.", ["MIT", license_scan.UNKNOWN]),
+    }
+    got = families(spark, model, [(k, text, "") for k, (text, _) in lines.items()])
+    assert {k: [f.family for f in findings] for k, (_, findings) in got.items()} == {k: want for k, (_, want) in lines.items()}
+
+
 def test_made_up_licenses_are_unknown(spark, model):
     got = families(spark, model, [(1, "Licensed under the Frobnicate License.", ""), (2, "Released under the Quux License, version 2.", "")])
     assert all([f.family for f in findings] == [license_scan.UNKNOWN] for _, findings in got.values())
