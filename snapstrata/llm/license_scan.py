@@ -1,11 +1,12 @@
 """License scans: a trained paragraph classifier, confirmed against templates.
 
-A paragraph is a line of a text; one of more than ``window`` words is read in windows that
-overlap by half, so that a notice inside it is seen whole.  Windows are classified
+A paragraph is a run of lines that hold words; one of more than ``window`` words is read in windows that
+overlap by half and run over line breaks, so that a notice inside it, wrapped or not, is seen whole.  A finding
+has the line of its first word; n_paragraphs counts lines with words.  Windows are classified
 by a multinomial logistic regression over sparse word n-grams (one to three words) into
 license families, ``unknown`` (speaks of a license, of no known family) and none.  It is
-trained here, on the templates set among background lines, on license sentences with made-up names, and on
-background lines: a documented, bounded sample of the scanned table.  A part is
+trained here, on the templates set among background words, on license sentences with made-up names, and on
+the first windows of background paragraphs: a documented, bounded sample of the scanned table.  A part is
 held back to calibrate the probabilities by a temperature.
 
 Every family is reported, several in a window if so, one of whose templates is found (by the share of its
@@ -37,6 +38,8 @@ WINDOW = 80
 #: bounds of the training sample: texts that background lines are taken from, and lines
 SAMPLE_TEXTS = 2000
 SAMPLE_LINES = 3000
+#: lines without words part paragraphs
+PARAGRAPH_END = r"\n[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\n"
 MIN_PROBABILITY = 0.6
 MIN_CONTAINED = 0.6
 #: words without a known n-gram that part two unknown notices
@@ -182,8 +185,10 @@ def learn(
     known = texts.where(F.col(text).isNotNull() & (F.col(text) != ""))
     scale = 1 << 30
     share = min(scale, -(-scale * sample_texts // max(1, known.count())))
-    line = F.explode(F.split(F.col(text), "\n"))
-    sample = known.where(F.pmod(F.xxhash64(text), F.lit(scale)) < share).select(line.alias("line")).where("trim(line) <> ''").distinct()
+    sampled = known.where(F.pmod(F.xxhash64(text), F.lit(scale)) < share)
+    sample = sampled.select(F.explode(F.split(F.col(text), PARAGRAPH_END)).alias("line"))
+    # words of the first window are within the part that is taken
+    sample = sample.select(F.substring("line", 1, 32 * window).alias("line")).where("trim(line) <> ''").distinct()
     lines = sample.orderBy(F.xxhash64("line"), "line").limit(sample_lines).collect()
     notices = [pairs_of(w) for w in tokens([t for _, t in templates])]
     background = []
@@ -269,14 +274,22 @@ class Scanner:
         self.values = pa.array(model.vocabulary, pa.large_string())
 
     def windows(self, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Line, first and last word of every window; lines without words have none."""
+        """Paragraph, first and last word of every window."""
         size, step = self.model.window, self.model.window // 2
         n = np.diff(ends)
         count = np.where(n > 0, 1 + np.maximum(0, -(-(n - size) // step)), 0)
-        line = np.repeat(np.arange(len(n)), count)
-        k = np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count)
-        first = ends[line] + k * step
-        return line, first, np.minimum(first + size, ends[line + 1])
+        paragraph = np.repeat(np.arange(len(n)), count)
+        k = np.arange(len(paragraph)) - np.repeat(np.cumsum(count) - count, count)
+        first = ends[paragraph] + k * step
+        return paragraph, first, np.minimum(first + size, ends[paragraph + 1])
+
+    @staticmethod
+    def paragraphs(owner: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Offsets of the words of runs of lines that hold words, each inside one text."""
+        full = np.diff(ends) > 0
+        new = full.copy()
+        new[1:] &= ~full[:-1] | (owner[1:] != owner[:-1])
+        return np.append(ends[:-1][new], ends[-1])
 
     def scan(self, texts: pa.Array) -> tuple[np.ndarray, list[tuple]]:
         """Number of lines with words of each text, and findings: (row, line, word, n_words, family, probability, contained)."""
@@ -289,14 +302,15 @@ class Scanner:
         encoded = words.dictionary_encode()
         number = pc.fill_null(pc.index_in(encoded.dictionary, value_set=self.values), -1).to_numpy(zero_copy_only=False)
         ids = number.astype(np.int64)[encoded.indices.to_numpy(zero_copy_only=False)] + 1 if len(words) else np.zeros(0, dtype=np.int64)
-        found, last = ngram_keys(ids, ends)
+        bounds = self.paragraphs(owner, ends)
+        found, last = ngram_keys(ids, bounds)
         place = np.minimum(np.searchsorted(model.keys, found), len(model.keys) - 1)
         hit = model.keys[place] == found
         sizes = 1 + (found[hit] >= 1 << 20).astype(np.int64) + (found[hit] >= 1 << 40)
         place, last = place[hit], last[hit]
         order = np.argsort(last, kind="stable")
         place, last, sizes = place[order], last[order], sizes[order]
-        line, first, stop = self.windows(ends)
+        paragraph, first, stop = self.windows(bounds)
         # n-grams that end in a window; one that begins before it has little weight in a half-overlapping window
         lo, hi = np.searchsorted(last, first), np.searchsorted(last, stop)
         filled = np.flatnonzero(hi > lo)
@@ -320,7 +334,7 @@ class Scanner:
         for window in flagged:
             x, y = int(first[window]), int(stop[window])
             # notices at a window's edge are looked at whole
-            low, high = max(int(ends[line[window]]), x - model.window // 2), min(int(ends[line[window] + 1]), y + model.window // 2)
+            low, high = max(int(bounds[paragraph[window]]), x - model.window // 2), min(int(bounds[paragraph[window] + 1]), y + model.window // 2)
             out += self.confirmed(evidence, low, high)
         for window in flagged:
             out += self.unknown(evidence, int(first[window]), int(stop[window]))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import textwrap
+
 import pytest
 
 from snapstrata.llm import license_scan
@@ -35,6 +37,30 @@ def test_notices_inside_long_lines(spark, model):
     assert got[2][1] == []
 
 
+def test_every_template_is_found_when_wrapped(spark, model):
+    shown = [textwrap.wrap(text, 72) for _, text in license_scan.TEMPLATES]
+    assert any(len(lines) > 2 for lines in shown)
+    rows = [(k, "\n".join(["some lines before", "", *(f" * {x}\r" for x in lines), "", "and one behind"]), "") for k, lines in enumerate(shown)]
+    rows += [(100 + k, "\n".join(lines), "") for k, lines in enumerate(shown)]
+    got = families(spark, model, rows)
+    for k, (family, _) in enumerate(license_scan.TEMPLATES):
+        for row, line in ((k, 2), (100 + k, 0)):
+            n, findings = got[row]
+            assert n == len(shown[k]) + (2 if line else 0)
+            assert [(f.line, f.word, f.family, f.contained) for f in findings] == [(line, 0, family, 1.0)]
+
+
+def test_usual_headers_are_found_as_wrapped(spark, model):
+    headers = {
+        "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:",
+        "GPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+        "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
+    }
+    got = families(spark, model, [(k, text, "") for k, text in enumerate(headers.values())])
+    for k, family in enumerate(headers):
+        assert [(f.line, f.family) for f in got[k][1] if f.family != license_scan.UNKNOWN] == [(0, family)]
+
+
 def test_several_notices_in_one_line(spark, model):
     mit = next(t for f, t in license_scan.TEMPLATES if f == "MIT" and t.startswith("Permission"))
     lines = {
