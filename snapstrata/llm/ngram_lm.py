@@ -10,6 +10,10 @@ is left to the shorter context, both quantised logarithms:
 
     p(w | c) = (n(c w) - D) / n(c) + left(c) p(w | shorter c),   p(w) = (n(w) + 0.5) / (N + 0.5 (V + 1)).
 
+A level has one D = n1 / (n1 + 2 n2), between 0.1 and 0.95, from the numbers of its nodes that were seen once and
+twice: the merge writes each shard's nodes and counts, the driver adds up two numbers a shard, and a second pass
+over the shard files writes the probabilities beside them.
+
 Shards are ranges of (context, word) of about equal training counts; a context of more than
 that is split between shards, and its mass is put together from its parts.
 Tasks count the n-grams of a few megabytes of text as sorted arrays and shuffle those, cut by shard, not rows.
@@ -66,6 +70,8 @@ class Level:
     bases: np.ndarray
     files: list[str | None]
     size: int
+    #: probabilities of the nodes and mass left by the contexts of each shard
+    weights: list[str | None] = field(default_factory=list)
     #: mass that contexts split between shards leave
     left: dict[int, float] = field(default_factory=dict)
 
@@ -142,9 +148,10 @@ class Reader:
 
     def _shard(self, level: int, shard: int) -> tuple:
         if (level, shard) not in self._shards:
-            arrays = map_arrays(self.model.levels[level].files[shard])
+            of = self.model.levels[level]
+            arrays, weights = map_arrays(of.files[shard]), map_arrays(of.weights[shard])
             parts = EliasFano(within("pointers", arrays)), EliasFano(within("words", arrays))
-            self._shards[level, shard] = (*parts, arrays["probability"], arrays["left"], int(arrays["first"][0]))
+            self._shards[level, shard] = (*parts, weights["probability"], weights["left"], int(arrays["first"][0]))
         return self._shards[level, shard]
 
     def look_up(self, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -325,7 +332,7 @@ def _boundaries(spark: SparkSession, model: Model, shards: int) -> tuple[np.ndar
         arrays = map_arrays(shipped.value[k])
         if "hash" in arrays:
             return np.where(arrays["hash"] == np.uint64(end), 0, arrays["count"])
-        return np.where(arrays["last"] == end, 0, arrays["count"]).astype(np.int64)
+        return np.where(arrays["last"] == end, 0, arrays["counts"][arrays["code"]])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -402,48 +409,76 @@ def _add_level(texts: DataFrame, model: Model, folder: str, shards: int, last: b
         heads = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
         tails = np.append(heads[1:], len(context)) - 1
         n_types = tails - heads + 1
-        own = context[heads]
         # what each context's successors add to those before
         base = np.concatenate([[0], np.cumsum(word[tails] + 1)])
         rising = word + np.repeat(base[:-1], n_types)
         pointers = np.searchsorted(context, np.arange(beyond - first + 1))
-        total = np.add.reduceat(counts, heads)
-        parts = {}
-        for name in split:
-            if first <= name < beyond:
-                total[own == name - first] = split[name]
-        once, twice = int((counts == 1).sum()), int((counts == 2).sum())
-        discount = min(0.95, max(0.1, once / max(1, once + 2 * twice)))
-        mass = discount * n_types / total
-        for name in split:
-            if first <= name < beyond:
-                parts[name] = float(mass[own == name - first].sum())
-        left = np.zeros(beyond - first, dtype="<u2")
-        left[own] = quantised(np.log10(mass))
+        # few counts differ, so nodes hold their numbers
+        distinct, code = np.unique(counts, return_inverse=True)
         arrays = {
             "first": np.array([first], dtype="<i8"),
             **nested("pointers", encode(pointers, len(context))),
             **nested("words", encode(rising, int(rising[-1]))),
-            "probability": quantised(np.log10((counts - discount) / np.repeat(total, n_types))),
-            "left": left,
+            "counts": distinct.astype("<i8"),
+            "code": code.astype(np.min_scalar_type(len(distinct))),
         }
         if not last:
-            arrays |= {"count": np.minimum(counts, 0xFFFFFFFF).astype("<u4"), "last": word.astype("<u4")}
+            arrays |= {"last": word.astype("<u4")}
         name = f"{folder}/{attempt_name(f'level-{len(model.levels) + 2}-{shard:06d}', '.bin')}"
         write_arrays(name, arrays)
-        return {"shard": shard, "name": name, "n": len(keys), "split": list(parts), "left": list(parts.values())}
+        return {"shard": shard, "name": name, "n": len(keys), "once": int((counts == 1).sum()), "twice": int((counts == 2).sum())}
 
     counted = texts.mapInArrow(count, _SHARDS)
-    schema = T.StructType.fromDDL("shard long, name string, n long, split array<long>, left array<double>")
+    schema = T.StructType.fromDDL("shard long, name string, n long, once long, twice long")
     rows = {r.shard: r for r in _merged(counted, shards, finish, schema).collect()}
     sizes = np.array([rows[s].n if s in rows else 0 for s in range(len(contexts))])
     level.bases = np.cumsum(sizes) - sizes
     level.size = int(sizes.sum())
     level.files = [rows[s].name if s in rows else None for s in range(len(contexts))]
-    for r in rows.values():
+    once, twice = (sum(getattr(r, k) for r in rows.values()) for k in ("once", "twice"))
+    _add_weights(spark, level, folder, split, min(0.95, max(0.1, once / max(1, once + 2 * twice))))
+    return level
+
+
+def _add_weights(spark: SparkSession, level: Level, folder: str, split: dict[int, int], discount: float) -> None:
+    """The second pass over a level's files: probabilities and masses by the one discount, shard by shard."""
+    files = level.files
+
+    def weigh(shard: int) -> dict:
+        arrays = map_arrays(files[shard])
+        first, pointers = int(arrays["first"][0]), EliasFano(within("pointers", arrays))
+        bounds = pointers.access(np.arange(pointers.n))
+        n_types = np.diff(bounds)
+        own = np.flatnonzero(n_types)
+        n_types = n_types[own]
+        counts = arrays["counts"][arrays["code"]]
+        total = np.add.reduceat(counts, bounds[own])
+        here = [name for name in split if first <= name < first + pointers.n - 1]
+        for name in here:
+            total[own == name - first] = split[name]
+        mass = discount * n_types / total
+        left = np.zeros(pointers.n - 1, dtype="<u2")
+        left[own] = quantised(np.log10(mass))
+        probability = quantised(np.log10((counts - discount) / np.repeat(total, n_types)))
+        name = f"{folder}/{attempt_name(f'weights-{shard:06d}', '.bin')}"
+        write_arrays(name, {"probability": probability, "left": left})
+        return {"shard": shard, "name": name, "split": here, "left": [float(mass[own == k - first].sum()) for k in here]}
+
+    schema = T.StructType.fromDDL("shard long, name string, split array<long>, left array<double>")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pylist([weigh(shard)], to_arrow_schema(schema))
+
+    held = [k for k, name in enumerate(files) if name is not None]
+    numbered = spark.createDataFrame([(k,) for k in held], "shard long").repartition(max(1, len(held)))
+    level.weights = [None] * len(files)
+    # a row per shard
+    for r in numbered.mapInArrow(run, schema).collect():
+        level.weights[r.shard] = r.name
         for name, part in zip(r.split, r.left):
             level.left[name] = level.left.get(name, 0.0) + part
-    return level
 
 
 def train(texts: DataFrame, text: str = "text", order: int = ORDER, folder: str | None = None, shards: int | None = None) -> Model:
