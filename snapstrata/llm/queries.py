@@ -18,6 +18,7 @@ from snapstrata.llm import (
     simhash_dedup,
     token_files,
     warc,
+    window_dedup,
     zstd_language,
 )
 
@@ -231,3 +232,29 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter("findings", lambda x: x["family"] == license_scan.UNKNOWN)).cast("long").alias("n_unknown"),
         F.array_max(F.col("findings.probability")).alias("probability"),
     )
+
+
+@register
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = window_dedup.remove_repeated_windows(table(spark, sf_dir, "documents"), window=13, keep=["doc_id"])
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SQL["op11_substring_dedup"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') AS parts FROM documents),
+words AS (
+  SELECT r, doc_id, i, word FROM (
+    SELECT r, doc_id, unnest(range(1, len(list_filter(parts, lambda x: x <> '')) + 1)) AS i,
+           unnest(list_filter(parts, lambda x: x <> '')) AS word FROM docs)),
+windows AS (
+  SELECT r, doc_id, i, word, list(word) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS ahead FROM words),
+judged AS (
+  SELECT r, doc_id, i, word, len(ahead) = 13 AND coalesce(min(doc_id) OVER (PARTITION BY ahead) < doc_id, false) AS again FROM windows),
+covered AS (
+  SELECT r, i, word, bool_or(again) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM judged),
+folded AS (
+  SELECT r, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM covered GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN folded USING (r)
+"""
