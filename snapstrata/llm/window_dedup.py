@@ -39,7 +39,7 @@ from xxhash import xxh3_128_digest
 from snapstrata.llm.texts import as_large_strings, coded, pieces, split_words
 
 #: bytes of text whose windows are hashed and folded together in a task
-PIECE_BYTES = 16 << 20
+PIECE_BYTES = 8 << 20
 #: bytes of text per cell of the hash's range, and the most cells
 CELL_BYTES, MOST_CELLS = 8 << 20, 1 << 20
 #: fixed odd bases of the two window polynomials
@@ -145,16 +145,18 @@ def hashed_windows(texts: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray
     counts = np.diff(bounds)
     n = np.maximum(counts - window + 1, 0)
     if not n.sum():
-        return tuple(np.zeros(0, dtype=k) for k in (np.uint64, np.uint32, np.int64, np.uint32))
+        return tuple(np.zeros(0, dtype=k) for k in (np.uint64, np.uint32, np.int32, np.uint32))
     distinct, codes = coded(words)
     del words
     digests = np.frombuffer(b"".join(map(xxh3_128_digest, distinct.to_pylist())), dtype="<u8").reshape(-1, 2)
-    text = np.repeat(np.arange(len(counts)), n)
-    place = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+    del distinct
+    text = np.repeat(np.arange(len(counts), dtype=np.int32), n)
+    place = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)).astype(np.uint32)
     start = bounds[text] + place
     with np.errstate(over="ignore"):
-        high, low = (window_hashes(digests[codes, k], window, BASES[k])[start] for k in (0, 1))
-    return high, (low >> np.uint64(32)).astype(np.uint32), text, place.astype(np.uint32)
+        low = (window_hashes(digests[codes, 1], window, BASES[1])[start] >> np.uint64(32)).astype(np.uint32)
+        high = window_hashes(digests[codes, 0], window, BASES[0])[start]
+    return high, low, text, place
 
 
 def by_window(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
