@@ -13,6 +13,7 @@ from snapstrata.llm import (
     embedding_dedup,
     host_reputation,
     license_scan,
+    merkle_manifest,
     ngram_lm,
     piece_lattice,
     simhash_dedup,
@@ -258,3 +259,71 @@ folded AS (
 SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM docs LEFT JOIN folded USING (r)
 """
+
+
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@register
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = merkle_manifest.manifest(
+        table(spark, sf_dir, "documents"), FIELDS, tree="lang", id="doc_id",
+        tampered={"n_chars": F.col("n_chars") + 1},
+        when=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0,
+    )
+    proof = F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256")
+    return proved.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, bit by bit."""
+    bits = f"""list_transform(range(0, 8 * CAST(strlen({text}) AS BIGINT)),
+      lambda k: (ascii(substr({text}, CAST(k // 8 + 1 AS INTEGER), 1)) >> CAST(k % 8 AS INTEGER)) & 1)"""
+    return f"""xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], {bits}),
+      lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END)))"""
+
+
+def _leaf_sql(**other: str) -> str:
+    parts = [f"coalesce(strlen(CAST({other.get(c, c)} AS VARCHAR)) || ':' || {other.get(c, c)}, '-')" for c in FIELDS]
+    return f"sha256({' || '.join(parts)})"
+
+
+SQL["op13_merkle_manifest"] = f"""
+WITH RECURSIVE
+leaves AS (
+  SELECT doc_id, coalesce('1' || lang, '0') AS tree, {_leaf_sql()} AS leaf,
+         CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf_sql(n_chars="(n_chars + 1)")} END AS other
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves),
+low AS (
+  SELECT tree, 0 AS level, place, n AS width, leaf AS node FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 2, (any_value(width) + 1) // 2, sha256(string_agg(node, '' ORDER BY place))
+  FROM low WHERE width > 1 GROUP BY tree, level, place // 2),
+subroots AS (
+  SELECT tree, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS rank, count(*) OVER () AS trees FROM low WHERE width = 1),
+high AS (
+  SELECT 0 AS level, rank AS place, trees AS width, subroot AS node FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, (any_value(width) + 1) // 2, sha256(string_agg(node, '' ORDER BY place))
+  FROM high WHERE width > 1 GROUP BY level, place // 2),
+heights AS (SELECT tree, max(level) AS height FROM low GROUP BY tree),
+every AS (
+  SELECT tree, level, place, width, node FROM low WHERE width > 1
+  UNION ALL SELECT tree, height + level, place, width, high.node FROM high, heights WHERE width > 1),
+walk AS (
+  SELECT doc_id, leaf, placed.tree AS tree, 0 AS level, place, '' AS proof, coalesce(other, leaf) AS fold, height, rank
+  FROM placed JOIN heights USING (tree) JOIN subroots USING (tree)
+  UNION ALL
+  SELECT doc_id, leaf, w.tree, w.level + 1, CASE WHEN w.level + 1 = height THEN rank ELSE w.place // 2 END, proof || coalesce(s.node, ''),
+         sha256(CASE WHEN s.node IS NULL THEN fold WHEN w.place % 2 = 1 THEN s.node || fold ELSE fold || s.node END), height, rank
+  FROM (SELECT w.*, CASE WHEN w.place % 2 = 1 THEN w.place - 1 ELSE w.place + 1 END AS other_place FROM
+          (SELECT doc_id, leaf, tree, level, CASE WHEN level = height THEN rank ELSE place END AS place, proof, fold, height, rank FROM walk) w) w
+  JOIN (SELECT DISTINCT tree, level FROM every) l ON l.tree = w.tree AND l.level = w.level
+  LEFT JOIN every s ON s.tree = w.tree AND s.level = w.level AND s.place = w.other_place)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = root AS verified
+FROM walk JOIN subroots USING (tree) CROSS JOIN (SELECT node AS root, level AS top FROM high WHERE width = 1) r
+WHERE walk.level = height + top
+"""
