@@ -16,7 +16,7 @@ How it runs:
    cells follows the bytes of text, tasks stream them one after another, and a cell marks the
    entries whose window also has a smaller document.
 3. Marks are dealt out by document and merged into maximal intervals, which join the texts again by
-   document.  Texts move once, in that join.
+   document.  Texts move once, compressed, in that join.
 
 Null ids: such a row is compared with none, nothing of it goes and it removes nothing.  Rows that
 share an id are documents of their own, none smaller than the other.  Null, empty and blank texts
@@ -296,6 +296,22 @@ def _intervals(marks: DataFrame, tasks: int, window: int) -> DataFrame:
     return marks.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
+def _squeezed(read: DataFrame) -> DataFrame:
+    """Texts compressed, for the one join that moves them; null and empty ones are null."""
+    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "_text" else f for f in read.schema])
+    names = read.columns
+    place = names.index("_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for piece in pieces(batches, "_text"):
+            values = (x.as_buffer() for x in as_large_strings(piece.column(place)))
+            small = pa.array([squeeze(x) if x.size else None for x in values], pa.binary())
+            yield pa.RecordBatch.from_arrays([small if k == place else piece.column(k) for k in range(piece.num_columns)], names=names)
+
+    return read.mapInArrow(run, schema)
+
+
 def removal_intervals(docs: DataFrame, window: int = 13, id: str = "doc_id", text: str = "text", cells: int | None = None) -> DataFrame:
     """(_id, _variant, _first, _last) of the documents that lose words: word numbers, first to before last.
 
@@ -325,15 +341,15 @@ def remove_repeated_windows(
     kept = [c for c in (docs.columns if keep is None else keep) if c not in outputs and (keep is not None or c != text)]
     read = docs.select(F.struct(*kept).alias("_row"), F.col(id).cast("long").alias("_id"), F.col(text).alias("_text"))
     read = _with_variant(read, "_id", "_text")
-    joined = read.join(_found(read, window, cells), ["_id", "_variant"], "left")
+    joined = _squeezed(read).join(_found(read, window, cells), ["_id", "_variant"], "left")
     schema = T.StructType([*docs.select(*kept).schema, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "_text"):
-            texts = as_large_strings(piece.column("_text"))
+        expand = zstandard.ZstdDecompressor().decompress
+        for piece in pieces(batches, "_text", PIECE_BYTES // 4):
             totals, removed, out = [], [], []
-            for value, first, last in zip(texts, piece.column("_first").to_pylist(), piece.column("_last").to_pylist()):
-                words = value.as_buffer().to_pybytes().split()
+            for value, first, last in zip(*(piece.column(c).to_pylist() for c in ("_text", "_first", "_last"))):
+                words = expand(value).split() if value else []
                 totals.append(len(words))
                 if first:
                     held, at = [], 0
