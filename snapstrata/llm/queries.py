@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.llm import (
+    conversation_repair,
     decontamination,
     embedding_dedup,
     host_reputation,
@@ -261,6 +262,33 @@ FROM docs LEFT JOIN folded USING (r)
 """
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows after the damage that their key calls for; a null counts as one blank."""
+    blank = F.lit(" ")
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")))
+    kind = F.crc32(key.cast("binary")) % 20
+    role, text = (F.coalesce(c, blank) for c in ("role", "text"))
+    return (
+        conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), kind.alias("kind"))
+        .where("kind <> 0")
+        .withColumn("text", F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")))
+        .withColumn("role", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")))
+        .select("conv_id", "turn", "role", "text", F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1))))
+        .drop("col")
+    )
+
+
+@register
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    repaired = conversation_repair.Repair(damaged(conversations)).summary
+    every = conversations.select("conv_id").distinct()
+    joined = every.join(repaired, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return joined.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -327,3 +355,71 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, fold AS folde
 FROM walk JOIN subroots USING (tree) CROSS JOIN (SELECT node AS root, level AS top FROM high WHERE width = 1) r
 WHERE walk.level = height + top
 """
+
+
+_EXPECTED = "CASE WHEN state = 2 THEN 'assistant' ELSE 'user' END"
+_THEN = "CASE WHEN state = 2 THEN 3 ELSE 2 END"
+_MORE = "CASE WHEN fault = 't' THEN 5 ELSE 0 END"
+
+
+def _line(role: str, text: str) -> str:
+    return f"CASE WHEN b.lines IS NULL THEN {role} || ':' || {text} ELSE b.lines || chr(10) || {role} || ':' || {text} END"
+
+
+def _inserted(source: str, again: int) -> str:
+    """The best of each state after up to so many insertions."""
+    step = f"""SELECT conv, i, {_THEN} AS state,
+      struct_pack(cost := b.cost + 5, audit := b.audit || 'I', lines := {_line(_EXPECTED, "''")}) AS b FROM ({source}) x"""
+    out = f"SELECT conv, i, state, min(b) AS b FROM (SELECT * FROM ({source}) y UNION ALL {step}) z GROUP BY ALL"
+    return out if again == 1 else _inserted(out, again - 1)
+
+
+_ROW = f"""SELECT s.conv, s.i + 1 AS i, state, b FROM (
+  SELECT conv, i, state, struct_pack(cost := b.cost + 2, audit := b.audit || 'D', lines := b.lines) AS b FROM s
+  UNION ALL SELECT conv, i, CASE WHEN initial = 's' THEN 1 ELSE {_THEN} END,
+    struct_pack(cost := b.cost + {_MORE}, audit := b.audit || 'K', lines := {_line("role", "text")}) FROM s
+    WHERE fault IN ('', 't') AND (initial = left({_EXPECTED}, 1) OR (state = 0 AND initial = 's'))
+  UNION ALL SELECT conv, i, {_THEN},
+    struct_pack(cost := b.cost + 1 + {_MORE}, audit := b.audit || 'R', lines := {_line(_EXPECTED, "text")}) FROM s WHERE fault IN ('', 't')) s"""
+
+SQL["op12_conversation_repair"] = f"""
+WITH RECURSIVE
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+kinds AS (SELECT *, {_crc32_sql("key")} % 20 AS kind FROM keyed),
+hurt AS (
+  SELECT conv_id AS conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) - 1 AS i,
+         right(regexp_replace(text, '[\\x20\\x09-\\x0D]+$', ''), 1) AS ending, left(role, 1) AS initial
+  FROM hurt),
+judged AS (
+  SELECT *, CASE WHEN ending = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 'd'
+                 WHEN ending NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+         lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial AS pair
+  FROM ordered),
+counts AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM judged GROUP BY conv),
+steps AS (
+  SELECT conv, 0::BIGINT AS i, 0 AS state, struct_pack(cost := 0::BIGINT, audit := '', lines := NULL::VARCHAR) AS b FROM counts
+  UNION ALL
+  SELECT conv, i, state, min(b) AS b FROM (
+    WITH s AS (SELECT x.*, role, text, fault, initial
+               FROM ({_inserted("SELECT * FROM steps", 3)}) x JOIN judged j ON j.conv IS NOT DISTINCT FROM x.conv AND j.i = x.i)
+    {_ROW}) GROUP BY conv, i, state),
+ended AS (
+  SELECT c.conv, min(x.b) AS b FROM ({_inserted("SELECT * FROM steps", 2)}) x JOIN counts c ON c.conv IS NOT DISTINCT FROM x.conv AND c.n = x.i
+  WHERE state IN (0, 3) GROUP BY c.conv)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.cost, 0) AS cost, coalesce(b.audit, '') AS audit,
+       sha256(coalesce(b.lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k
+LEFT JOIN counts c ON c.conv IS NOT DISTINCT FROM conv_id LEFT JOIN ended e ON e.conv IS NOT DISTINCT FROM conv_id
+"""
