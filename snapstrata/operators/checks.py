@@ -224,17 +224,18 @@ def gold_failures(
     single = {
         table: {
             **{f"not_null_{table}_{column}": F.col(column).isNull() for column in columns},
-            **{name: bad for name, bad in among.get(table, {}).items() if name not in leave_out},
+            **among.get(table, {}),
         }
         for table, columns in GOLD_FILLED.items()
     }
+    single = {table: {name: bad for name, bad in tests.items() if name not in leave_out} for table, tests in single.items()}
     covered = {name for tests in among.values() for name in tests}
     grouped = {
         name: test
         for name, test in gold_tests(gold, airlines, cabins).items()
         if not name.startswith("not_null_") and name not in covered and name not in leave_out
     }
-    counted = [row_failures(gold[table], conditions) for table, conditions in single.items()]
+    counted = [row_failures(gold[table], conditions) for table, conditions in single.items() if conditions]
     return reduce(DataFrame.unionAll, [*counted, failure_counts(grouped)])
 
 

@@ -23,10 +23,17 @@ def outcome_counts(refined: DataFrame, snapshot: str) -> DataFrame:
     )
 
 
+def _beside(left: DataFrame, right: DataFrame, snapshot: str, how: str) -> DataFrame:
+    """Join per snapshot; rows without a snapshot are one as well."""
+    other = f"_{snapshot}"
+    joined = left.join(right.withColumnRenamed(snapshot, other), F.col(snapshot).eqNullSafe(F.col(other)), how)
+    return joined.withColumn(snapshot, F.coalesce(snapshot, other)).drop(other)
+
+
 def layer_reconciliation(raw: DataFrame, counted: DataFrame, snapshot: str) -> DataFrame:
     """Raw rows against valid + rejected per snapshot; a missing side counts as zero."""
     names = ("bronze_row_count", "silver_valid_count", "silver_rejected_count", "duplicates_removed")
-    both = raw.join(counted, snapshot, "full").withColumns({n: X.default_to(n, 0) for n in names})
+    both = _beside(raw, counted, snapshot, "full").withColumns({n: X.default_to(n, 0) for n in names})
     total = F.col("silver_valid_count") + F.col("silver_rejected_count")
     return both.select(
         snapshot,
@@ -82,8 +89,7 @@ def snapshot_metrics(
         refined.where(F.col(OUTCOME) == VALID), snap, contract.group_column
     )
     return (
-        counted.join(variants, snap, "left")
-        .join(breakdown_json(refined, snap), snap, "left")
+        _beside(_beside(counted, variants, snap, "left"), breakdown_json(refined, snap), snap, "left")
         .withColumn("multi_variant_quote_groups", X.default_to("multi_variant_quote_groups", 0))
         .withColumn("rejection_reason_breakdown", X.default_to("rejection_reason_breakdown", "{}"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +11,17 @@ from pyspark.sql import functions as F
 from snapstrata.contract import SnapshotContract
 from snapstrata.functions.rules import OneOf
 from snapstrata.operators import checks
-from snapstrata.operators.merge import partition_values
+from snapstrata.operators.merge import in_snapshots, partition_values
 from snapstrata.plans import marts, star
 from snapstrata.plans.landing import Lake, Landed, land_file
-from snapstrata.plans.refine import RefinedTables, refine_snapshots
+from snapstrata.plans.refine import RefinedTables, as_dates, refine_snapshots
 from snapstrata.sources import audit, tables
 
 
-def unrefined(spark: SparkSession, lake: Lake) -> list[date]:
-    """Snapshots with a delivery that no reconciled refining run has followed yet."""
-    log = audit.read_run_log(spark, lake.run_log).where((F.col("layer") == "silver") & F.col("reconciled"))
-    manifest = audit.read_manifest(spark, lake.manifest)
-    return audit.behind(audit.latest(manifest, "ingested_at"), audit.latest(log, "logged_at"))
+def unrefined(spark: SparkSession, lake: Lake) -> list[date | None]:
+    """Snapshots with a delivery that no reconciled refining run has read."""
+    known = audit.deliveries(audit.read_manifest(spark, lake.manifest))
+    return audit.in_order(audit.by_snapshot(audit.not_consumed(known, audit.read_run_log(spark, lake.run_log), "silver")))
 
 
 def take_in(
@@ -50,8 +49,9 @@ def take_in(
             lake.refined,
             lake.run_log,
             contract,
-            snapshots=[landed.as_of_date.isoformat()],
+            snapshots=[landed.as_of_date],
             batch_id=landed.batch_id,
+            manifest_path=lake.manifest,
         )
     return landed
 
@@ -85,25 +85,23 @@ def gold_frames(
     }
 
 
-def changed_snapshots(spark: SparkSession, lake: Lake) -> list[date]:
-    """Snapshots that were refined after their last refresh, or were never refreshed.
+def unrefreshed_runs(spark: SparkSession, lake: Lake) -> dict[date | None, list[str]]:
+    """Per snapshot the refining runs that no refresh of the gold tables has read."""
+    log = audit.read_run_log(spark, lake.run_log)
+    return audit.by_snapshot(audit.not_consumed(audit.finished_runs(log, "silver"), log, "gold"))
+
+
+def changed_snapshots(spark: SparkSession, lake: Lake, runs: Mapping[date | None, Sequence[str]] | None = None) -> list[date | None]:
+    """Snapshots with a refining run that no refresh has read (``runs``), or that were never refreshed.
 
     Found in the run log, which has a row per snapshot and run, and in the names of the
     refined partitions; no row of the history is read.  A refining run counts
     whatever it changed: new rules, corrected rejects, or a snapshot that lost all its rows.
     """
-    log = audit.read_run_log(spark, lake.run_log)
-    refreshed = audit.latest(log.where(F.col("layer") == "gold"), "logged_at")
-    refined = audit.latest(log.where((F.col("layer") == "silver") & F.col("reconciled")), "logged_at")
-    known = {r["as_of_date"] for r in refreshed.collect()}
-    halves = RefinedTables(lake.refined)
-    held = {
-        date.fromisoformat(value)
-        for path in (halves.valid, halves.rejected)
-        for value in tables.partition_names(spark, path, "as_of_date")
-        if value != tables.NO_VALUE
-    }
-    return sorted({*audit.behind(refined, refreshed), *(held - known)})
+    runs = unrefreshed_runs(spark, lake) if runs is None else runs
+    refreshed = audit.read_run_log(spark, lake.run_log).where((F.col("layer") == "gold") & F.col("reconciled"))
+    known = set(partition_values(refreshed, "as_of_date"))
+    return audit.in_order([*runs, *(RefinedTables(lake.refined).snapshots(spark, "as_of_date") - known)])
 
 
 def refresh_gold(
@@ -113,10 +111,11 @@ def refresh_gold(
     staged_quote: Sequence[tuple[str, str, str | None]],
     staged_reject: Sequence[tuple[str, str, str | None]],
     *,
-    snapshots: Sequence[str] | None = None,
+    snapshots: Sequence[str | date | None] | None = None,
     full_refresh: bool = False,
     ungated: Sequence[str] = (),
-) -> list[date]:
+    after_write: Callable[[], None] | None = None,
+) -> list[date | None]:
     """Bring the gold tables up to date with the refined layer.
 
     Takes the named snapshots, or those that changed since the last refresh
@@ -129,9 +128,15 @@ def refresh_gold(
     Tests gate the load, as they do in a build of models: those on the refined
     rows of the touched snapshots run before anything is written, those on the
     gold tables before the refresh is entered in the run log.  A refresh that fails
-    raises, and is taken up again by the next.  ``ungated`` names gold tests that do not
-    stop a load.
+    raises, and is taken up again by the next.  ``ungated`` names tests that do not
+    stop a load.  Refined rows without a snapshot are a snapshot of their own, None, and stop the load by
+    ``not_null_as_of_date`` unless that test is ungated.
+
+    The log entry names the refining runs that were known before the first row was read.  A
+    refining run that ends while the refresh is under way is not among them, so the next
+    refresh takes it up.  ``after_write`` is called between the writes and the tests of the gold tables.
     """
+    runs = unrefreshed_runs(spark, lake)
     refined = RefinedTables(lake.refined)
     valid, rejected = refined.read_valid(spark), refined.read_rejected(spark)
     staged, turned_away = star.stage(valid, staged_quote), star.stage(rejected, staged_reject)
@@ -140,21 +145,18 @@ def refresh_gold(
 
     fact_path, cube_path = f"{lake.gold}/fct_flight_price_quote", f"{lake.gold}/fare_cube"
     if snapshots is not None:
-        days = sorted(date.fromisoformat(s) for s in snapshots)
+        days = audit.in_order(as_dates(snapshots))
     else:
-        days = changed_snapshots(spark, lake)
+        days = changed_snapshots(spark, lake, runs)
         if full_refresh:
             known = (*partition_values(staged, "as_of_date"), *partition_values(turned_away, "as_of_date"))
-            loaded = tables.partition_names(spark, fact_path, "as_of_date")
-            held = {date.fromisoformat(v) for v in loaded if v != tables.NO_VALUE}
-            days = sorted({*days, *held, *(d for d in known if d is not None)})
+            days = audit.in_order([*days, *tables.partition_dates(spark, fact_path, "as_of_date"), *known])
     if not days:
         return []
-    touched = F.col("as_of_date").isin(*days)
-    of_touched = F.col(contract.snapshot).isin(*days)
-    checks.require_none(
-        checks.layer_failures(valid.where(of_touched), rejected.where(of_touched), contract, staged_quote)
-    )
+    touched = in_snapshots("as_of_date", days)
+    of_touched = in_snapshots(contract.snapshot, days)
+    failures = checks.layer_failures(valid.where(of_touched), rejected.where(of_touched), contract, staged_quote)
+    checks.require_none(failures.where(~F.col("test_name").isin(*ungated)))
 
     def replace(
         frame: DataFrame, path: str, sort: Sequence[str] = (), balance: bool = True
@@ -194,10 +196,13 @@ def refresh_gold(
     for name, frame in dimensions.items():
         tables.write_table(frame, f"{lake.gold}/{name}")
         published[name] = spark.read.schema(frame.schema).parquet(f"{lake.gold}/{name}")
+    if after_write is not None:
+        after_write()
     values = {r.column: r.values for r in contract.rules if isinstance(r, OneOf)}
     source = {target: column for column, target, _ in staged_quote}
     airlines, cabins = values[source["airline_name"]], values[source["cabin_class"]]
     checks.require_none(checks.gold_failures(published, airlines, cabins, leave_out=ungated))
-    entries = spark.createDataFrame([(d,) for d in days], "as_of_date date").withColumn("reconciled", F.lit(True))
+    read = [(d, True, list(runs.get(d, ()))) for d in days]
+    entries = spark.createDataFrame(read, "as_of_date date, reconciled boolean, consumed array<string>")
     audit.append_run_log(spark, audit.run_log_rows(entries, "gold"), lake.run_log)
     return days

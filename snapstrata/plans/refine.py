@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.contract import REJECTED, VALID, SnapshotContract
 from snapstrata.operators.dedupe import KEPT, keep_first, mark_contract_winners
+from snapstrata.operators.merge import in_snapshots
 from snapstrata.operators.reconcile import snapshot_metrics
 from snapstrata.operators.standardize import clean, derive
 from snapstrata.operators.validate import IS_VALID, OUTCOME, REASON_TEXT, judge, settle
@@ -81,6 +83,14 @@ class RefinedTables:
     def read_rejected(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.rejected)
 
+    def snapshots(self, spark: SparkSession, snapshot: str) -> set[date | None]:
+        """Those that either half holds, from the folder names."""
+        return {d for path in (self.valid, self.rejected) for d in tables.partition_dates(spark, path, snapshot)}
+
+
+def as_dates(snapshots: Sequence[str | date | None]) -> list[date | None]:
+    return [date.fromisoformat(s) if isinstance(s, str) else s for s in snapshots]
+
 
 def refine_snapshots(
     spark: SparkSession,
@@ -88,27 +98,37 @@ def refine_snapshots(
     refined_path: str,
     log_path: str,
     contract: SnapshotContract,
-    snapshots: Sequence[str] | None = None,
+    snapshots: Sequence[str | date | None] | None = None,
     batch_id: str | None = None,
+    manifest_path: str | None = None,
+    after_write: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Refine the given snapshots (all when None), write both halves, log, reconcile.
 
     Both halves come out of one write, partitioned by outcome and snapshot, so
-    the plan runs once.  The counts that are logged and compared are read back
+    the plan runs once.  Raw rows without a snapshot date are a partition of their own, named by None.
+    The counts that are logged and compared are read back
     from the written tables.  Returns the log rows of this run.
+
+    With ``manifest_path`` the log also says which deliveries the run has read.  They are looked
+    up before the raw rows: a delivery that lands meanwhile is not among them and stays
+    to be refined, whether or not this run saw rows of it.  ``after_write`` is called between the write and the log.
     """
     snap = contract.snapshot
+    waiting = {}
+    if manifest_path is not None:
+        known = audit.deliveries(audit.read_manifest(spark, manifest_path))
+        waiting = audit.by_snapshot(audit.not_consumed(known, audit.read_run_log(spark, log_path), "silver"))
     raw = spark.read.parquet(raw_path)
-    if snapshots is not None:
-        raw = raw.where(F.col(snap).isin(*[F.lit(s).cast("date") for s in snapshots]))
-    raw_counts = raw.groupBy(snap).agg(F.count(F.lit(1)).alias("bronze_row_count"))
+    asked = None if snapshots is None else as_dates(snapshots)
+    if asked is not None:
+        raw = raw.where(in_snapshots(snap, asked))
+    raw_counts = raw.groupBy(F.col(snap).cast("date").alias(snap)).agg(F.count(F.lit(1)).alias("bronze_row_count"))
     # one row per snapshot date: bounded by the calendar, not by the data
-    sizes = {str(r[0]): r[1] for r in raw_counts.collect()}
+    sizes = {r[0]: r[1] for r in raw_counts.collect()}
     # a snapshot that lost all its raw rows is emptied on both sides as well
-    halves = RefinedTables(refined_path)
-    held = {v for p in (halves.valid, halves.rejected) for v in tables.partition_names(spark, p, snap)}
-    emptied = {str(s) for s in snapshots or () if str(s) in held}
-    owned = sorted({*sizes, *emptied})
+    held = RefinedTables(refined_path).snapshots(spark, snap)
+    owned = audit.in_order([*sizes, *(d for d in asked or () if d in held)])
     if not owned:
         raise EmptyInputError(f"no raw rows under {raw_path} for {snapshots or 'any snapshot'}")
 
@@ -123,13 +143,16 @@ def refine_snapshots(
         # a single snapshot has two partitions, which every task may write directly
         balance=len(owned) > 1,
     )
-
-    written = spark.read.parquet(refined_path).where(
-        F.col(snap).isin(*[F.lit(d).cast("date") for d in owned])
-    )
-    every = spark.createDataFrame([(d, sizes.get(d, 0)) for d in owned], "day string, bronze_row_count long")
-    raw_counts = every.select(F.col("day").cast("date").alias(snap), "bronze_row_count")
-    metrics = snapshot_metrics(written, raw_counts, contract)
+    if after_write is not None:
+        after_write()
+
+    written = spark.read.parquet(refined_path).where(in_snapshots(snap, owned))
+    every = [(d, sizes.get(d, 0), waiting.get(d, [])) for d in owned]
+    told = spark.createDataFrame(every, f"`{snap}` date, bronze_row_count long, consumed array<string>")
+    written = written.withColumn(snap, F.col(snap).cast("date"))
+    metrics = snapshot_metrics(written, told.drop("consumed"), contract)
+    read = told.select(F.col(snap).alias("_day"), "consumed")
+    metrics = metrics.join(read, F.col(snap).eqNullSafe(F.col("_day")), "left").drop("_day")
     log = audit.run_log_rows(metrics, layer="silver", batch_id=batch_id)
     entries = audit.append_run_log(spark, log, log_path)
     broken = [str(r["as_of_date"]) for r in entries if not r["reconciled"]]

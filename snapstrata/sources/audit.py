@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DateType,
     DecimalType,
@@ -53,6 +56,9 @@ RUN_LOG_SCHEMA = StructType(
 )
 # ---- end of fixed values ----
 
+# what tells runs apart, and the ids of the deliveries or runs of the layer before that a run has read
+RUN_LOG_SCHEMA = RUN_LOG_SCHEMA.add("run_id", StringType()).add("consumed", ArrayType(StringType()))
+
 
 def now_utc() -> datetime:
     return datetime.now(timezone.utc)
@@ -102,27 +108,45 @@ def record_deliveries(deliveries: DataFrame, path: str) -> None:
     append_rows(conform(stamped, MANIFEST_SCHEMA), path)
 
 
-def latest(frame: DataFrame, moment: str) -> DataFrame:
-    """The newest entry's time per snapshot: (as_of_date, at)."""
-    return frame.groupBy("as_of_date").agg(F.max(moment).alias("at"))
+def deliveries(manifest: DataFrame) -> DataFrame:
+    """(as_of_date, id) of every delivery that was taken in."""
+    return manifest.select("as_of_date", F.col("batch_id").alias("id"))
+
+
+def finished_runs(log: DataFrame, layer: str) -> DataFrame:
+    """(as_of_date, id) of every run of a layer that added up; entries of older logs go by their batch or time."""
+    run = F.coalesce("run_id", "batch_id", F.col("logged_at").cast("string"))
+    return log.where((F.col("layer") == layer) & F.col("reconciled")).select("as_of_date", run.alias("id"))
 
 
-def behind(newer: DataFrame, older: DataFrame) -> list[date]:
-    """Snapshots whose newest entry in ``newer`` has none as new in ``older``.
+def not_consumed(produced: DataFrame, log: DataFrame, layer: str) -> DataFrame:
+    """(as_of_date, ids): what the layer before produced and no finished run of ``layer`` has read.
 
-    Both are control tables: a row per snapshot and run.
+    An anti-join on ids.  Clock times would lose what is produced while a run is under way:
+    the run has not read it, yet its entry is the newer one.
     """
-    done = older.select(F.col("as_of_date").alias("done_date"), F.col("at").alias("done_at"))
-    same = F.col("as_of_date") == F.col("done_date")
-    open_ = newer.join(done, same, "left").where(F.col("done_at").isNull() | (F.col("done_at") < F.col("at")))
-    return sorted(r["as_of_date"] for r in open_.select("as_of_date").collect())
+    used = log.where((F.col("layer") == layer) & F.col("reconciled")).select(
+        F.col("as_of_date").alias("used_date"), F.explode("consumed").alias("used_id")
+    )
+    same = F.col("as_of_date").eqNullSafe(F.col("used_date")) & (F.col("id") == F.col("used_id"))
+    return produced.join(used, same, "left_anti").groupBy("as_of_date").agg(F.sort_array(F.collect_set("id")).alias("ids"))
+
+
+def by_snapshot(pending: DataFrame) -> dict[date | None, list[str]]:
+    """Collected on purpose: a row per snapshot that waits for its next layer."""
+    return {r["as_of_date"]: list(r["ids"]) for r in pending.collect()}
+
+
+def in_order(days: Sequence[date | None]) -> list[date | None]:
+    """Each snapshot once, by date; None, for rows without one, comes last."""
+    found = set(days)
+    return sorted(d for d in found if d is not None) + [None] * (None in found)
 
 
 def run_log_rows(metrics: DataFrame, layer: str, batch_id: str | None = None) -> DataFrame:
-    """Metric rows in the shape of the run log (every layer writes the same columns)."""
-    stamped = metrics.withColumns(
-        {"layer": F.lit(layer), "batch_id": F.lit(batch_id), "logged_at": F.lit(now_utc())}
-    )
+    """Metric rows in the shape of the run log (every layer writes the same columns), under an id of this run."""
+    run = {"run_id": F.lit(uuid.uuid4().hex), "logged_at": F.lit(now_utc())}
+    stamped = metrics.withColumns({"layer": F.lit(layer), "batch_id": F.lit(batch_id), **run})
     return conform(stamped, RUN_LOG_SCHEMA)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,12 @@ def partition_names(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
 
 
+def partition_dates(spark: SparkSession, path: str, column: str) -> list[date | None]:
+    """``partition_names`` as dates; None stands for the partition of rows without one."""
+    names = partition_names(spark, path, column)
+    return [None if name == NO_VALUE else date.fromisoformat(name) for name in names]
+
+
 def write_partitions(
     df: DataFrame,
     path: str,
