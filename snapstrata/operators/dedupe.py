@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -19,6 +20,7 @@ from pyspark.sql.types import (
 )
 
 from snapstrata.contract import SnapshotContract
+from snapstrata.session import work_area
 
 KEPT = "_kept"
 
@@ -71,40 +73,75 @@ def keep_first(
     return ranked.where(F.col("_place") == 1).drop("_hk", "_place")
 
 
+def _is_plain_scan(df: DataFrame) -> bool:
+    """Projections and filters over one table of files, nothing that could repeat or reorder its rows?"""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return plan.getClass().getSimpleName() == "LogicalRelation"
+
+
+def with_row_identity(df: DataFrame) -> DataFrame:
+    """Adds _file and _index, which tell all rows apart and stay the same in every reading.
+
+    A plain scan of Parquet files has them; anything else is written to the shared folder first.
+    """
+    place = (F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    if _is_plain_scan(df):
+        try:
+            return df.select("*", *place)
+        except AnalysisException:  # files of a format without row numbers
+            pass
+    path = work_area(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select("*", *place)
+
+
+def _measured(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """A written copy, and the bytes of its rows as text: what a broadcast of it would have to hold, whatever its files' size."""
+    spark, path, seen = df.sparkSession, work_area(df.sparkSession, purpose), Observation()
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0).cast("long"))
+    df.observe(seen, size.alias("size")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["size"]
+
+
 def mark_winners(
     df: DataFrame, key: Sequence[str], tiebreak: Sequence[tuple[str, str]], *, flag: str = KEPT
 ) -> DataFrame:
     """Keep all rows and add ``flag``: true on exactly one row per key.
 
     The best row of every key is a map-side combined minimum over (``tiebreak``,
-    hash of the whole row), so no task gathers a key to find it, and ties in
-    ``tiebreak`` are settled by the hash.  One join brings it back to the rows;
-    adaptive execution splits a key that holds much of the table.  Rows that equal
-    the best in every column are folded to a count, again on the map side, and
-    spread out with the flag on the first copy.
-
-    ``df`` is read twice and must give the same rows both times: a stored table,
-    or a plan over one.
+    hash of the whole row, place in its file), so no task gathers a key to find it and equal rows
+    are told apart.  Only keys with several rows are kept of that, in a written table of measured size: where no
+    key repeats, no row moves at all; up to Spark's broadcast limit the table is broadcast; beyond it, one
+    join on the key's hash brings it to the rows, and adaptive execution splits a key that
+    holds much of the table.  Files' sizes never decide.
+
+    The search runs when this is called.  ``df`` is read twice; unless it is a plain scan of
+    Parquet files its rows are written down first, so any plan will do.
     """
     columns = df.columns
-    place = F.struct(order_struct(df, tiebreak).alias("order"), F.xxhash64(*columns).alias("row"))
-    placed = df.select("*", F.xxhash64(*key).alias("_hk"), F.struct(*key).alias("_dk"), place.alias("_place"))
+    rows = with_row_identity(df)
+    place = F.struct(order_struct(df, tiebreak).alias("order"), F.xxhash64(*columns).alias("row"), "_file", "_index")
+    placed = rows.select(*columns, F.xxhash64(*key).alias("_hk"), F.struct(*key).alias("_dk"), place.alias("_place"))
     best = (
         placed.groupBy("_hk", "_dk")
         .agg(F.min("_place").alias("_best"), F.count(F.lit(1)).alias("_rows"))
-        .select(F.col("_hk").alias("_bh"), F.col("_dk").alias("_bk"), "_best", "_rows")
+        .where("_rows > 1")
+        .select(F.col("_hk").alias("_bh"), F.col("_dk").alias("_bk"), "_best")
     )
+    repeated, size = _measured(best, "repeated")
+    if not size:
+        return df.withColumn(flag, F.lit(True))
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    repeated = F.broadcast(repeated) if size <= limit else repeated.hint("merge")
     # the hash alone is the join key, so both sides are shuffled for the join and adaptive
     # execution may split them; keys that share a hash are told apart behind it
     own = (F.col("_hk") == F.col("_bh")) & F.array_contains(F.array("_bk"), F.col("_dk"))
-    joined = placed.join(best, own)
-    first = F.col("_place") == F.col("_best")
-    # only a key with several rows can hold copies of its best one
-    settled = joined.where(~first | (F.col("_rows") == 1)).select(*columns, first.alias(flag))
-    copies = joined.where(first & (F.col("_rows") > 1)).groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    copy = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")
-    winners = copies.select(*columns, copy).withColumn(flag, F.col("_copy") == 1).drop("_copy")
-    return settled.unionAll(winners)
+    first = F.col("_best").isNull() | (F.col("_place") == F.col("_best"))
+    return placed.join(repeated, own, "left").select(*columns, first.alias(flag))
 
 
 def deduplicate(

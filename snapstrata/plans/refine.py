@@ -32,7 +32,7 @@ def refine(raw: DataFrame, contract: SnapshotContract) -> DataFrame:
     Duplicates are searched on cleaned source columns, before anything is
     derived, so its shuffle carries source columns only; keys, derived columns
     and verdicts are computed behind it.  A contract that prefers valid rows needs
-    the verdicts first.  ``raw`` is read twice and has to be a stored table.
+    the verdicts first.
     """
     cleaned = clean(raw, contract)
     if contract.prefer_valid:

@@ -123,3 +123,49 @@ def test_marked_rows_can_be_written(spark, tmp_path):
     path = str(tmp_path / "marked")
     write_partitions(marked, path, by=("_kept",))
     assert spark.read.parquet(path).count() == 600
+
+
+def final_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_row_moves_where_no_key_repeats(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 5000).selectExpr("id AS k", "id % 7 AS o", "sha1(string(id)) AS payload").write.parquet(path)
+    rows = spark.read.parquet(path).where("k >= 0").withColumn("more", F.lit("x"))
+    marked = mark_winners(rows, ("k",), (("o", "asc"),))
+    assert "Exchange" not in final_plan(marked) and marked.where("_kept").count() == 5000
+
+
+def test_few_repeated_keys_are_broadcast_and_many_are_not(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 20_000).selectExpr("CASE WHEN id < 30 THEN id % 10 ELSE id END AS k", "id AS o").write.parquet(path)
+    marked = mark_winners(spark.read.parquet(path), ("k",), (("o", "asc"),))
+    plan = final_plan(marked)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert marked.where("NOT _kept").count() == 20
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        marked = mark_winners(spark.read.parquet(path), ("k",), (("o", "asc"),))
+        assert "SortMergeJoin" in marked._jdf.queryExecution().executedPlan().toString()
+        assert marked.where("NOT _kept").count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_millions_of_equal_rows_stay_spread(spark, tmp_path):
+    path, out = str(tmp_path / "rows"), str(tmp_path / "marked")
+    spark.range(0, 2_000_000, 1, 8).selectExpr("1 AS k", "5 AS o", "'same' AS payload").write.parquet(path)
+    marked = mark_winners(spark.read.parquet(path), ("k",), (("o", "asc"),))
+    marked.write.parquet(out)
+    files = spark.read.parquet(out).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.count_if("_kept").alias("won"))
+    sizes = files.collect()
+    assert sum(r["won"] for r in sizes) == 1 and sum(r["n"] for r in sizes) == 2_000_000
+    assert len(sizes) >= 4 and max(r["n"] for r in sizes) <= 600_000
+
+
+def test_an_unstable_plan_is_written_down_first(spark):
+    rows = spark.range(0, 3000).selectExpr("id % 40 AS k", "rand() AS o", "id")
+    marked = mark_winners(rows, ("k",), (("o", "asc"),)).collect()
+    assert len(marked) == 3000 and sum(r["_kept"] for r in marked) == 40
