@@ -13,7 +13,7 @@ from snapstrata.functions.rules import OneOf
 from snapstrata.operators import checks
 from snapstrata.operators.merge import in_snapshots, partition_values
 from snapstrata.plans import marts, star
-from snapstrata.plans.landing import Lake, Landed, land_file
+from snapstrata.plans.landing import Lake, Landed, land_files
 from snapstrata.plans.refine import RefinedTables, as_dates, refine_snapshots
 from snapstrata.sources import audit, tables
 
@@ -39,18 +39,32 @@ def take_in(
     A repeat lands nothing.  Whether to refine is decided by the control tables, not by
     this landing: a run that failed between the two is made up for by the next.
     """
-    landed = land_file(
-        spark, path, contract, lake, as_of_date=as_of_date, force=force, merge_same_day=merge_same_day
-    )
-    if landed.as_of_date in unrefined(spark, lake):
+    (landed,) = take_in_all(spark, [(path, as_of_date)], contract, lake, force=force, merge_same_day=merge_same_day)
+    return landed
+
+
+def take_in_all(
+    spark: SparkSession,
+    deliveries: Sequence[tuple[str, str | date | None]],
+    contract: SnapshotContract,
+    lake: Lake,
+    *,
+    force: bool = False,
+    merge_same_day: bool = False,
+) -> list[Landed]:
+    """``take_in`` for several deliveries, given as (path, snapshot date): one landing, one refining for all snapshots."""
+    landed = land_files(spark, deliveries, contract, lake, force=force, merge_same_day=merge_same_day)
+    waiting = set(unrefined(spark, lake))
+    days = audit.in_order([one.as_of_date for one in landed if one.as_of_date in waiting])
+    if days:
         refine_snapshots(
             spark,
             lake.raw,
             lake.refined,
             lake.run_log,
             contract,
-            snapshots=[landed.as_of_date],
-            batch_id=landed.batch_id,
+            snapshots=days,
+            batch_id=landed[0].batch_id if len(landed) == 1 else None,
             manifest_path=lake.manifest,
         )
     return landed

@@ -47,10 +47,14 @@ def first_line(spark: SparkSession, path: str) -> str:
     return "" if first is None else first[0].lstrip("\ufeff")
 
 
+def header_names(line: str, separator: str = ",") -> list[str]:
+    """Column names as a header line spells them."""
+    return next(csv.reader([line], delimiter=separator)) if line else []
+
+
 def raw_header(spark: SparkSession, path: str, separator: str = ",") -> list[str]:
     """Column names as the first line spells them, without byte-order mark."""
-    line = first_line(spark, path)
-    return next(csv.reader([line], delimiter=separator)) if line else []
+    return header_names(first_line(spark, path), separator)
 
 
 def header_of(spark: SparkSession, path: str, separator: str = ",") -> list[str]:

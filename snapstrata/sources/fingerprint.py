@@ -7,6 +7,7 @@ as a whole.  Addition, unlike xor, does not let repeated rows cancel out.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,8 @@ from snapstrata.sources.drift import first_line
 
 FIELD_SEPARATOR = "\x1f"
 NULL_MARK = "\x00"
+#: starts an identity, so that a folder's name made of it is never taken for a number
+CONTENT = "content-"
 
 
 def _part(digest: Column, start: int) -> Column:
@@ -48,6 +51,16 @@ def table_fingerprint(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
     return sums.select(*by, "row_count", mixed.alias("file_hash"))
 
 
+def content_ids(df: DataFrame, columns: Sequence[str], by: str) -> dict[object, tuple[int, str]]:
+    """Per group its rows and an identity of their content; one line per group reaches the driver."""
+    return {r[by]: (r["row_count"], CONTENT + r["file_hash"]) for r in table_fingerprint(df, columns, (by,)).collect()}
+
+
+def no_content() -> str:
+    """The identity of a delivery without rows."""
+    return CONTENT + hashlib.md5(b"0|0|0").hexdigest()
+
+
 def _squeezed(line: Column) -> Column:
     """A header line without byte-order mark and padding, so that all parts' headers look alike."""
     return F.regexp_replace(line, "[\ufeff\\s]", "")

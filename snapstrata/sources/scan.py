@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from snapstrata.contract import SnapshotContract
 from snapstrata.sources.drift import gate_header, raw_header
+from snapstrata.sources.files import located
 
 CORRUPT = "_corrupt_record"
 
@@ -26,8 +28,15 @@ def scan_csv(
     padded name is scanned as the file spells it and gets the declared name
     behind the scan.  A line that does not parse keeps its text in ``_corrupt_record``.
     """
+    rows = scan_alike(spark, [path], raw_header(spark, path), contract, allow_reorder=allow_reorder)
+    return rows.drop("_located")
+
+
+def scan_alike(
+    spark: SparkSession, paths: Sequence[str], spelled: Sequence[str], contract: SnapshotContract, *, allow_reorder: bool = True
+) -> DataFrame:
+    """``scan_csv`` over files whose headers are spelled alike, as one scan."""
     declared = contract.source_schema
-    spelled = raw_header(spark, path)
     names = [name.strip() for name in spelled]
     gate_header(names, declared, allow_reorder=allow_reorder)
     in_file_order = [StructField(raw, declared[name].dataType, True) for raw, name in zip(spelled, names)]
@@ -41,28 +50,8 @@ def scan_csv(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", False)
-        .csv(path)
-        .select(*columns, CORRUPT, F.col("_metadata.file_name").alias("_source_file"))
-    )
-
-
-def with_lineage(
-    df: DataFrame,
-    contract: SnapshotContract,
-    *,
-    as_of_date: date,
-    batch_id: str,
-    file_hash: str,
-    ingested_at: datetime,
-) -> DataFrame:
-    """Rename the source row number and attach the batch's constants."""
-    return df.withColumnRenamed(contract.row_number, "_source_row").withColumns(
-        {
-            "_ingested_at": F.lit(ingested_at).cast("timestamp"),
-            "_batch_id": F.lit(batch_id),
-            "_file_hash": F.lit(file_hash),
-            contract.snapshot: F.lit(as_of_date).cast("date"),
-        }
+        .csv(list(paths))
+        .select(*columns, CORRUPT, F.col("_metadata.file_name").alias("_source_file"), located().alias("_located"))
     )
 
 

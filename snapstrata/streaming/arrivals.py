@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from snapstrata.contract import SnapshotContract
 from snapstrata.operators.dedupe import keep_first
 from snapstrata.operators.merge import in_snapshots, partition_values
-from snapstrata.plans.build import take_in
+from snapstrata.plans.build import take_in_all
 from snapstrata.plans.landing import Lake
 from snapstrata.session import work_area
 from snapstrata.sources import tables
@@ -52,8 +52,9 @@ def take_in_arrivals(
 
     A micro-batch lists at most ``files_per_batch`` file names on the driver
     (only names: the content column is never read); the rows of each file are
-    read, judged and written by the executors.  Files are taken in one after another;
-    ``merge_same_day`` lets files of one snapshot join instead of replacing each other.
+    read, judged and written by the executors.  The files of a micro-batch are landed and refined
+    together, by a number of jobs that does not grow with them; of several files for a snapshot the last
+    one by name stands, or with ``merge_same_day`` all of them.
     """
     arrivals = (
         spark.readStream.format("binaryFile")
@@ -65,10 +66,9 @@ def take_in_arrivals(
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
         paths = sorted(r["path"] for r in batch.distinct().collect())
-        for path in paths:
-            take_in(
-                batch.sparkSession, path, contract, lake, as_of_date=snapshot_of(path), merge_same_day=merge_same_day
-            )
+        if paths:
+            found = [(path, snapshot_of(path)) for path in paths]
+            take_in_all(batch.sparkSession, found, contract, lake, merge_same_day=merge_same_day)
 
     run_available(arrivals, handle, checkpoint)
 
