@@ -2,33 +2,101 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegralType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+from snapstrata.session import work_area
+
+
+def _carrier(kind: DataType) -> str:
+    """The field of the unpivoted row that holds a value of this type in its order."""
+    if isinstance(kind, (FloatType, DoubleType)):
+        return "real"
+    if isinstance(kind, DecimalType):
+        return f"exact{kind.scale}"
+    if isinstance(kind, (IntegralType, BooleanType, DateType, TimestampType, TimestampNTZType)):
+        return "whole"
+    return "text"
+
+
+def _carried(name: str, kind: DataType) -> Column:
+    c = F.col(name)
+    if isinstance(kind, DateType):
+        return F.unix_date(c).cast("long")
+    if isinstance(kind, TimestampNTZType):
+        return F.unix_micros(c.cast("timestamp"))
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(c)
+    if isinstance(kind, (FloatType, DoubleType)):
+        return c.cast("double")
+    if isinstance(kind, DecimalType):
+        return c.cast(DecimalType(38, kind.scale))
+    return c.cast("long") if isinstance(kind, (IntegralType, BooleanType)) else c.cast("string")
+
+
+def _shown(value: Column, kind: DataType) -> Column:
+    if isinstance(kind, DateType):
+        value = F.date_from_unix_date(value.cast("int"))
+    elif isinstance(kind, (TimestampType, TimestampNTZType)):
+        value = F.timestamp_micros(value)
+    return value.cast(kind).cast("string")
 
 
 def shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: rows, nulls, exact distinct values, smallest and largest value.
 
-    One branch per column counts its values first.  Each branch reads a single
-    column of the file and sends one row per value and task into its shuffle,
-    where several distinct counts in one aggregate would multiply every row by
-    the number of columns.
+    One scan for all columns: a row is turned into one (column, value) row for each, in a field of the
+    value's kind.  Values are counted first, combined on the map side, so a frequent value
+    leaves a task once; then their counts are folded per column.  Types without an order or an
+    equality (maps) are not profiled.
     """
+    kinds = {c: df.schema[c].dataType for c in columns}
+    fields: dict[str, str] = {}
+    for kind in kinds.values():
+        name = _carrier(kind)
+        fields[name] = {"real": "double", "whole": "bigint", "text": "string"}.get(name) or f"decimal(38,{name[5:]})"
+
+    def told(place: int, column: str) -> Column:
+        own = _carrier(kinds[column])
+        values = [(_carried(column, kinds[column]) if f == own else F.lit(None).cast(t)).alias(f) for f, t in fields.items()]
+        return F.struct(F.lit(place).alias("place"), F.col(column).isNull().alias("absent"), *values)
+
+    rows = df.select(F.inline(F.array(*[told(k, c) for k, c in enumerate(columns)])))
+    values = rows.groupBy("place", "absent", *fields).agg(F.count(F.lit(1)).alias("n"))
+    ends = [end(f).alias(f"{name}_{f}") for f in fields for name, end in (("low", F.min), ("high", F.max))]
+    found = values.groupBy("place").agg(
+        F.sum("n").alias("row_count"),
+        F.coalesce(F.sum(F.when(F.col("absent"), F.col("n"))), F.lit(0)).alias("nulls"),
+        F.count_if(~F.col("absent")).alias("distinct_values"),
+        *ends,
+    )
+    # columns of an empty table are shown as well
+    listed = df.sparkSession.createDataFrame(list(enumerate(columns)), "place int, column_name string")
 
-    def one(name: str) -> DataFrame:
-        values = df.groupBy(F.col(name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        return values.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-            F.count("v").alias("distinct_values"),
-            F.min("v").cast("string").alias("min_value"),
-            F.max("v").cast("string").alias("max_value"),
-        ).select(F.lit(name).alias("column_name"), "*")
+    def end(which: str) -> Column:
+        shown = [F.when(F.col("place") == k, _shown(F.col(f"{which}_{_carrier(kinds[c])}"), kinds[c])) for k, c in enumerate(columns)]
+        return F.coalesce(*shown)
 
-    return reduce(DataFrame.unionAll, [one(c) for c in columns])
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("row_count", "nulls", "distinct_values")]
+    return F.broadcast(listed).join(found, "place", "left").select(
+        "column_name", *counts, end("low").alias("min_value"), end("high").alias("max_value")
+    )
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -52,6 +120,49 @@ def candidate_keys(df: DataFrame, candidates: Mapping[str, Sequence[str]]) -> Da
     return reduce(DataFrame.unionAll, [one(n, c) for n, c in candidates.items()])
 
 
+def minimal_keys(df: DataFrame, columns: Sequence[str], most: int | None = None) -> DataFrame:
+    """(key_columns, n_columns): the least combinations of columns, of up to ``most``, that tell all rows apart.
+
+    The table is read once: rows are counted per combination of all columns and written down.  Then the
+    lattice is climbed size by size.  The combinations of a size are grouping sets of the counted
+    table, one job for all of them; those that hold a key already found are left out, and so are those
+    whose columns have too few values between them.  NULL is a value like any other here.
+    """
+    spark = df.sparkSession
+    path = work_area(spark, "combinations")
+    names = list(columns)
+    df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).write.parquet(path)
+    counted = spark.read.parquet(path)
+    groups, rows = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    keys: list[tuple[str, ...]] = []
+    values: dict[str, int] = {}
+    # rows that are equal in all columns: no combination tells them apart
+    for size in range(1, (len(names) if most is None else most) + 1) if groups == rows else ():
+        open_ = [c for c in combinations(names, size) if not any(set(k) <= set(c) for k in keys)]
+        if size > 1:
+            open_ = [c for c in open_ if math.prod(values[n] for n in c) >= rows]
+        if not open_:
+            continue
+        sets = [[F.col(n) for n in c] for c in open_]
+        number = {_grouping(c, names): c for c in open_}
+        per_set = (
+            counted.groupingSets(sets, *names).agg(F.grouping_id().alias("_set")).groupBy("_set").agg(F.count(F.lit(1)).alias("distinct_keys"))
+        )
+        # a row for each combination of this size
+        for r in per_set.collect():
+            combination = number[r["_set"]]
+            if size == 1:
+                values[combination[0]] = r["distinct_keys"]
+            if r["distinct_keys"] == rows:
+                keys.append(combination)
+    return spark.createDataFrame([(",".join(k), len(k)) for k in keys], "key_columns string, n_columns int")
+
+
+def _grouping(chosen: Sequence[str], names: Sequence[str]) -> int:
+    """What ``grouping_id`` gives for a grouping set: a bit for each column that is not in it."""
+    return sum(1 << (len(names) - 1 - k) for k, n in enumerate(names) if n not in chosen)
+
+
 def differing_attributes(
     df: DataFrame, key: Sequence[str], attributes: Sequence[str]
 ) -> DataFrame:

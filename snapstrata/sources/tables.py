@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -203,3 +204,31 @@ def hot_and_cold(hot: DataFrame, cold: DataFrame, snapshot: str, boundary: str)
     """One view over a recent and an archived copy, split at a date so no row shows twice."""
     edge = F.lit(boundary).cast("date")
     return hot.where(F.col(snapshot) >= edge).unionByName(cold.where(F.col(snapshot) < edge))
+
+
+def publish_snapshots(
+    spark: SparkSession, name: str, rows: DataFrame, root: str, snapshot: str, before_publish: Callable[[], None] | None = None
+) -> list[date | None]:
+    """Bring new versions of snapshots into a catalog table, each by pointing its partition to a fresh folder.
+
+    Nothing that readers see is touched while rows are written.  A run that fails in between
+    leaves the table as it was, and is simply repeated; what it wrote is never read.  The partitions of a
+    version are switched one by one after all of them are written, each in the catalog alone.
+    Older versions stay in their folders for readers under way; clean them when none is left.
+    The table is declared at the first publication.
+    """
+    version = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    write_partitions(rows, version, by=(snapshot,))
+    days = partition_dates(spark, version, snapshot)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (`{snapshot}`) LOCATION '{root}'")
+    if before_publish is not None:
+        before_publish()
+    for day in days:
+        value = "NULL" if day is None else f"'{day.isoformat()}'"
+        place = f"{version}/{leaf((snapshot,), (day,))}"
+        # the first version of a partition is added with its place, a later one is switched
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (`{snapshot}`={value}) LOCATION '{place}'")
+        spark.sql(f"ALTER TABLE {name} PARTITION (`{snapshot}`={value}) SET LOCATION '{place}'")
+    spark.catalog.refreshTable(name)
+    return days

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from snapstrata.operators import profile
 from snapstrata.workload.base import QUOTES_SQL, quotes, register, stored, table
 
@@ -45,8 +47,7 @@ _GAPPY = ("source_city", "arrival_time", "flight", "duration", "days_left")
     )
 )
 def profile_quotes_with_gaps(spark, sf_dir):
-    # one pass over the lookups; the profile then reads one column at a time
-    return profile.shape(stored(quotes(spark, sf_dir, _GAPPY), "profile"), _GAPPY)
+    return profile.shape(quotes(spark, sf_dir, _GAPPY), _GAPPY)
 
 
 _LINE_COLUMNS = (
@@ -124,3 +125,27 @@ def profile_group_sizes(spark, sf_dir):
 def profile_by_category(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     return profile.measure_by_category(lines, ("l_returnflag", "l_linestatus"), "l_extendedprice")
+
+
+_KEY_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate", "l_returnflag")
+_SUBSETS = [c for size in range(1, len(_KEY_COLUMNS) + 1) for c in combinations(_KEY_COLUMNS, size)]
+
+
+def _bits(columns):
+    return sum(1 << _KEY_COLUMNS.index(c) for c in columns)
+
+
+@register(
+    "WITH sizes AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{','.join(c)}' AS key_columns, {len(c)} AS n_columns, {_bits(c)} AS bits, "
+        f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(c)} FROM lineitem)) = (SELECT count(*) FROM lineitem) AS tells"
+        for c in _SUBSETS
+    )
+    + """)
+SELECT key_columns, n_columns FROM sizes s
+WHERE tells AND NOT EXISTS (SELECT 1 FROM sizes t WHERE t.tells AND t.bits <> s.bits AND t.bits & s.bits = t.bits)"""
+)
+def profile_minimal_keys(spark, sf_dir):
+    """Which combinations of six columns tell all order lines apart, none of whose parts does."""
+    return profile.minimal_keys(table(spark, sf_dir, "lineitem"), _KEY_COLUMNS)

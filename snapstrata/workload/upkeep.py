@@ -9,12 +9,28 @@ from pyspark.sql import functions as F
 
 from snapstrata.contracts.flights import STAGED_QUOTE, STAGED_REJECT
 from snapstrata.operators.validate import REASON_TEXT
-from snapstrata.plans import build, landing
+from snapstrata.plans import build, landing, members, star
 from snapstrata.plans.refine import RefinedTables, refine_snapshots
 from snapstrata.session import work_area
 from snapstrata.sources import audit, tables
 from snapstrata.streaming import arrivals
-from snapstrata.workload.base import FACT_SQL, QUOTES, TICKET_KEY_SQL, TICKETS, quotes, refined_sql, register, stored, table
+from snapstrata.workload.base import (
+    FACT_SQL,
+    QUOTE_KEY_SQL,
+    QUOTES,
+    QUOTES_SQL,
+    REASON_CASES,
+    TICKET_KEY_SQL,
+    TICKETS,
+    quotes,
+    reasons_sql,
+    refined_sql,
+    register,
+    stored,
+    table,
+)
+from snapstrata.workload.loading import FARE_FILE, FARES
+from snapstrata.workload.modelling import CARRIER_SQL, ROUTE_SQL, fact
 
 SNAPSHOT = "as_of_date"
 #: made-up fares: a cabin's mark-up can be anything
@@ -158,3 +174,96 @@ def stream_moved_keys(spark, sf_dir):
             rows, target, work_area(spark, "checkpoint"), key=("event_id",), tiebreak=(("at", "desc"),), snapshot=SNAPSHOT
         )
     return spark.read.parquet(target).drop("at")
+
+
+_VERSIONS_SQL = """versions AS (
+  SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS as_of_date, o_orderstatus, CAST(o_totalprice AS DECIMAL(14,2)) AS price FROM orders)"""
+
+
+@register(
+    "WITH "
+    + _VERSIONS_SQL
+    + """ SELECT 'after a failure' AS moment, as_of_date, count(*) AS row_count, CAST(sum(price) AS DECIMAL(38,2)) AS total FROM versions GROUP BY as_of_date
+  UNION ALL SELECT 'after the repeat', as_of_date, count(*), CAST(sum(CASE WHEN as_of_date >= DATE '1998-01-01' THEN price + 1000 ELSE price END) AS DECIMAL(38,2))
+  FROM versions WHERE as_of_date < DATE '1998-01-01' OR o_orderstatus <> 'P' GROUP BY as_of_date"""
+)
+def published_versions(spark, sf_dir):
+    """A second version of some snapshots fails between write and publication, then goes through: no reader sees a mixture."""
+    root = work_area(spark, "published")
+    name = f"published_{root.rsplit('-', 1)[-1]}"
+    price = F.col("o_totalprice").cast("decimal(14,2)").alias("price")
+    day = F.trunc(F.col("o_orderdate").cast("date"), "year").alias(SNAPSHOT)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", price, day)
+    tables.publish_snapshots(spark, name, rows, root, SNAPSHOT)
+    raised = (F.col("price") + 1000).cast("decimal(14,2)")
+    newer = rows.where((F.col(SNAPSHOT) >= "1998-01-01") & (F.col("o_orderstatus") != "P")).withColumn("price", raised)
+
+    def fail():
+        raise InterruptedError("between write and publication")
+
+    def seen(moment):
+        sums = [F.count(F.lit(1)).alias("row_count"), F.sum("price").cast("decimal(38,2)").alias("total")]
+        return stored(spark.table(name).groupBy(SNAPSHOT).agg(*sums), "seen").select(F.lit(moment).alias("moment"), "*")
+
+    try:
+        tables.publish_snapshots(spark, name, newer, root, SNAPSHOT, before_publish=fail)
+    except InterruptedError:
+        after_failure = seen("after a failure")
+    tables.publish_snapshots(spark, name, newer, root, SNAPSHOT)
+    return after_failure.unionAll(seen("after the repeat"))
+
+
+def _parts(spark, sf_dir):
+    """Parts of dimensions, stored in two steps that share a snapshot."""
+    root = work_area(spark, "parts")
+    cube = stored(star.fare_cube(fact(spark, sf_dir)), "cube")
+    members.store_parts(spark, root, cube.where(F.col(SNAPSHOT) <= "1997-01-01"))
+    members.store_parts(spark, root, cube.where(F.col(SNAPSHOT) >= "1997-01-01"))
+    return root
+
+
+@register("WITH " + FACT_SQL + ", " + CARRIER_SQL + " SELECT * FROM carriers")
+def carriers_from_bitmaps(spark, sf_dir):
+    """The carrier dimension after an incremental step, from sums and bitmaps that are stored per snapshot."""
+    return members.dim_carrier(spark, _parts(spark, sf_dir))
+
+
+@register("WITH " + FACT_SQL + ", " + ROUTE_SQL + " SELECT * FROM route_dim")
+def routes_from_bitmaps(spark, sf_dir):
+    """The route dimension, in the same way."""
+    return members.dim_route(spark, _parts(spark, sf_dir))
+
+
+_REPLACED = "l_linenumber <> 1 OR l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE year(o_orderdate) = 1998)"
+
+
+@register(
+    "WITH "
+    + over_lines(QUOTES_SQL, _REPLACED)
+    + f""", file AS (SELECT * REPLACE (nullif(airline, '') AS airline) FROM quotes),
+judged AS (SELECT *, {reasons_sql(REASON_CASES)} AS own FROM file),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {QUOTE_KEY_SQL} ORDER BY order_key, line_number, part_key, supp_key, list_price, shipped) AS place FROM judged)
+SELECT as_of_date, CASE WHEN place > 1 THEN 'duplicate_business_key' ELSE coalesce(nullif(own, ''), 'accepted') END AS verdict,
+       count(*) AS n, CAST(sum(price) AS DECIMAL(38,2)) AS price_total FROM ranked GROUP BY ALL"""
+)
+def inbox_of_deliveries(spark, sf_dir):
+    """All snapshots as text deliveries at once, one of them twice under another name and one replaced; then all again."""
+    inbox = work_area(spark, "inbox")
+    columns = [f.name for f in FARE_FILE.fields if f.name not in ("index", "price")]
+    index = F.xxhash64("order_key", "line_number", "part_key", "supp_key", "list_price", "shipped").cast("string").alias("index")
+    text = stored(quotes(spark, sf_dir).select(index, *columns, F.col("price").cast("string").alias("price"), SNAPSHOT, "line_number"), "text")
+    text.drop("line_number").write.partitionBy(SNAPSHOT).option("header", True).csv(f"{inbox}/first")
+    days = sorted(r[0].isoformat() for r in text.select(SNAPSHOT).distinct().collect())
+
+    def write(day, rows, name):
+        rows.where(F.col(SNAPSHOT) == day).drop(SNAPSHOT, "line_number").write.option("header", True).csv(f"{inbox}/{name}")
+
+    write("1997-01-01", text.repartition(3), "again")
+    write("1998-01-01", text.where("line_number <> 1"), "corrected")
+    deliveries = [(f"{inbox}/first/{SNAPSHOT}={day}", day) for day in days]
+    deliveries += [(f"{inbox}/again", "1997-01-01"), (f"{inbox}/corrected", "1998-01-01")]
+    lake = landing.Lake(work_area(spark, "lake"))
+    for _ in range(2):
+        build.take_in_all(spark, deliveries, FARES, lake)
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("price_inr").cast("decimal(38,2)").alias("price_total")]
+    return _verdicts(spark, lake).groupBy(SNAPSHOT, "verdict").agg(*sums)
