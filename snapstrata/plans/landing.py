@@ -144,14 +144,15 @@ DELIVERY = "_delivery"
 def _stage(spark: SparkSession, paths: Sequence[str], batches: Sequence[str], contract: SnapshotContract, lake: Lake) -> tuple[str, int]:
     """Scan the deliveries into a hidden folder, a folder each; returns it and the rows that were read."""
     held = [files.files_of(spark, path) for path in paths]
-    alike: dict[tuple[str, ...], list[files.File]] = {}
+    # a file that belongs to several deliveries is scanned once
+    alike: dict[tuple[str, ...], dict[str, files.File]] = {}
     for path, own in zip(paths, held, strict=True):
         if not own:
             raise LandingError(f"no file under {path}")
         # the parts of a delivery share the header of the first
         header = tuple(drift.header_names(files.first_line_of(spark, own[0].path)))
-        alike.setdefault(header, []).extend(own)
-    scans = [scan.scan_alike(spark, [f.path for f in group], header, contract) for header, group in alike.items()]
+        alike.setdefault(header, {}).update((f.place, f) for f in own)
+    scans = [scan.scan_alike(spark, [f.path for f in group.values()], header, contract) for header, group in alike.items()]
     rows = reduce(DataFrame.unionByName, scans)
     if len(paths) == 1:
         rows = rows.withColumns({DELIVERY: F.lit(0), "_batch_id": F.lit(batches[0])})

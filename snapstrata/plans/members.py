@@ -27,7 +27,8 @@ def number_values(spark: SparkSession, path: str, rows: DataFrame, columns: Sequ
     """Enter the values of the columns that the dictionary does not know; returns the whole dictionary.
 
     A number is given once and stays.  Numbers rise, but need not be dense: a task numbers its own
-    values.  Values that a failed run has entered are simply known to the next.
+    values.  Values that a failed run has entered are simply known to the next.  Use what is returned
+    before more values are entered: Spark takes readings of one path in one plan for the same table.
     """
     known = tables.read_or_empty(spark, path, NUMBERS)
     last = known.agg(F.max("number")).first()[0]
