@@ -7,95 +7,45 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType,
-    DataType,
-    DateType,
-    DecimalType,
-    DoubleType,
-    FloatType,
-    IntegralType,
-    TimestampNTZType,
-    TimestampType,
-)
 
 from snapstrata.session import work_area
 
 
-def _carrier(kind: DataType) -> str:
-    """The field of the unpivoted row that holds a value of this type in its order."""
-    if isinstance(kind, (FloatType, DoubleType)):
-        return "real"
-    if isinstance(kind, DecimalType):
-        return f"exact{kind.scale}"
-    if isinstance(kind, (IntegralType, BooleanType, DateType, TimestampType, TimestampNTZType)):
-        return "whole"
-    return "text"
-
-
-def _carried(name: str, kind: DataType) -> Column:
-    c = F.col(name)
-    if isinstance(kind, DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(kind, TimestampNTZType):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(kind, TimestampType):
-        return F.unix_micros(c)
-    if isinstance(kind, (FloatType, DoubleType)):
-        return c.cast("double")
-    if isinstance(kind, DecimalType):
-        return c.cast(DecimalType(38, kind.scale))
-    return c.cast("long") if isinstance(kind, (IntegralType, BooleanType)) else c.cast("string")
-
-
-def _shown(value: Column, kind: DataType) -> Column:
-    if isinstance(kind, DateType):
-        value = F.date_from_unix_date(value.cast("int"))
-    elif isinstance(kind, (TimestampType, TimestampNTZType)):
-        value = F.timestamp_micros(value)
-    return value.cast(kind).cast("string")
+#: columns whose values are counted in one scan; a counted row has a field for each of them
+TOGETHER = 16
 
 
 def shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: rows, nulls, exact distinct values, smallest and largest value.
 
-    One scan for all columns: a row is turned into one (column, value) row for each, in a field of the
-    value's kind.  Values are counted first, combined on the map side, so a frequent value
-    leaves a task once; then their counts are folded per column.  Types without an order or an
-    equality (maps) are not profiled.
+    One scan for up to ``TOGETHER`` columns: each column is a grouping set of its own, so values keep their
+    types.  Values are counted first, combined on the map side, so a frequent value leaves a task
+    once; their counts are folded per column behind that.
     """
-    kinds = {c: df.schema[c].dataType for c in columns}
-    fields: dict[str, str] = {}
-    for kind in kinds.values():
-        name = _carrier(kind)
-        fields[name] = {"real": "double", "whole": "bigint", "text": "string"}.get(name) or f"decimal(38,{name[5:]})"
-
-    def told(place: int, column: str) -> Column:
-        own = _carrier(kinds[column])
-        values = [(_carried(column, kinds[column]) if f == own else F.lit(None).cast(t)).alias(f) for f, t in fields.items()]
-        return F.struct(F.lit(place).alias("place"), F.col(column).isNull().alias("absent"), *values)
-
-    rows = df.select(F.inline(F.array(*[told(k, c) for k, c in enumerate(columns)])))
-    values = rows.groupBy("place", "absent", *fields).agg(F.count(F.lit(1)).alias("n"))
-    ends = [end(f).alias(f"{name}_{f}") for f in fields for name, end in (("low", F.min), ("high", F.max))]
-    found = values.groupBy("place").agg(
-        F.sum("n").alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("absent"), F.col("n"))), F.lit(0)).alias("nulls"),
-        F.count_if(~F.col("absent")).alias("distinct_values"),
+    names = list(columns)
+    return reduce(DataFrame.unionAll, [_shape(df, names[k : k + TOGETHER]) for k in range(0, len(names), TOGETHER)])
+
+
+def _shape(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    values = df.groupingSets([[F.col(c)] for c in names], *names).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
+    rows = values.withColumn("_absent", F.coalesce(*[F.when(F.col("_set") == _grouping([c], names), F.col(c).isNull()) for c in names]))
+    # only the set of a column has values of it
+    ends = [end(c).cast("string").alias(f"{name}{k}") for k, c in enumerate(names) for name, end in (("low", F.min), ("high", F.max))]
+    found = rows.groupBy("_set").agg(
+        F.sum("_n").alias("row_count"),
+        F.coalesce(F.sum(F.when(F.col("_absent"), F.col("_n"))), F.lit(0)).alias("nulls"),
+        F.count_if(~F.col("_absent")).alias("distinct_values"),
         *ends,
     )
     # columns of an empty table are shown as well
-    listed = df.sparkSession.createDataFrame(list(enumerate(columns)), "place int, column_name string")
-
-    def end(which: str) -> Column:
-        shown = [F.when(F.col("place") == k, _shown(F.col(f"{which}_{_carrier(kinds[c])}"), kinds[c])) for k, c in enumerate(columns)]
-        return F.coalesce(*shown)
-
+    listed = [(k, c, _grouping([c], names)) for k, c in enumerate(names)]
+    every = df.sparkSession.createDataFrame(listed, "place int, column_name string, _set long")
     counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("row_count", "nulls", "distinct_values")]
-    return F.broadcast(listed).join(found, "place", "left").select(
-        "column_name", *counts, end("low").alias("min_value"), end("high").alias("max_value")
+    low, high = (F.coalesce(*[F.when(F.col("place") == k, F.col(f"{end}{k}")) for k in range(len(names))]) for end in ("low", "high"))
+    return F.broadcast(every).join(found, "_set", "left").select(
+        "column_name", *counts, low.alias("min_value"), high.alias("max_value")
     )
 
 
