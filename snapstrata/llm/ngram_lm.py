@@ -53,6 +53,11 @@ LOOKUPS = 1 << 17
 TEXT_BYTES = 4 << 20
 
 
+def word_hashes(words: pa.LargeStringArray) -> np.ndarray:
+    """Of the words, and last of the end."""
+    return np.array([*map(xxh3_64_intdigest, words.cast(pa.large_binary()).to_pylist()), END_HASH], dtype=np.uint64)
+
+
 def quantised(log10: np.ndarray) -> np.ndarray:
     return (1 + np.rint((np.clip(log10, LOWEST, 0) - LOWEST) * (STEPS / -LOWEST))).astype("<u2")
 
@@ -141,8 +146,7 @@ class Reader:
         """Word number and count of every token, end tokens included, and the offsets of the texts' tokens."""
         words, ends = split_words(texts, self.table)
         distinct, codes = coded(words)
-        hashes = np.array([*(xxh3_64_intdigest(w) for w in distinct.to_pylist()), END_HASH], dtype=np.uint64)
-        number, count = self.numbers(hashes)
+        number, count = self.numbers(word_hashes(distinct))
         codes = np.insert(codes, ends[1:], len(distinct))
         return number[codes], count[codes], ends + np.arange(len(ends))
 
@@ -154,8 +158,15 @@ class Reader:
             self._shards[level, shard] = (*parts, weights["probability"], weights["left"], int(arrays["first"][0]))
         return self._shards[level, shard]
 
-    def look_up(self, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For contexts and words in any order: node number or -1, discounted probability, and the mass left (-1: no such context)."""
+    def look_up(
+        self, level: int, context: np.ndarray, word: np.ndarray, nodes_only: bool = False
+    ) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
+        """For contexts and words in any order: node number or -1, discounted probability, and the mass left (-1: no such context).
+
+        nodes_only leaves the last two out: counting a level needs no more of the ones below.
+        """
+        if nodes_only:
+            return self._nodes(level, context, word), None, None
         node, kept, left = np.full(len(context), -1, dtype=np.int64), np.zeros(len(context)), np.full(len(context), -1.0)
         asked = np.flatnonzero(context >= 0)
         if not len(asked) or not self.model.levels[level].size:
@@ -166,6 +177,17 @@ class Reader:
             out[asked] = np.concatenate(parts)[back]
         return node, kept, left
 
+    def _nodes(self, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        # pairs with an unknown part have no node, so they are not looked up
+        node = np.full(len(context), -1, dtype=np.int64)
+        asked = np.flatnonzero((context >= 0) & (word >= 0))
+        if not len(asked) or not self.model.levels[level].size:
+            return node
+        both, back = self._distinct(context[asked], word[asked])
+        found = [self._find(level, *both[:, at : at + LOOKUPS], nodes_only=True)[0] for at in range(0, both.shape[1], LOOKUPS)]
+        node[asked] = np.concatenate(found)[back]
+        return node
+
     @staticmethod
     def _distinct(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # word numbers have 32 bits, with the unknown one
@@ -178,10 +200,13 @@ class Reader:
         back[order] = np.cumsum(new) - 1
         return np.stack([context[new], word[new]]), back
 
-    def _find(self, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _find(
+        self, level: int, context: np.ndarray, word: np.ndarray, nodes_only: bool = False
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted look-ups, shard by shard."""
         of = self.model.levels[level]
-        node, kept, left = np.full(len(context), -1, dtype=np.int64), np.zeros(len(context)), np.full(len(context), -1.0)
+        size = 0 if nodes_only else len(context)
+        node, kept, left = np.full(len(context), -1, dtype=np.int64), np.zeros(size), np.full(size, -1.0)
         shards = of.shard_of(context, word)
         cuts = np.searchsorted(shards, np.arange(len(of.files) + 1))
         for shard, (first, last) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
@@ -197,16 +222,18 @@ class Reader:
             lo, hi = pointers.access(own), pointers.access(own + 1)
             hi = np.where(known, hi, lo)
             base = np.where(lo > 0, words.access(np.maximum(lo - 1, 0)) + 1, 0)
-            codes = np.where(known, mass[own], 0)
-            left[first:last] = np.repeat(np.where(codes > 0, restored(codes), -1.0), n)
+            if not nodes_only:
+                codes = np.where(known, mass[own], 0)
+                left[first:last] = np.repeat(np.where(codes > 0, restored(codes), -1.0), n)
             wanted = word[first:last]
             hi = np.repeat(hi, n)
             # an unknown word is behind every successor
             place = words.find(np.repeat(base, n) + wanted, np.where(wanted >= 0, np.repeat(lo, n), hi), hi)
             hit = np.flatnonzero(place >= 0)
             node[first + hit] = of.bases[shard] + place[hit]
-            kept[first + hit] = restored(probability[place[hit]])
-        if of.left:
+            if not nodes_only:
+                kept[first + hit] = restored(probability[place[hit]])
+        if of.left and not nodes_only:
             names = np.array(sorted(of.left), dtype=np.int64)
             place = np.searchsorted(names, context)
             place[place == len(names)] = 0
@@ -214,7 +241,7 @@ class Reader:
             left[split] = np.array([of.left[k] for k in names.tolist()])[place[split]]
         return node, kept, left
 
-    def contexts(self, number: np.ndarray, ends: np.ndarray, upto: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    def contexts(self, number: np.ndarray, ends: np.ndarray, upto: int, nodes_only: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Level by level up to ``upto``: (level, context of every token, its node, probability, mass left)."""
         starts = np.zeros(len(number), dtype=bool)
         starts[ends[:-1]] = True
@@ -222,7 +249,7 @@ class Reader:
         context[1:] = number[:-1]
         context[starts] = self.model.begin
         for level in range(upto):
-            node, kept, left = self.look_up(level, context, number) if level < len(self.model.levels) else (None, None, None)
+            node, kept, left = self.look_up(level, context, number, nodes_only) if level < len(self.model.levels) else (None, None, None)
             yield level, context, node, kept, left
             if node is None:
                 return
@@ -293,7 +320,7 @@ def _count_words(texts: DataFrame, folder: str, shards: int) -> Model:
         for piece in pieces(batches, "text"):
             words, _ = split_words(piece.column("text"), table)
             distinct, codes = coded(words)
-            hashes = np.array([*(xxh3_64_intdigest(w) for w in distinct.to_pylist()), END_HASH], dtype=np.uint64)
+            hashes = word_hashes(distinct)
             keys = np.append(hashes[codes], np.full(piece.num_rows, END_HASH, dtype=np.uint64))
             shard = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), dtype=np.int64)
             yield _arrays(list(_cut(shard, keys)))
@@ -393,7 +420,7 @@ def _add_level(texts: DataFrame, model: Model, folder: str, shards: int, last: b
         for piece in pieces(batches, "text", TEXT_BYTES):
             number, _, ends = reader.tokens(piece.column("text"))
             context = None
-            for _, context, *_ in reader.contexts(number, ends, len(model.levels) + 1):
+            for _, context, *_ in reader.contexts(number, ends, len(model.levels) + 1, nodes_only=True):
                 pass
             known = context >= 0
             context, word = context[known], number[known]
