@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from datetime import date
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -220,6 +221,42 @@ def key_skew(df: DataFrame, keys: list[str], limit: float = 2.0) -> DataFrame:
     )
 
 
+#: cells of each row of the sketch
+SKETCH = 1 << 12
+
+
+def _cell(key: str, row: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(row), F.col(key)), F.lit(SKETCH)).cast("int")
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: int, of: int, depth: int = 2) -> DataFrame:
+    """(key_column, key_value, row_count) of the values that hold at least ``share / of`` of the rows.
+
+    A count-min sketch of fixed size comes first: per key column ``depth`` rows of cells, each the
+    number of rows whose value falls into it.  A hot value makes all its cells hot, so the
+    candidates, rows in hot cells only, hold every hot value; they alone are grouped and counted exactly.  Both
+    passes combine on the map side, and the first leaves a bounded number of rows per task.
+    At most ``of / share`` cells of a row can be hot: that bounds what reaches the driver.
+    """
+    cells = [F.struct(F.lit(k).alias("k"), F.lit(r).alias("r"), _cell(c, r).alias("cell")) for k, c in enumerate(keys) for r in range(depth)]
+    sketch = df.select(F.explode(F.array(*cells)).alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum(F.when((F.col("s.k") == 0) & (F.col("s.r") == 0), F.col("n"))).over(Window.partitionBy())
+    hot = sketch.withColumn("total", total).where(F.col("n") * of >= F.col("total") * share)
+    held = [(r["s"]["k"], r["s"]["r"], r["s"]["cell"], r["total"]) for r in hot.collect()]
+    least = (held[0][3] * share if held else 0, of)
+
+    def among(k: int, r: int) -> Column:
+        return _cell(keys[k], r).isin(*[cell for a, b, cell, _ in held if (a, b) == (k, r)])
+
+    found = []
+    for k, key in enumerate(keys):
+        candidate = reduce(and_, [among(k, r) for r in range(depth)])
+        counted = df.where(candidate).groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
+        shown = counted.where(F.col("row_count") * least[1] >= least[0])
+        found.append(shown.select(F.lit(key).alias("key_column"), F.col(key).cast("string").alias("key_value"), "row_count"))
+    return reduce(DataFrame.unionAll, found)
+
+
 def repeated_content(deliveries: DataFrame) -> DataFrame:
     """Contents delivered more than once."""
     counted = deliveries.groupBy("file_hash").agg(

@@ -62,6 +62,8 @@ def write_partitions(
     sort: Sequence[str] = (),
     *,
     balance: bool = True,
+    cluster: Sequence[str] = (),
+    files: int | None = None,
 ) -> list[str]:
     """Replace the partitions present in ``df`` and leave all others alone.
 
@@ -74,13 +76,23 @@ def write_partitions(
     large share of the rows over many files and merge small ones.  Turn it off
     where each task already holds rows of few partitions (one snapshot, or files
     of a table partitioned the same way): the write then moves no rows.  Sorting
-    inside the files keeps Parquet min/max statistics selective.
+    inside the files keeps Parquet min/max statistics selective within a file.
+
+    ``cluster`` also spreads rows over files by ranges of those columns, sampled over the whole batch, so
+    that a file holds a narrow range and a filter on the columns leaves few files over.  A value that
+    holds much of the batch is cut over several files by a hash of the row.  ``files`` is the number of ranges
+    (by default the shuffle partitions).
     """
     parts = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in by]
     seen = Observation()
-    out = df.hint("rebalance", *by) if balance else df
-    if sort:
-        out = out.sortWithinPartitions(*sort)
+    if cluster:
+        ranges = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cut = df.withColumn("_cut", F.xxhash64(*df.columns))
+        out = cut.repartitionByRange(ranges, *by, *cluster, "_cut").drop("_cut")
+    else:
+        out = df.hint("rebalance", *by) if balance else df
+    if sort or cluster:
+        out = out.sortWithinPartitions(*(sort or cluster))
     # one value per partition written, and set semantics survive task retries
     out = out.observe(seen, F.collect_set(F.concat_ws("/", *parts)).alias("filled"))
     (

@@ -304,7 +304,14 @@ def colocated_join(spark, sf_dir):
     )
 
 
-def bucketed_lines_and_orders(spark, sf_dir, buckets=8):
+#: rows of the larger table that a bucket should hold
+BUCKET_ROWS = 1_000_000
+
+
+def bucketed_lines_and_orders(spark, sf_dir, buckets=None):
+    """Both tables in the same buckets: as many as given, or as the lines' number asks for."""
+    if buckets is None:
+        buckets = max(8, -(-table(spark, sf_dir, "lineitem").count() // BUCKET_ROWS))
     price = F.col("l_extendedprice").cast("decimal(12,2)").alias("price")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linestatus", price)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")

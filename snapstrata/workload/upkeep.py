@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapstrata.contracts.flights import STAGED_QUOTE, STAGED_REJECT
+from snapstrata.operators import monitor
 from snapstrata.operators.validate import REASON_TEXT
 from snapstrata.plans import build, landing, members, star
 from snapstrata.plans.refine import RefinedTables, refine_snapshots
 from snapstrata.session import work_area
-from snapstrata.sources import audit, tables
+from snapstrata.sources import audit, drift, scan, tables
 from snapstrata.streaming import arrivals
 from snapstrata.workload.base import (
     FACT_SQL,
@@ -29,7 +31,7 @@ from snapstrata.workload.base import (
     stored,
     table,
 )
-from snapstrata.workload.loading import FARE_FILE, FARES
+from snapstrata.workload.loading import FARE_FILE, FARES, ORDER_CONTRACT, ORDER_FILE
 from snapstrata.workload.modelling import CARRIER_SQL, ROUTE_SQL, fact
 
 SNAPSHOT = "as_of_date"
@@ -267,3 +269,104 @@ def inbox_of_deliveries(spark, sf_dir):
         build.take_in_all(spark, deliveries, FARES, lake)
     sums = [F.count(F.lit(1)).alias("n"), F.sum("price_inr").cast("decimal(38,2)").alias("price_total")]
     return _verdicts(spark, lake).groupBy(SNAPSHOT, "verdict").agg(*sums)
+
+
+@register("SELECT event_id, user_id, event_type, CAST(ts AS TIMESTAMP) AS at FROM events")
+def stream_repeats_dropped(spark, sf_dir):
+    """Every event arrives twice, in two files of a stream; the guard lets one of each through."""
+    source, target = work_area(spark, "repeated"), work_area(spark, "once")
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("at"))
+    for _ in range(2):
+        rows.write.mode("append").parquet(source)
+    once = arrivals.drop_repeats(spark.readStream.schema(rows.schema).parquet(source), "at", ("event_id",), "1 hour")
+    arrivals.run_available(once, lambda batch, _: batch.write.mode("append").parquet(target), work_area(spark, "checkpoint"))
+    return spark.read.parquet(target)
+
+
+@register(
+    """SELECT o_orderstatus, CASE o_orderstatus WHEN 'P' THEN 'unexpected_columns: amount; missing_columns: price' ELSE 'taken' END AS verdict,
+  CASE WHEN o_orderstatus <> 'P' THEN count(*) ELSE 0 END AS row_count,
+  CASE WHEN o_orderstatus <> 'P' THEN CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DECIMAL(38,2)) END AS total FROM orders GROUP BY o_orderstatus"""
+)
+def gated_headers(spark, sf_dir):
+    """Orders as one file per status: with the contract's header, with another order, and with a renamed column, which is refused."""
+    price = F.col("o_totalprice").cast("decimal(14,2)").cast("string")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderstatus", F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("status"),
+        price.alias("price"), F.col("o_orderdate").cast("date").alias("ordered"), F.lit(1).alias("rank"),
+    )
+    names = ORDER_FILE.fieldNames()
+    headers = {"F": [F.col(n) for n in names], "O": [F.col(n) for n in reversed(names)], "P": [F.col(n).alias("amount" if n == "price" else n) for n in names]}
+    seen = []
+    for status, columns in headers.items():
+        path = work_area(spark, "headers")
+        orders.where(F.col("o_orderstatus") == status).select(*columns).write.option("header", True).csv(path)
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                rows, verdict = scan.scan_csv(spark, path, ORDER_CONTRACT), "taken"
+        except drift.SchemaDriftError as error:
+            rows, verdict = None, str(error).split(": ", 1)[1]
+        if rows is None:
+            sums = spark.range(1).select(F.lit(0).cast("long").alias("row_count"), F.lit(None).cast("decimal(38,2)").alias("total"))
+        else:
+            sums = rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum("price").cast("decimal(38,2)").alias("total"))
+        seen.append(sums.select(F.lit(status).alias("o_orderstatus"), F.lit(verdict).alias("verdict"), "row_count", "total"))
+    return reduce(DataFrame.unionAll, seen)
+
+
+_MEASURED = ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+
+
+@register(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls,
+  {f"CAST(min({c}) AS VARCHAR)" if c != "l_returnflag" else "NULL"} AS min_value,
+  {f"CAST(max({c}) AS VARCHAR)" if c != "l_returnflag" else "NULL"} AS max_value FROM lineitem"""
+        for c in _MEASURED
+    )
+)
+def stored_statistics(spark, sf_dir):
+    """What the catalog holds about the columns of a table of lines, for plans to go by; texts have no ends there."""
+    path = work_area(spark, "measured")
+    name = f"measured_{path.rsplit('-', 1)[-1]}"
+    table(spark, sf_dir, "lineitem").select(*_MEASURED).write.format("parquet").option("path", path).saveAsTable(name)
+    scan.refresh_statistics(spark, name, columns=_MEASURED)
+    return scan.column_statistics(spark, name, _MEASURED)
+
+
+@register(
+    " UNION ALL ".join(
+        f"""SELECT '{k}' AS key_column, CAST({k} AS VARCHAR) AS key_value, count(*) AS row_count FROM lineitem
+  GROUP BY {k} HAVING count(*) * 500 >= (SELECT count(*) FROM lineitem)"""
+        for k in ("l_suppkey", "l_partkey", "l_orderkey", "l_linenumber", "l_returnflag")
+    )
+)
+def hot_keys(spark, sf_dir):
+    """Key values that hold a five-hundredth of the lines or more, counted exactly among sketched candidates."""
+    keys = ("l_suppkey", "l_partkey", "l_orderkey", "l_linenumber", "l_returnflag")
+    return monitor.hot_keys(table(spark, sf_dir, "lineitem"), keys, 1, 500)
+
+
+def clustered_lines(spark, sf_dir, files=24):
+    """Where lines lie clustered by part within ship years."""
+    path = work_area(spark, "clustered")
+    rows = table(spark, sf_dir, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    tables.write_partitions(rows, path, by=("ship_year",), cluster=("l_partkey",), files=files)
+    return path
+
+
+#: a stretch of parts, about a fiftieth of all
+PARTS = "l_partkey BETWEEN (SELECT max(l_partkey) FROM lineitem) // 2 AND (SELECT max(l_partkey) FROM lineitem) * 52 // 100"
+
+
+@register(
+    f"""SELECT year(l_shipdate)::INTEGER AS ship_year, count(*) AS line_count, CAST(sum(CAST(l_extendedprice AS DECIMAL(14,2))) AS DECIMAL(38,2)) AS total
+  FROM lineitem WHERE {PARTS} GROUP BY 1"""
+)
+def clustered_lookup(spark, sf_dir):
+    """A stretch of parts out of lines that lie clustered by part: the files' statistics leave few of them to read."""
+    last = table(spark, sf_dir, "lineitem").agg(F.max("l_partkey")).first()[0]
+    lines = spark.read.parquet(clustered_lines(spark, sf_dir)).where(F.col("l_partkey").between(last // 2, last * 52 // 100))
+    total = F.sum(F.col("l_extendedprice").cast("decimal(14,2)")).cast("decimal(38,2)").alias("total")
+    return lines.groupBy("ship_year").agg(F.count(F.lit(1)).alias("line_count"), total)

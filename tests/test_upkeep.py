@@ -201,3 +201,62 @@ def test_publication_switches_partitions_and_keeps_rows_without_a_date(spark, tm
     assert tables.publish_snapshots(spark, name, first, root, "day") == [date(2024, 1, 1), date(2024, 1, 2), None]
     tables.publish_snapshots(spark, name, spark.createDataFrame([(4, date(2024, 1, 2)), (5, None)], "k int, day date"), root, "day")
     assert sorted((r.k, str(r.day)) for r in spark.table(name).collect()) == [(1, "2024-01-01"), (4, "2024-01-02"), (5, "None")]
+
+
+def test_clustered_files_hold_narrow_ranges(spark, tmp_path):
+    rows = spark.range(0, 60_000, 1, 6).selectExpr("id % 3 AS day", "CASE WHEN id % 3 = 0 THEN 500 ELSE pmod(xxhash64(id), 1000) END AS part", "id")
+    plain, apart = str(tmp_path / "plain"), str(tmp_path / "apart")
+    tables.write_partitions(rows, plain, by=("day",), sort=("part",))
+    tables.write_partitions(rows, apart, by=("day",), cluster=("part",), files=30)
+
+    def files_left(path, low, high):
+        held = spark.read.parquet(path).where("day > 0").groupBy(F.col("_metadata.file_path").alias("f"))
+        ends = held.agg(F.min("part").alias("lo"), F.max("part").alias("hi")).collect()
+        return sum(r["lo"] <= high and r["hi"] >= low for r in ends), len(ends)
+
+    left, every = files_left(apart, 300, 320)
+    assert every >= 16 and left <= 6 and files_left(plain, 300, 320)[0] == files_left(plain, 300, 320)[1]
+    # the value that holds a third of all rows is cut
+    hot = spark.read.parquet(apart).where("day = 0").groupBy("_metadata.file_path").count().collect()
+    assert len(hot) >= 6 and max(r["count"] for r in hot) < 6_000
+    assert sorted(r.id for r in spark.read.parquet(apart).select("id").collect()) == list(range(60_000))
+
+
+def test_hot_keys_equal_plain_counts(spark):
+    from snapstrata.operators import monitor
+
+    rows = spark.range(0, 30_000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id % 50 = 1 THEN 7 ELSE id END AS k", "id % 4 AS j")
+    for share, of in ((1, 100), (1, 4), (1, 20_000)):
+        got = {(r.key_column, r.key_value, r.row_count) for r in monitor.hot_keys(rows, ("k", "j"), share, of).collect()}
+        want = set()
+        for key in ("k", "j"):
+            counts = rows.groupBy(key).count().collect()
+            want |= {(key, None if r[0] is None else str(r[0]), r[1]) for r in counts if r[1] * of >= 30_000 * share}
+        assert got == want
+
+
+def test_stored_statistics_decide_a_plan(spark, tmp_path):
+    from snapstrata.sources import scan
+
+    name = f"stat_{tmp_path.name.replace('-', '_')}"
+    rows = spark.range(0, 200_000, 1, 4).selectExpr("id", "id % 1000 AS part", "sha2(string(id), 256) AS payload")
+    rows.write.format("parquet").option("path", str(tmp_path / "t")).saveAsTable(name)
+    settings = {"spark.sql.cbo.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "200k", "spark.sql.adaptive.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+
+    def plan():
+        small = spark.table(name).where("part = 5").select("id", "part")
+        joined = spark.table(name).join(small.withColumnRenamed("part", "p"), "id")
+        return joined._jdf.queryExecution().executedPlan().toString()
+
+    try:
+        assert "SortMergeJoin" in plan()
+        scan.refresh_statistics(spark, name, columns=("id", "part"))
+        assert "BroadcastHashJoin" in plan()
+        got = scan.column_statistics(spark, name, ("id", "part")).collect()
+        assert [tuple(r) for r in got] == [("id", 200_000, 0, "0", "199999"), ("part", 200_000, 0, "0", "999")]
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
