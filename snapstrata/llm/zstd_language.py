@@ -32,9 +32,9 @@ SAMPLE_TEXTS = 3000
 DICTIONARY_BYTES = 64 << 10
 #: a margin below this share of the runner-up's frame, or below one byte, is narrow
 NARROW = 0.001
-#: a text of fewer bytes is encoded as so many copies of it: alone, frames of a few words would
+#: every text is encoded as so many copies of it: alone, frames of a few words would
 #: be stored raw and have the same size for every language
-SHORT, COPIES = 1024, 4
+COPIES = 4
 UNKNOWN = "und"
 
 
@@ -123,8 +123,7 @@ def judge_text(text: str | None, compressors, narrow: float) -> tuple[str, float
     if text is None or not compressors or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, True
     data = text.lower().encode("utf-8", "surrogatepass")
-    if len(data) < SHORT:
-        data = b"\n".join([data] * COPIES)
+    data = b"\n".join([data] * COPIES)
     sizes = [len(compressor.compress(data)) for _, compressor in compressors]
     best = min(sizes)
     score = 1.0 / sum(math.exp((best - size) / (1 + best / 100)) for size in sizes)
