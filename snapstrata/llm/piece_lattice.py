@@ -363,15 +363,25 @@ def _rows(docs: DataFrame, model: PieceModel, text: str, n_best: int, kept: list
     return read.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, model: PieceModel, text: str = "text", n_best: int = 1, keep: list[str] | None = None) -> DataFrame:
-    """The columns in keep (all by default), and segmentations: array of (score, ids), best first."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c != "segmentations"]
+def _decodes(segmenter: Segmenter, texts: pa.Array, best: list[bytes]) -> pa.Array:
+    """Whether the ids spell the texts again; null where a text is."""
+    plain = pc.replace_substring(as_large_strings(texts), BLANK, " ").cast(pa.large_binary())
+    return pc.equal(pa.array(segmenter.decode(best), pa.large_binary()), plain)
+
+
+def encode(docs: DataFrame, model: PieceModel, text: str = "text", n_best: int = 1, keep: list[str] | None = None, decoded: bool = False) -> DataFrame:
+    """The columns in keep (all by default), and segmentations: array of (score, ids), best first.
+
+    With decoded also round_trip: the best one decodes to the text (null for a null text).
+    """
     row = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    added = T.StructType([T.StructField("segmentations", T.ArrayType(row))])
+    added = T.StructType([T.StructField("segmentations", T.ArrayType(row)), *([T.StructField("round_trip", T.BooleanType())] if decoded else [])])
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in added.names]
 
     def columns(segmenter: Segmenter, texts: pa.Array, found) -> list[pa.Array]:
-        scores, flat, ends, outer = [], [], [0], [0]
+        scores, flat, ends, outer, best = [], [], [0], [0], []
         for paths in found:
+            best.append(paths[0][1])
             for score, ids in paths:
                 scores.append(score)
                 flat.append(ids)
@@ -380,7 +390,8 @@ def encode(docs: DataFrame, model: PieceModel, text: str = "text", n_best: int =
         values = pa.array(np.frombuffer(b"".join(flat), dtype="<i4"), pa.int32())
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
         structs = pa.StructArray.from_arrays([pa.array(scores, pa.float64()), lists], names=["score", "ids"])
-        return [pa.ListArray.from_arrays(pa.array(outer, pa.int32()), structs)]
+        lists = pa.ListArray.from_arrays(pa.array(outer, pa.int32()), structs)
+        return [lists, _decodes(segmenter, texts, best)] if decoded else [lists]
 
     return _rows(docs, model, text, n_best, kept, added, columns)
 
@@ -425,8 +436,7 @@ def encode_summary(docs: DataFrame, model: PieceModel, text: str = "text", n_bes
             crcs = [zlib.crc32(ids) for _, ids in paths]
             rows.append((len(paths[0][1]) // 4, crcs[0], [s for s, _ in paths], crcs))
             best.append(paths[0][1])
-        plain = pc.replace_substring(as_large_strings(texts), BLANK, " ").cast(pa.large_binary())
-        same = pc.equal(pa.array(segmenter.decode(best), pa.large_binary()), plain)
+        same = _decodes(segmenter, texts, best)
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()))
         return [*(pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)), same]
 

@@ -4,7 +4,9 @@ Each language gets a zstandard raw-content dictionary: the words that are
 most frequent in a bounded sample of its labelled texts, the most frequent ones
 last, where offsets are shortest.  A text is encoded as a whole with every dictionary
 and gets the language of the smallest frame.  A prediction is rejected when the
-runner-up's frame is no more than a narrow margin larger.
+runner-up's frame is no more than a narrow margin larger.  How narrow is learned: a fifth of the sampled
+texts goes into no dictionary, and the margin is half of what nearly all of these that are
+identified rightly reach, so that texts as clear as these stay.
 
 Null texts and texts without a letter are ``und`` with score 0 and are rejected.
 Ties go to the smaller language name and are rejected.  Very long texts are
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,10 @@ from snapstrata.llm.texts import coded, pieces, split_words
 #: documented bounds of what is learned: labelled texts per language, and bytes of each dictionary
 SAMPLE_TEXTS = 3000
 DICTIONARY_BYTES = 64 << 10
-#: a margin below this share of the runner-up's frame, or below one byte, is narrow
-NARROW = 0.001
+#: a margin below a share of the runner-up's frame, or below one byte, is narrow; bounds of the share that is learned
+NARROW, WIDEST = 0.001, 0.02
+#: one sampled text of so many is set aside for the margin, and the part of them that may fall short of twice the margin
+SET_ASIDE, SHORT_OF = 5, 0.001
 #: every text is encoded as so many copies of it: alone, frames of a few words would
 #: be stored raw and have the same size for every language
 COPIES = 4
@@ -43,6 +47,8 @@ class LanguageModel:
     """Raw-content dictionaries by language, in order of names."""
 
     contents: tuple[tuple[str, bytes], ...]
+    #: the narrow margin, as a share of the runner-up's frame
+    narrow: float = NARROW
 
     def compressors(self) -> list[tuple[str, zstandard.ZstdCompressor]]:
         params = zstandard.ZstdCompressionParameters(
@@ -83,9 +89,11 @@ def learn(
     share = F.lit(None).cast("long")
     for name, n in counts.items():
         share = F.when(F.col(lang) == name, math.ceil(scale * min(1, sample_texts / n))).otherwise(share)
-    chosen = rows.where(F.pmod(F.xxhash64(key), F.lit(scale)) < share).select(
-        F.col(lang).alias("lang"), F.lower(text).alias("text")
+    aside = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(SET_ASIDE)) == 0
+    sampled = rows.where(F.pmod(F.xxhash64(key), F.lit(scale)) < share).select(
+        F.col(lang).alias("lang"), F.lower(text).alias("text"), aside.alias("aside")
     )
+    chosen = sampled.where("NOT aside")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _plain_blanks()
@@ -116,25 +124,57 @@ def learn(
             size[row.lang] = size.get(row.lang, 0) + len(word) + 1
             by_lang.setdefault(row.lang, []).append(word)
     # zstandard takes contents of eight bytes and more
-    return LanguageModel(tuple((k, b" ".join(reversed(v)).rjust(8)) for k, v in sorted(by_lang.items())))
+    model = LanguageModel(tuple((k, b" ".join(reversed(v)).rjust(8)) for k, v in sorted(by_lang.items())))
+    return replace(model, narrow=learned_margin(sampled.where("aside"), model))
 
 
-def judge_text(text: str | None, compressors, narrow: float) -> tuple[str, float, bool]:
-    if text is None or not compressors or not any(map(str.isalpha, text)):
-        return UNKNOWN, 0.0, True
+def learned_margin(sampled: DataFrame, model: LanguageModel) -> float:
+    """Half the margin that all but SHORT_OF of the rightly identified texts reach, within its bounds."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressors = model.compressors()
+        for piece in pieces(batches, "text"):
+            margins = []
+            for text, lang in zip(piece.column("text").to_pylist(), piece.column("lang").to_pylist()):
+                if any(map(str.isalpha, text)):
+                    name, sizes = frames(text, compressors)
+                    first, second = sorted(sizes)[:2]
+                    if name == lang:
+                        margins.append((second - first) / second)
+            yield pa.RecordBatch.from_arrays([pa.array(margins, pa.float64())], names=["margin"])
+
+    if len(model.contents) < 2:
+        return NARROW
+    reached = sampled.mapInArrow(measure, "margin double").agg(F.percentile("margin", SHORT_OF)).first()[0]
+    return min(WIDEST, max(NARROW, (reached or 0.0) / 2))
+
+
+def frames(text: str, compressors) -> tuple[str, list[int]]:
+    """The language of the smallest frame, and all frames' sizes."""
     data = text.lower().encode("utf-8", "surrogatepass")
     data = b"\n".join([data] * COPIES)
     sizes = [len(compressor.compress(data)) for _, compressor in compressors]
+    return compressors[sizes.index(min(sizes))][0], sizes
+
+
+def judge_text(text: str | None, compressors, narrow: float) -> tuple[str, float, bool]:
+    if text is None or not compressors or not any(map(str.isalpha, text)):
+        return UNKNOWN, 0.0, True
+    name, sizes = frames(text, compressors)
     best = min(sizes)
     score = 1.0 / sum(math.exp((best - size) / (1 + best / 100)) for size in sizes)
     rest = sorted(sizes)[1:2]
     margin = (rest[0] - best) if rest else best
     rejected = margin < 1 or bool(rest) and margin < narrow * rest[0]
-    return compressors[sizes.index(best)][0], score, rejected
+    return name, score, rejected
+
 
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", narrow: float | None = None, keep: list[str] | None = None) -> DataFrame:
+    """The columns in keep (all by default) with lang_pred, score and lang_rejected.  Columns of these names are replaced.
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", narrow: float = NARROW, keep: list[str] | None = None) -> DataFrame:
-    """The columns in keep (all by default) with lang_pred, score and lang_rejected.  Columns of these names are replaced."""
+    narrow is the model's unless given.
+    """
+    narrow = model.narrow if narrow is None else narrow
     added = ("lang_pred", "score", "lang_rejected")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
     read = docs.select(*dict.fromkeys([*kept, text]))
@@ -152,8 +192,9 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", narrow:
     return read.mapInArrow(run, schema)
 
 
-def reject_unclear(docs: DataFrame, model: LanguageModel, text: str = "text", narrow: float = NARROW) -> DataFrame:
-    """docs without the texts whose language stays unclear."""
+def reject_unclear(docs: DataFrame, model: LanguageModel, text: str = "text", narrow: float | None = None) -> DataFrame:
+    """docs without the texts whose language stays unclear; narrow is the model's unless given."""
+    narrow = model.narrow if narrow is None else narrow
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from snapstrata.llm import zstd_language
-from snapstrata.llm.queries import QUERIES
+from snapstrata.llm.queries import QUERIES, language_model
 
 SF = "/root/testdata/sf0.01"
 
@@ -20,6 +20,22 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang_rejected for r in rows) / len(rows) < 0.02
 
 
+def test_the_learned_margin_rejects_mixed_texts_and_keeps_clean_ones(spark):
+    docs = [r for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text and r.lang]
+    model = language_model(spark, SF)
+    assert zstd_language.NARROW < model.narrow <= zstd_language.WIDEST
+    compressors = model.compressors()
+    held = sorted((r for r in docs if zlib.crc32(str(r.doc_id).encode()) % 5 == 0), key=lambda r: r.doc_id)
+    clean = [zstd_language.judge_text(r.text, compressors, model.narrow)[2] for r in held]
+    assert sum(clean) <= 0.006 * len(clean)
+    mixed = []
+    for one, other in zip(held, held[1:]):
+        if one.lang != other.lang:
+            n = min(len(one.text), len(other.text))
+            mixed.append(zstd_language.judge_text(f"{one.text[:n]} {other.text[:n]}", compressors, model.narrow)[2])
+    assert len(mixed) > 50 and sum(mixed) >= 0.15 * len(mixed)
+
+
 def small(spark):
     rows = [(k, "the dreaming cat watches another dog of this painted house", "en") for k in range(20)]
     rows += [(k, "der schlafende hund betrachtet die katze von diesem garten", "de") for k in range(20, 40)]

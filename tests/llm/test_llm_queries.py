@@ -52,7 +52,7 @@ def test_pipeline_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = queries.language_model(spark, SF)
     compressors = model.compressors()
-    rows = [r for r in docs.collect() if not zstd_language.judge_text(r.text, compressors, zstd_language.NARROW)[2]]
+    rows = [r for r in docs.collect() if not zstd_language.judge_text(r.text, compressors, model.narrow)[2]]
     prints = {r.doc_id: fingerprint(r.text) for r in rows}
     component = groups(list(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
     rows = [r for r in rows if component[r.doc_id] == r.doc_id]
@@ -63,7 +63,13 @@ def test_pipeline_equals_brute_force(spark):
     assert 0 < len(got) < docs.count()
     pieces = piece_lattice.PieceModel.load(public_tokenizers.path(queries.PIECE_MODEL))
     segmenter = piece_lattice.Segmenter(pieces, 1)
+    several = piece_lattice.Segmenter(pieces, queries.N_BEST)
+    assert all(r.round_trip for r in got.values())
+    assert sum(len(r.alternatives) == queries.N_BEST - 1 for r in got.values()) > 0.9 * len(got)
     for r in rows:
+        (paths,) = list(several.segment(pa.array([r.text])))
+        assert [x.ids for x in got[r.doc_id].alternatives] == [np.frombuffer(ids, dtype="<u4").tolist() for _, ids in paths[1:]]
+        assert np.allclose([x.score for x in got[r.doc_id].alternatives], [score for score, _ in paths[1:]])
         (((score, ids),),) = list(segmenter.segment(pa.array([r.text])))
         assert got[r.doc_id].ids == np.frombuffer(ids, dtype="<u4").tolist() and np.isclose(got[r.doc_id].piece_score, score)
         assert (got[r.doc_id].lang, got[r.doc_id].source, got[r.doc_id].n_chars) == (r.lang, r.source, r.n_chars)
