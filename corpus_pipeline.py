@@ -2,7 +2,7 @@
 
 Language identification drops texts whose language stays unclear; of each group of
 near-duplicates by SimHash one document stays; documents that hold benchmark passages go;
-what is left is encoded with SentencePiece.
+what is left is encoded with SentencePiece, its N best segmentations, and decoded again.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.llm import decontamination, piece_lattice, simhash_dedup, zstd_language
-from snapstrata.llm.queries import PIECE_MODEL, language_model, table
+from snapstrata.llm.queries import N_BEST, PIECE_MODEL, language_model, table
 from snapstrata.llm.shared import stored
 
 
@@ -29,12 +29,15 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """ids and score of the best segmentation, the alternatives, and whether the ids decode to the text again."""
     model = piece_lattice.PieceModel.load(public_tokenizers.path(PIECE_MODEL))
-    encoded = piece_lattice.encode(docs, model, keep=[c for c in docs.columns if c != "text"])
+    encoded = piece_lattice.encode(docs, model, n_best=N_BEST, keep=[c for c in docs.columns if c != "text"], decoded=True)
     best = F.get("segmentations", F.lit(0))
     return encoded.select(
-        *[c for c in encoded.columns if c != "segmentations"], best["ids"].alias("ids"), best["score"].alias("piece_score")
-    )
+        *[c for c in encoded.columns if c not in ("segmentations", "round_trip")],
+        best["ids"].alias("ids"), best["score"].alias("piece_score"),
+        F.slice("segmentations", 2, N_BEST).alias("alternatives"), "round_trip",
+    )
 
 
 STAGES = [
