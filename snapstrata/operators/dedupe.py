@@ -73,7 +73,7 @@ def keep_first(
     return ranked.where(F.col("_place") == 1).drop("_hk", "_place")
 
 
-def _is_plain_scan(df: DataFrame) -> bool:
+def is_plain_scan(df: DataFrame) -> bool:
     """Projections and filters over one table of files, nothing that could repeat or reorder its rows?"""
     plan = df._jdf.queryExecution().optimizedPlan()
     if not plan.deterministic():
@@ -89,7 +89,7 @@ def with_row_identity(df: DataFrame) -> DataFrame:
     A plain scan of Parquet files has them; anything else is written to the shared folder first.
     """
     place = (F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
-    if _is_plain_scan(df):
+    if is_plain_scan(df):
         try:
             return df.select("*", *place)
         except AnalysisException:  # files of a format without row numbers
@@ -99,12 +99,49 @@ def with_row_identity(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select("*", *place)
 
 
-def _measured(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
-    """A written copy, and the bytes of its rows as text: what a broadcast of it would have to hold, whatever its files' size."""
-    spark, path, seen = df.sparkSession, work_area(df.sparkSession, purpose), Observation()
-    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0).cast("long"))
-    df.observe(seen, size.alias("size")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get["size"]
+#: rows of a file whose winners share one row of bits, and what such a row takes in a broadcast
+BLOCK, WORD, BLOCK_BYTES = 4096, 64, 576
+
+
+def _winners(placed: DataFrame) -> tuple[DataFrame, int, int]:
+    """The place of the best row of every key, written; where a key repeats, with the key and the best order.
+
+    Also the number of keys that repeat, and the bytes of these keys as text: what a broadcast would have to hold, whatever its files' size.
+    """
+    spark, path, seen = placed.sparkSession, work_area(placed.sparkSession, "winners"), Observation()
+    best = placed.groupBy("_hk", "_dk").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    repeats = F.col("_rows") > 1
+    told = [F.when(repeats, F.col(c)).alias(name) for c, name in (("_hk", "_bh"), ("_dk", "_bk"), ("_first", "_best"))]
+    out = best.select(*told, F.col("_first._file").alias("_file"), F.col("_first._index").alias("_index"))
+    text = F.octet_length(F.to_json(F.struct("_bh", "_bk", "_best")))
+    size = F.coalesce(F.sum(F.when(F.col("_bh").isNotNull(), text)), F.lit(0).cast("long"))
+    out.observe(seen, F.count("_bh").alias("keys"), size.alias("size")).write.parquet(path)
+    found = seen.get
+    return spark.read.schema(out.schema).parquet(path), found["keys"], found["size"]
+
+
+def _winner_bits(winners: DataFrame, limit: int) -> list[DataFrame] | None:
+    """The winners' places as a bit per row, cut by files into tables that may each be broadcast; None where a file's bits alone are too many."""
+    spark, path = winners.sparkSession, work_area(winners.sparkSession, "bits")
+    block, word = F.floor(F.col("_index") / BLOCK).cast("long"), F.floor(F.col("_index") / WORD).cast("long")
+    bit = F.expr(f"shiftleft(1L, CAST(_index % {WORD} AS INT))")
+    words = winners.groupBy("_file", block.alias("_block"), word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    held = F.map_from_entries(F.collect_list(F.struct((F.col("_word") % (BLOCK // WORD)).alias("w"), "_bits")))
+    every = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(BLOCK // WORD - 1).cast("long")), lambda w: F.coalesce(held[w], F.lit(0).cast("long")))
+    words.groupBy("_file", "_block").agg(every.alias("_words")).write.parquet(path)
+    bits = spark.read.schema("_file long, _block long, _words array<bigint>").parquet(path)
+    # a row per file
+    pieces, room = [], 0
+    for r in bits.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).orderBy("_file").collect():
+        need = r["n"] * BLOCK_BYTES
+        if need > limit:
+            return None
+        if need > room:
+            pieces.append([])
+            room = limit
+        pieces[-1].append(r["_file"])
+        room -= need
+    return [bits.where(F.col("_file").isin(files)) for files in pieces]
 
 
 def mark_winners(
@@ -114,28 +151,28 @@ def mark_winners(
 
     The best row of every key is a map-side combined minimum over (``tiebreak``,
     hash of the whole row, place in its file), so no task gathers a key to find it and equal rows
-    are told apart.  Only keys with several rows are kept of that, in a written table of measured size: where no
-    key repeats, no row moves at all; up to Spark's broadcast limit the table is broadcast; beyond it, one
-    join on the key's hash brings it to the rows, and adaptive execution splits a key that
-    holds much of the table.  Files' sizes never decide.
+    are told apart.  The places of the best rows are written, and with them the keys that repeat, of measured size: where no
+    key repeats, no row moves at all; up to Spark's broadcast limit those keys are broadcast; beyond it the best rows'
+    places are, as a bit per row, in as many tables below the limit as it takes, and again no row moves.
+    Where the bits of one file are above the limit, one join on the key's hash brings the best to the rows, and adaptive
+    execution splits a key that holds much of the table.  Files' sizes never decide.
 
     The search runs when this is called.  ``df`` is read twice; unless it is a plain scan of
     Parquet files its rows are written down first, so any plan will do.
     """
     columns = df.columns
     rows = with_row_identity(df)
-    place = F.struct(order_struct(df, tiebreak).alias("order"), F.xxhash64(*columns).alias("row"), "_file", "_index")
+    # columns of the key are equal wherever places are compared
+    told = [(name, way) for name, way in tiebreak if name not in key]
+    place = F.struct(order_struct(df, told).alias("order"), F.xxhash64(*columns).alias("row"), "_file", "_index")
     placed = rows.select(*columns, F.xxhash64(*key).alias("_hk"), F.struct(*key).alias("_dk"), place.alias("_place"))
-    best = (
-        placed.groupBy("_hk", "_dk")
-        .agg(F.min("_place").alias("_best"), F.count(F.lit(1)).alias("_rows"))
-        .where("_rows > 1")
-        .select(F.col("_hk").alias("_bh"), F.col("_dk").alias("_bk"), "_best")
-    )
-    repeated, size = _measured(best, "repeated")
-    if not size:
+    winners, keys, size = _winners(placed)
+    if not keys:
         return df.withColumn(flag, F.lit(True))
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if size > limit > 0 and (pieces := _winner_bits(winners, limit)) is not None:
+        return _marked_by_bits(rows, pieces, columns, flag)
+    repeated = winners.where(F.col("_bh").isNotNull()).select("_bh", "_bk", "_best")
     repeated = F.broadcast(repeated) if size <= limit else repeated.hint("merge")
     # the hash alone is the join key, so both sides are shuffled for the join and adaptive
     # execution may split them; keys that share a hash are told apart behind it
@@ -144,6 +181,19 @@ def mark_winners(
     return placed.join(repeated, own, "left").select(*columns, first.alias(flag))
 
 
+def _marked_by_bits(rows: DataFrame, pieces: Sequence[DataFrame], columns: Sequence[str], flag: str) -> DataFrame:
+    """``rows`` with the bit of their place; a file's bits are in one of the pieces."""
+    out = rows.withColumn("_at", F.floor(F.col("_index") / BLOCK).cast("long"))
+    for k, piece in enumerate(pieces):
+        piece = piece.select(F.col("_file").alias(f"_file{k}"), F.col("_block").alias(f"_block{k}"), F.col("_words").alias(f"_words{k}"))
+        same = (F.col("_file") == F.col(f"_file{k}")) & (F.col("_at") == F.col(f"_block{k}"))
+        out = out.join(F.broadcast(piece), same, "left")
+    words = F.coalesce(*[F.col(f"_words{k}") for k in range(len(pieces))])
+    word = F.get(words, F.floor(F.col("_index") % BLOCK / WORD).cast("int"))
+    won = F.coalesce(F.getbit(word, (F.col("_index") % WORD).cast("int")) == 1, F.lit(False))
+    return out.select(*columns, won.alias(flag))
+
+
 def deduplicate(
     df: DataFrame, key: Sequence[str], tiebreak: Sequence[tuple[str, str]]
 ) -> tuple[DataFrame, DataFrame]:

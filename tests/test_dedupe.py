@@ -154,6 +154,25 @@ def test_few_repeated_keys_are_broadcast_and_many_are_not(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_many_repeated_keys_move_no_row(spark, tmp_path):
+    """The winners' bits go to the rows, in two tables that are each below the limit."""
+    path = str(tmp_path / "rows")
+    spark.range(0, 40_000, 1, 4).selectExpr("id * 7 % 9000 AS k", "-id AS o", "id").write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        marked = mark_winners(spark.read.parquet(path), ("k",), (("o", "asc"),))
+        plan = final_plan(marked)
+        won = {r["id"] for r in marked.where("_kept").collect()}
+        n = marked.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan and final.count("BroadcastHashJoin") == 2
+    assert n == 40_000 and won == set({i * 7 % 9000: i for i in range(40_000)}.values())
+
+
 def test_millions_of_equal_rows_stay_spread(spark, tmp_path):
     path, out = str(tmp_path / "rows"), str(tmp_path / "marked")
     spark.range(0, 2_000_000, 1, 8).selectExpr("1 AS k", "5 AS o", "'same' AS payload").write.parquet(path)
