@@ -112,40 +112,36 @@ def quotes(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
     def needed(names: set[str]) -> bool:
         return wanted is None or bool(names & wanted)
 
+    # what a quote takes from its line alone, before any lookup: the joins carry nothing else of it
+    shipped = F.col("l_shipdate")
+    out = lines.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate",
+        F.when(F.col("l_tax") != 0.08, F.col("l_quantity")).alias("_duration"),
+        (~((F.col("l_tax") == 0) & (F.col("l_discount") == 0))).alias("_priced"),
+        (~((F.col("l_linenumber") == 7) & (F.col("l_tax") == 0))).alias("_dated"),
+    )
     made = {
         "order_key": F.col("l_orderkey"),
         "line_number": F.col("l_linenumber"),
         "part_key": F.col("l_partkey"),
         "supp_key": F.col("l_suppkey"),
         "list_price": F.col("l_extendedprice"),
-        "shipped": F.col("l_shipdate").cast("date"),
+        "shipped": shipped.cast("date"),
         "stops": F.when(F.col("l_returnflag") == "N", "ZERO")
         .when(F.col("l_returnflag") == "R", " One")
         .otherwise("two_or_more "),
         "class": F.when(F.col("l_linestatus") == "F", " BUSINESS ").otherwise("economy"),
-        "duration": F.when(F.col("l_tax") != 0.08, F.col("l_quantity")),
-        "price": F.when(
-            ~((F.col("l_tax") == 0) & (F.col("l_discount") == 0)),
-            F.col("l_extendedprice").cast("decimal(12,2)"),
-        ),
+        "duration": F.col("_duration"),
+        "price": F.when(F.col("_priced"), F.col("l_extendedprice").cast("decimal(12,2)")),
         "_source_file": F.lit("lineitem"),
         "_source_row": F.col("l_linenumber"),
-        "_ingested_at": F.col("l_shipdate").cast("timestamp"),
+        "_ingested_at": shipped.cast("timestamp"),
     }
-    out = lines
     if needed(_FROM_PART):
-        part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
-        out = out.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-        made["airline"] = F.when(F.col("p_size") == 50, "").otherwise(F.col("p_type"))
-        made["flight"] = F.concat(F.lit(" "), F.lower(F.nullif(F.col("p_brand"), F.lit("Brand#25"))))
+        made |= {"airline": F.col("p_airline"), "flight": F.col("p_flight")}
     if needed(_FROM_SUPPLIER):
-        # the region lookup hangs off the joined supplier, so that Spark plans the
-        # supplier join by the size of the supplier file alone
-        home = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
-        city = _regions(spark, sf_dir).withColumnRenamed("r_name", "s_region")
-        out = out.join(home, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        out = out.join(city, F.col("s_nationkey") == F.col("n_nationkey"), "left").drop("n_nationkey")
         made["source_city"] = F.when(F.col("s_acctbal") >= 0, F.col("s_region"))
+    # orders first: they are the largest lookup, and lines are at their narrowest for its shuffle
     if needed(_FROM_ORDERS):
         orders = table(spark, sf_dir, "orders").select(
             "o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("ordered")
@@ -160,11 +156,25 @@ def quotes(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
             made["destination_city"] = F.col("c_city")
             made["arrival_time"] = F.nullif(F.col("c_mktsegment"), F.lit("MACHINERY"))
         out = out.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        days = F.datediff(F.col("l_shipdate").cast("date"), F.col("ordered"))
-        made["days_left"] = F.when(~((F.col("l_linenumber") == 7) & (F.col("l_tax") == 0)), days)
+        days = F.datediff(shipped.cast("date"), F.col("ordered"))
+        made["days_left"] = F.when(F.col("_dated"), days)
         made["departure_time"] = F.col("o_orderpriority")
         made["as_of_date"] = F.trunc("ordered", "year")
         made["_batch_id"] = F.concat(F.lit("batch-"), F.year("ordered").cast("string"))
+    if needed(_FROM_PART):
+        part = table(spark, sf_dir, "part").select(
+            "p_partkey",
+            F.when(F.col("p_size") == 50, "").otherwise(F.col("p_type")).alias("p_airline"),
+            F.concat(F.lit(" "), F.lower(F.nullif(F.col("p_brand"), F.lit("Brand#25")))).alias("p_flight"),
+        )
+        out = out.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    if needed(_FROM_SUPPLIER):
+        # the region lookup hangs off the joined supplier, so that Spark plans the
+        # supplier join by the size of the supplier file alone
+        home = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+        city = _regions(spark, sf_dir).withColumnRenamed("r_name", "s_region")
+        out = out.join(home, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        out = out.join(city, F.col("s_nationkey") == F.col("n_nationkey"), "left").drop("n_nationkey")
     names = made if wanted is None else [n for n in made if n in wanted]
     return out.select(*[made[n].alias(n) for n in names])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import __spark_entry__ as entry
 import pytest
 from compare import compare, database
@@ -53,6 +55,15 @@ def test_lookups_nobody_needs_are_not_joined(spark):
         assert f"{other}.parquet" not in plan
 
 
+def test_lines_are_shuffled_to_their_orders_before_other_lookups_widen_them(spark):
+    from snapstrata.workload.base import quotes
+
+    plan = quotes(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [re.search(rf"l_\w+#\d+L? = {key}#", plan).start() for key in ("s_suppkey", "p_partkey", "o_orderkey")]
+    # the outermost join comes first
+    assert joins == sorted(joins) and "l_tax" not in plan[: plan.index("o_orderkey")]
+
+
 def test_fact_needs_no_join_beyond_the_quotes(spark):
     from snapstrata.plans import star
     from snapstrata.workload.base import BANDS
