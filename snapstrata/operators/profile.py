@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
@@ -10,6 +9,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapstrata.operators.dedupe import is_plain_scan
 from snapstrata.session import work_area
 
 
@@ -70,44 +70,69 @@ def candidate_keys(df: DataFrame, candidates: Mapping[str, Sequence[str]]) -> Da
     return reduce(DataFrame.unionAll, [one(n, c) for n, c in candidates.items()])
 
 
+#: the first look at a combination takes one of so many groups of its values
+SLICES = 64
+
+
 def minimal_keys(df: DataFrame, columns: Sequence[str], most: int | None = None) -> DataFrame:
     """(key_columns, n_columns): the least combinations of columns, of up to ``most``, that tell all rows apart.
 
-    The table is read once: rows are counted per combination of all columns and written down.  Then the
-    lattice is climbed size by size.  The combinations of a size are grouping sets of the counted
-    table, one job for all of them; those that hold a key already found are left out, and so are those
-    whose columns have too few values between them.  NULL is a value like any other here.
+    The lattice is climbed size by size; combinations that hold a key already found are left out.  Two equal
+    rows anywhere disprove a combination, so each is first looked at in one of ``SLICES`` shares of its
+    groups, each of which is whole there.  Only those that stand are looked at in all rows, by a hash of their values: where
+    no hash repeats, no row does.  NULL is a value like any other here.
     """
     spark = df.sparkSession
-    path = work_area(spark, "combinations")
     names = list(columns)
-    df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).write.parquet(path)
-    counted = spark.read.parquet(path)
-    groups, rows = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    rows = df.select(*names)
+    if not is_plain_scan(rows):
+        path = work_area(spark, "combinations")
+        rows.write.parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
     keys: list[tuple[str, ...]] = []
-    values: dict[str, int] = {}
     # rows that are equal in all columns: no combination tells them apart
-    for size in range(1, (len(names) if most is None else most) + 1) if groups == rows else ():
+    apart = bool(_apart(rows, [tuple(names)]))
+    for size in range(1, (len(names) if most is None else most) + 1) if apart else ():
         open_ = [c for c in combinations(names, size) if not any(set(k) <= set(c) for k in keys)]
-        if size > 1:
-            open_ = [c for c in open_ if math.prod(values[n] for n in c) >= rows]
-        if not open_:
-            continue
-        sets = [[F.col(n) for n in c] for c in open_]
-        number = {_grouping(c, names): c for c in open_}
-        per_set = (
-            counted.groupingSets(sets, *names).agg(F.grouping_id().alias("_set")).groupBy("_set").agg(F.count(F.lit(1)).alias("distinct_keys"))
-        )
-        # a row for each combination of this size
-        for r in per_set.collect():
-            combination = number[r["_set"]]
-            if size == 1:
-                values[combination[0]] = r["distinct_keys"]
-            if r["distinct_keys"] == rows:
-                keys.append(combination)
+        keys += [tuple(names)] if open_ == [tuple(names)] else _apart(rows, open_)
     return spark.createDataFrame([(",".join(k), len(k)) for k in keys], "key_columns string, n_columns int")
 
 
+def _apart(rows: DataFrame, chosen: Sequence[tuple[str, ...]]) -> list[tuple[str, ...]]:
+    """The combinations in which no two rows are equal."""
+    for slices in (SLICES, 1):
+        repeating = _repeating(rows, chosen, slices)
+        chosen = [c for c in chosen if c not in repeating]
+    return chosen
+
+
+def _repeating(rows: DataFrame, chosen: Sequence[tuple[str, ...]], slices: int) -> set[tuple[str, ...]]:
+    """The combinations in which two rows are equal, from one of ``slices`` shares of their groups (1: all).
+
+    A row per combination is collected.  A repeated hash counts only where values behind it are equal.
+    """
+    if not chosen:
+        return set()
+    hashes = [_value_hash(c) for c in chosen]
+    share = [rows.select(F.lit(k).alias("_set"), h.alias("_hash")).where(F.pmod("_hash", F.lit(slices)) == 0) for k, h in enumerate(hashes)]
+    again = reduce(DataFrame.unionAll, share).groupBy("_set", "_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    seen = {r["_set"]: r["_hash"] for r in again.groupBy("_set").agg(F.min("_hash").alias("_hash")).collect()}
+    if not seen:
+        return set()
+
+    def equal(k: int, source: DataFrame) -> DataFrame:
+        return source.groupBy(*chosen[k]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").agg(F.lit(k).alias("_set"), F.count(F.lit(1)).alias("_groups"))
+
+    shown = reduce(DataFrame.unionAll, [equal(k, rows.where(hashes[k] == F.lit(h))) for k, h in seen.items()])
+    # different values that share the hash looked at: all values decide
+    return {chosen[r["_set"]] for r in shown.collect() if r["_groups"] or equal(r["_set"], rows).first()["_groups"]}
+
+
+def _value_hash(names: Sequence[str]):
+    """A hash of the values that also tells which of them are NULL."""
+    return F.xxhash64(*names, reduce(lambda a, b: a + b, [F.when(F.isnull(n), 1 << k).otherwise(0) for k, n in enumerate(names)]))
+
+
 def _grouping(chosen: Sequence[str], names: Sequence[str]) -> int:
     """What ``grouping_id`` gives for a grouping set: a bit for each column that is not in it."""
     return sum(1 << (len(names) - 1 - k) for k, n in enumerate(names) if n not in chosen)

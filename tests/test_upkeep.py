@@ -195,6 +195,23 @@ def test_minimal_keys_equal_brute_force(spark):
     assert profile.minimal_keys(frame, names, most=1).collect() == []
 
 
+def test_minimal_keys_look_at_all_rows_only_where_a_share_disproves_nothing(spark, monkeypatch):
+    seen = []
+    real = profile._repeating
+    monkeypatch.setattr(profile, "_repeating", lambda rows, chosen, slices: seen.append((slices, len(chosen))) or real(rows, chosen, slices))
+    frame = spark.range(0, 6000).selectExpr("id % 2000 AS a", "id div 2000 * 1000 + id % 1000 AS b", "id % 1000 AS c", "id % 500 AS d")
+    assert {r.key_columns for r in profile.minimal_keys(frame, frame.columns).collect()} == {"a,b"}
+    # all columns together, and the key
+    assert sum(n for slices, n in seen if slices == 1) == 2
+
+
+def test_minimal_keys_of_no_rows_and_of_nulls_that_change_places(spark):
+    empty = spark.createDataFrame([], "a int, b int")
+    assert [r.key_columns for r in profile.minimal_keys(empty, ["a", "b"]).collect()] == ["a", "b"]
+    swapped = spark.createDataFrame([(None, 1), (1, None), (1, 1), (None, None)], "a int, b int")
+    assert [r.key_columns for r in profile.minimal_keys(swapped, ["a", "b"]).collect()] == ["a,b"]
+
+
 def test_publication_switches_partitions_and_keeps_rows_without_a_date(spark, tmp_path):
     name, root = f"pub_{tmp_path.name.replace('-', '_')}", str(tmp_path / "p")
     first = spark.createDataFrame([(1, date(2024, 1, 1)), (2, date(2024, 1, 2)), (3, None)], "k int, day date")
