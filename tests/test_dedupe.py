@@ -157,7 +157,7 @@ def test_few_repeated_keys_are_broadcast_and_many_are_not(spark, tmp_path):
 def test_many_repeated_keys_move_no_row(spark, tmp_path):
     """The winners' bits go to the rows, in two tables that are each below the limit."""
     path = str(tmp_path / "rows")
-    spark.range(0, 40_000, 1, 4).selectExpr("id * 7 % 9000 AS k", "-id AS o", "id").write.parquet(path)
+    spark.range(0, 40_000, 1, 4).selectExpr("id * 7 % 9000 AS k", "id * 7919 % 40009 AS o", "id").write.parquet(path)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
@@ -170,7 +170,7 @@ def test_many_repeated_keys_move_no_row(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
     assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan and final.count("BroadcastHashJoin") == 2
-    assert n == 40_000 and won == set({i * 7 % 9000: i for i in range(40_000)}.values())
+    assert n == 40_000 and won == set({i * 7 % 9000: i for i in sorted(range(40_000), key=lambda i: -(i * 7919 % 40009))}.values())
 
 
 def test_millions_of_equal_rows_stay_spread(spark, tmp_path):
