@@ -20,7 +20,8 @@ from pyspark.sql.types import (
 )
 
 from snapstrata.contract import SnapshotContract
-from snapstrata.session import work_area
+from snapstrata.session import freed_shuffles, work_area, writer
+from snapstrata.sources import files
 
 KEPT = "_kept"
 
@@ -95,7 +96,8 @@ def with_row_identity(df: DataFrame) -> DataFrame:
         except AnalysisException:  # files of a format without row numbers
             pass
     path = work_area(df.sparkSession, "rows")
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        writer(df).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select("*", *place)
 
 
@@ -103,19 +105,29 @@ def with_row_identity(df: DataFrame) -> DataFrame:
 BLOCK, WORD, BLOCK_BYTES = 4096, 64, 576
 
 
-def _winners(placed: DataFrame) -> tuple[DataFrame, int, int]:
+def key_hashes(key: Sequence[str]) -> tuple[Column, Column]:
+    """128 bits that tell keys apart: at 10^10 keys two share them with a chance of 10^-19.
+
+    The hash leaves NULLs out, so they are hashed as such beside the values; -0.0 is 0.0, as in a group.
+    """
+    parts = [part for c in key for part in (F.col(c), F.col(c).isNull())]
+    return F.xxhash64(*parts), F.xxhash64(F.lit(len(parts)), *reversed(parts))
+
+
+def _winners(placed: DataFrame, path: str) -> tuple[DataFrame, int, int]:
     """The place of the best row of every key, written; where a key repeats, with the key and the best order.
 
     Also the number of keys that repeat, and the bytes of these keys as text: what a broadcast would have to hold, whatever its files' size.
     """
-    spark, path, seen = placed.sparkSession, work_area(placed.sparkSession, "winners"), Observation()
+    spark, seen = placed.sparkSession, Observation()
     best = placed.groupBy("_hk", "_dk").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     repeats = F.col("_rows") > 1
     told = [F.when(repeats, F.col(c)).alias(name) for c, name in (("_hk", "_bh"), ("_dk", "_bk"), ("_first", "_best"))]
     out = best.select(*told, F.col("_first._file").alias("_file"), F.col("_first._index").alias("_index"))
     text = F.octet_length(F.to_json(F.struct("_bh", "_bk", "_best")))
     size = F.coalesce(F.sum(F.when(F.col("_bh").isNotNull(), text)), F.lit(0).cast("long"))
-    out.observe(seen, F.count("_bh").alias("keys"), size.alias("size")).write.parquet(path)
+    with freed_shuffles(spark):
+        writer(out.observe(seen, F.count("_bh").alias("keys"), size.alias("size"))).parquet(path)
     found = seen.get
     return spark.read.schema(out.schema).parquet(path), found["keys"], found["size"]
 
@@ -128,7 +140,8 @@ def _winner_bits(winners: DataFrame, limit: int) -> list[DataFrame] | None:
     words = winners.groupBy("_file", block.alias("_block"), word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
     held = F.map_from_entries(F.collect_list(F.struct((F.col("_word") % (BLOCK // WORD)).alias("w"), "_bits")))
     every = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(BLOCK // WORD - 1).cast("long")), lambda w: F.coalesce(held[w], F.lit(0).cast("long")))
-    words.groupBy("_file", "_block").agg(every.alias("_words")).write.parquet(path)
+    with freed_shuffles(spark):
+        writer(words.groupBy("_file", "_block").agg(every.alias("_words"))).parquet(path)
     bits = spark.read.schema("_file long, _block long, _words array<bigint>").parquet(path)
     # a row per file
     pieces, room = [], 0
@@ -151,7 +164,7 @@ def mark_winners(
 
     The best row of every key is a map-side combined minimum over (``tiebreak``,
     hash of the whole row, place in its file), so no task gathers a key to find it and equal rows
-    are told apart.  The places of the best rows are written, and with them the keys that repeat, of measured size: where no
+    are told apart.  Keys are shuffled as 128 bits of hash, see ``key_hashes``.  The places of the best rows are written, and with them the keys that repeat, of measured size: where no
     key repeats, no row moves at all; up to Spark's broadcast limit those keys are broadcast; beyond it the best rows'
     places are, as a bit per row, in as many tables below the limit as it takes, and again no row moves.
     Where the bits of one file are above the limit, one join on the key's hash brings the best to the rows, and adaptive
@@ -165,17 +178,20 @@ def mark_winners(
     # columns of the key are equal wherever places are compared
     told = [(name, way) for name, way in tiebreak if name not in key]
     place = F.struct(order_struct(df, told).alias("order"), F.xxhash64(*columns).alias("row"), "_file", "_index")
-    placed = rows.select(*columns, F.xxhash64(*key).alias("_hk"), F.struct(*key).alias("_dk"), place.alias("_place"))
-    winners, keys, size = _winners(placed)
+    first_half, other_half = key_hashes(key)
+    placed = rows.select(*columns, first_half.alias("_hk"), other_half.alias("_dk"), place.alias("_place"))
+    written = work_area(df.sparkSession, "winners")
+    winners, keys, size = _winners(placed, written)
     if not keys:
         return df.withColumn(flag, F.lit(True))
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     if size > limit > 0 and (pieces := _winner_bits(winners, limit)) is not None:
+        files.remove(df.sparkSession, written)
         return _marked_by_bits(rows, pieces, columns, flag)
     repeated = winners.where(F.col("_bh").isNotNull()).select("_bh", "_bk", "_best")
     repeated = F.broadcast(repeated) if size <= limit else repeated.hint("merge")
-    # the hash alone is the join key, so both sides are shuffled for the join and adaptive
-    # execution may split them; keys that share a hash are told apart behind it
+    # one hash alone is the join key, so both sides are shuffled for the join and adaptive
+    # execution may split them; keys that share it are told apart behind it by the other
     own = (F.col("_hk") == F.col("_bh")) & F.array_contains(F.array("_bk"), F.col("_dk"))
     first = F.col("_best").isNull() | (F.col("_place") == F.col("_best"))
     return placed.join(repeated, own, "left").select(*columns, first.alias(flag))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snapstrata.contract import SnapshotContract
+from snapstrata.session import freed_shuffles, writer
 from snapstrata.sources import audit, drift, files, fingerprint, scan, tables
 
 
@@ -167,7 +168,8 @@ def _stage(spark: SparkSession, paths: Sequence[str], batches: Sequence[str], co
     # counted apart from the files that are written: an inner join that lost rows would show
     read = Observation()
     sources = lineage.sortWithinPartitions(DELIVERY, "_source_row").observe(read, F.count(F.lit(1)).alias("n"))
-    sources.write.partitionBy(DELIVERY).parquet(staged)
+    with freed_shuffles(spark):
+        writer(sources).partitionBy(DELIVERY).parquet(staged)
     if not any(name.startswith(f"{DELIVERY}=") for name in _names(spark, staged)):
         spark.createDataFrame([], lineage.schema).write.mode("overwrite").parquet(staged)
     return staged, read.get["n"]

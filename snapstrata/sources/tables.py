@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from snapstrata.operators import merge
-from snapstrata.session import work_area
+from snapstrata.session import freed_shuffles, work_area, writer
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -96,12 +96,14 @@ def write_partitions(
         out = out.sortWithinPartitions(*by, *(sort or cluster))
     # one value per partition written, and set semantics survive task retries
     out = out.observe(seen, F.collect_set(F.concat_ws("/", *parts)).alias("filled"))
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    with freed_shuffles(df.sparkSession):
+        (
+            writer(out)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*by)
+            .parquet(path)
+        )
     filled = set(seen.get["filled"] or [])
     hollow = [leaf(by, v) for v in owned if leaf(by, v) not in filled]
     if hollow:
@@ -114,7 +116,8 @@ def write_partitions(
 def write_table(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
     """Full rebuild of an unpartitioned table."""
     out = df.sortWithinPartitions(*sort) if sort else df
-    out.write.mode("overwrite").parquet(path)
+    with freed_shuffles(df.sparkSession):
+        writer(out).mode("overwrite").parquet(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

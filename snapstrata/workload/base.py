@@ -17,8 +17,9 @@ from pyspark.sql.types import StructType
 
 from snapstrata.contract import LeadTimeBands
 from snapstrata.contracts.flights import CABINS, FLIGHTS, fare_rules
+from snapstrata.operators.lookup import look_up
 from snapstrata.plans.refine import accepted_rows, refine
-from snapstrata.session import work_area
+from snapstrata.session import freed_shuffles, work_area, writer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -147,12 +148,11 @@ def quotes(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
             "o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("ordered")
         )
         if needed(_FROM_CUSTOMER):
-            buyer = (
-                table(spark, sf_dir, "customer")
-                .join(_regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-                .select("c_custkey", "c_mktsegment", F.col("r_name").alias("c_city"))
-            )
-            orders = orders.join(buyer, F.col("o_custkey") == F.col("c_custkey"), "left")
+            # as with the supplier below, the lookup goes by the size of the customer file alone
+            buyer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+            city = _regions(spark, sf_dir).withColumnRenamed("r_name", "c_city")
+            orders = look_up(orders, "o_custkey", buyer, "c_custkey")
+            orders = orders.join(city, F.col("c_nationkey") == F.col("n_nationkey"), "left").drop("n_nationkey")
             made["destination_city"] = F.col("c_city")
             made["arrival_time"] = F.nullif(F.col("c_mktsegment"), F.lit("MACHINERY"))
         out = out.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
@@ -167,7 +167,7 @@ def quotes(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
             F.when(F.col("p_size") == 50, "").otherwise(F.col("p_type")).alias("p_airline"),
             F.concat(F.lit(" "), F.lower(F.nullif(F.col("p_brand"), F.lit("Brand#25")))).alias("p_flight"),
         )
-        out = out.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        out = look_up(out, "l_partkey", part, "p_partkey")
     if needed(_FROM_SUPPLIER):
         # the region lookup hangs off the joined supplier, so that Spark plans the
         # supplier join by the size of the supplier file alone
@@ -182,7 +182,8 @@ def quotes(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame that several branches read, as the layers in production are."""
     path = work_area(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        writer(df).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
