@@ -518,6 +518,12 @@ FARES = QUOTES.with_options(
 )
 
 
+def write_delivery(text, path, by=()):
+    """Rows of text as a delivery, packed as deliveries are."""
+    with freed_shuffles(text.sparkSession):
+        text.write.partitionBy(*by).option("header", True).option("compression", "gzip").csv(path)
+
+
 @register(
     "WITH "
     + QUOTES_SQL
@@ -541,7 +547,7 @@ def landed_file(spark, sf_dir):
         *[f.name for f in FARE_FILE.fields if f.name not in ("index", "price")],
         F.col("price").cast("string").alias("price"),
     )
-    text.write.option("header", True).csv(inbox)
+    write_delivery(text, inbox)
     lake = landing.Lake(work_area(spark, "lake"))
     build.take_in(spark, inbox, FARES, lake, as_of_date="2024-01-01")
     build.take_in(spark, inbox, FARES, lake, as_of_date="2024-01-01")
