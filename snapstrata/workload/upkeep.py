@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import warnings
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapstrata.contracts.flights import STAGED_QUOTE, STAGED_REJECT
-from snapstrata.operators import monitor
+from snapstrata.operators import merge, monitor
 from snapstrata.operators.validate import REASON_TEXT
 from snapstrata.plans import build, landing, members, star
 from snapstrata.plans.refine import RefinedTables, refine_snapshots
-from snapstrata.session import work_area
+from snapstrata.session import passing_areas, work_area
 from snapstrata.sources import audit, drift, scan, tables
 from snapstrata.streaming import arrivals
 from snapstrata.workload.base import (
@@ -43,11 +44,23 @@ def deliver(spark, lake, rows, batch_id):
     """Rows as one delivery for each of their snapshots: data first, then the manifest, as a landing does."""
     rows = rows.withColumn("_batch_id", F.lit(batch_id))
     # a few years: every task may write to all of them
-    tables.write_partitions(rows, lake.raw, by=(SNAPSHOT,), balance=False)
-    entries = rows.groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("source_row_count"))
+    written = tables.write_partitions(rows, lake.raw, by=(SNAPSHOT,), balance=False)
+    days = [None if name.endswith(tables.NO_VALUE) else date.fromisoformat(name.partition("=")[2]) for name in written]
+    # counted where they lie now: ``rows`` would be computed once more
+    entries = landed(spark, lake).where(merge.in_snapshots(SNAPSHOT, days)).groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("source_row_count"))
     audit.record_deliveries(entries.withColumn("batch_id", F.lit(batch_id)), lake.manifest)
 
 
+def landed(spark, lake):
+    return spark.read.parquet(lake.raw).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
+
+
+def redeliver(spark, lake, where, batch_id):
+    """Some of the rows that lie in the raw layer once more, as a delivery of their own."""
+    with passing_areas(spark):
+        deliver(spark, lake, stored(landed(spark, lake).where(where), "delivery"), batch_id)
+
+
 def refine_waiting(spark, lake, contract, after_write=None):
     days = build.unrefined(spark, lake)
     refine_snapshots(
@@ -64,8 +77,8 @@ def over_lines(sql, where):
 CORRECTED = "l_linenumber <> 1 OR l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE year(o_orderdate) = 1997)"
 
 
-def _corrected(raw):
-    return raw.where((F.col(SNAPSHOT) == "1997-01-01") & (F.col("line_number") != 1))
+def _correct(spark, lake):
+    redeliver(spark, lake, (F.col(SNAPSHOT) == "1997-01-01") & (F.col("line_number") != 1), "second")
 
 
 @register(
@@ -76,12 +89,11 @@ def _corrected(raw):
 def refine_during_refresh(spark, sf_dir):
     """1997 is delivered and refined anew while the first refresh is under way: the second one takes it up."""
     lake = landing.Lake(work_area(spark, "lake"))
-    raw = stored(quotes(spark, sf_dir), "raw")
-    deliver(spark, lake, raw, "first")
+    deliver(spark, lake, quotes(spark, sf_dir), "first")
     refine_waiting(spark, lake, QUOTES)
 
     def meanwhile():
-        deliver(spark, lake, _corrected(raw), "second")
+        _correct(spark, lake)
         refine_waiting(spark, lake, QUOTES)
 
     build.refresh_gold(spark, lake, QUOTES, STAGED_QUOTE, STAGED_REJECT, ungated=UNGATED, after_write=meanwhile)
@@ -99,9 +111,8 @@ def refine_during_refresh(spark, sf_dir):
 def landing_during_refine(spark, sf_dir):
     """1997 is delivered anew while its first delivery is being refined: the next refining takes it up."""
     lake = landing.Lake(work_area(spark, "lake"))
-    raw = stored(quotes(spark, sf_dir), "raw")
-    deliver(spark, lake, raw, "first")
-    refine_waiting(spark, lake, TICKETS, after_write=lambda: deliver(spark, lake, _corrected(raw), "second"))
+    deliver(spark, lake, quotes(spark, sf_dir), "first")
+    refine_waiting(spark, lake, TICKETS, after_write=lambda: _correct(spark, lake))
     refine_waiting(spark, lake, TICKETS)
     return _verdicts(spark, lake).groupBy(SNAPSHOT, "verdict").agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -130,16 +141,15 @@ def undated_snapshot(spark, sf_dir):
     """Quotes of one priority have no snapshot date: refined, delivered anew, refined and loaded as a partition of their own."""
     lake = landing.Lake(work_area(spark, "lake"))
     dated = F.when(F.col("departure_time") != "5-LOW", F.col(SNAPSHOT))
-    raw = stored(quotes(spark, sf_dir).withColumn(SNAPSHOT, dated), "raw")
     ungated = (*UNGATED, "not_null_as_of_date", "not_null_fct_flight_price_quote_as_of_date")
 
     def refresh():
         build.refresh_gold(spark, lake, QUOTES, STAGED_QUOTE, STAGED_REJECT, ungated=ungated)
 
-    deliver(spark, lake, raw, "first")
+    deliver(spark, lake, quotes(spark, sf_dir).withColumn(SNAPSHOT, dated), "first")
     refine_waiting(spark, lake, QUOTES)
     refresh()
-    deliver(spark, lake, raw.where(F.col(SNAPSHOT).isNull() & (F.col("line_number") != 1)), "second")
+    redeliver(spark, lake, F.col(SNAPSHOT).isNull() & (F.col("line_number") != 1), "second")
     refine_waiting(spark, lake, QUOTES)
     refresh()
     layers = {"refined": _verdicts(spark, lake), "fact": spark.read.parquet(f"{lake.gold}/fct_flight_price_quote")}
