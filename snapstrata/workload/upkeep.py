@@ -32,7 +32,7 @@ from snapstrata.workload.base import (
     stored,
     table,
 )
-from snapstrata.workload.loading import FARE_FILE, FARES, ORDER_CONTRACT, ORDER_FILE
+from snapstrata.workload.loading import FARE_FILE, FARES, ORDER_CONTRACT, ORDER_FILE, write_delivery
 from snapstrata.workload.modelling import CARRIER_SQL, ROUTE_SQL, fact
 
 SNAPSHOT = "as_of_date"
@@ -264,15 +264,17 @@ def inbox_of_deliveries(spark, sf_dir):
     inbox = work_area(spark, "inbox")
     columns = [f.name for f in FARE_FILE.fields if f.name not in ("index", "price")]
     index = F.xxhash64("order_key", "line_number", "part_key", "supp_key", "list_price", "shipped").cast("string").alias("index")
-    text = stored(quotes(spark, sf_dir).select(index, *columns, F.col("price").cast("string").alias("price"), SNAPSHOT, "line_number"), "text")
-    text.drop("line_number").write.partitionBy(SNAPSHOT).option("header", True).csv(f"{inbox}/first")
-    days = sorted(r[0].isoformat() for r in text.select(SNAPSHOT).distinct().collect())
+    with passing_areas(spark):
+        text = stored(quotes(spark, sf_dir).select(index, *columns, F.col("price").cast("string").alias("price"), SNAPSHOT, "line_number"), "text")
+        write_delivery(text.drop("line_number"), f"{inbox}/first", by=(SNAPSHOT,))
+        days = sorted(r[0].isoformat() for r in text.select(SNAPSHOT).distinct().collect())
 
-    def write(day, rows, name):
-        rows.where(F.col(SNAPSHOT) == day).drop(SNAPSHOT, "line_number").write.option("header", True).csv(f"{inbox}/{name}")
+        def write(day, rows, name):
+            write_delivery(rows.where(F.col(SNAPSHOT) == day).drop(SNAPSHOT, "line_number"), f"{inbox}/{name}")
 
-    write("1997-01-01", text.repartition(3), "again")
-    write("1998-01-01", text.where("line_number <> 1"), "corrected")
+        # in other parts and another order than at first
+        write("1997-01-01", text.repartition("index"), "again")
+        write("1998-01-01", text.where("line_number <> 1"), "corrected")
     deliveries = [(f"{inbox}/first/{SNAPSHOT}={day}", day) for day in days]
     deliveries += [(f"{inbox}/again", "1997-01-01"), (f"{inbox}/corrected", "1998-01-01")]
     lake = landing.Lake(work_area(spark, "lake"))

@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapstrata.operators import dedupe
-from snapstrata.session import FREED, passing_areas, work_area
-from snapstrata.sources import tables
-from snapstrata.workload.base import QUOTES, quotes, stored
+from snapstrata.session import FREED, passing_areas, shared_dir, work_area
+from snapstrata.sources import scan, tables
+from snapstrata.workload import QUERIES, loading, upkeep
+from snapstrata.workload.base import QUOTES, TICKETS, quotes, stored
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -21,6 +22,10 @@ def shuffle_files(spark):
     return {f for f in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
 
 
+def areas(spark):
+    return {p.name for p in Path(shared_dir(spark).removeprefix("file:")).glob("snapstrata/*")}
+
+
 @pytest.mark.parametrize("write", [lambda rows, path: stored(rows, "rows"), lambda rows, path: tables.write_partitions(rows, path, by=("k",))])
 def test_shuffle_files_go_with_the_write_that_made_them(spark, tmp_path, write):
     rows = spark.range(0, 20_000).selectExpr("id % 3 AS k", "sha1(string(id)) AS payload").repartition(5, "payload")
@@ -70,3 +75,33 @@ def test_passing_areas_are_deleted(spark):
         spark.range(3).write.parquet(path)
         assert spark.read.parquet(path).count() == 3
     assert not Path(path.removeprefix("file:")).exists() and "/passing-" not in work_area(spark, "rows")
+
+
+@pytest.mark.parametrize("contract", [QUOTES, TICKETS])
+def test_a_written_refined_table_leaves_nothing_else(spark, contract):
+    before = areas(spark)
+    path = loading.write_refined(spark, SMALL, contract)
+    assert areas(spark) - before == {path.rsplit("/", 1)[-1]}
+    assert spark.read.parquet(path).count() == spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+
+
+@pytest.mark.parametrize("name", ["refine_during_refresh", "landing_during_refine", "undated_snapshot"])
+def test_raw_rows_of_a_lake_are_stored_once(spark, name):
+    before = areas(spark)
+    QUERIES[name](spark, SMALL)
+    assert {a.rsplit("-", 1)[0] for a in areas(spark) - before} == {"lake"}
+
+
+def test_an_inbox_leaves_its_deliveries_and_the_lake(spark):
+    before = areas(spark)
+    upkeep.inbox_of_deliveries(spark, SMALL)
+    assert sorted(a.rsplit("-", 1)[0] for a in areas(spark) - before) == ["inbox", "lake"]
+
+
+def test_deliveries_are_packed_and_read_as_they_were(spark, tmp_path):
+    path = str(tmp_path / "inbox")
+    rows = spark.range(0, 3000).select(*[F.col("id").cast("string").alias(f.name) if f.name == "order_key" else F.lit(None).cast("string").alias(f.name) for f in loading.ORDER_FILE])
+    loading.write_delivery(rows, path)
+    parts = [p.name for p in Path(path).glob("part-*")]
+    assert parts and all(p.endswith(".csv.gz") for p in parts)
+    assert sorted(r["order_key"] for r in scan.scan_csv(spark, path, loading.ORDER_CONTRACT).collect()) == list(range(3000))
